@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference rebuilds every table in batch; it has no streams, watermarks,
+windows over event time or stateful operators (incremental builds are listed
+only as future work).  Nothing here is streaming by design.
+"""
