@@ -8,8 +8,8 @@ Row semantics follow the generic tests the reference declares in YAML:
 * accepted_values -> one row per distinct offending value; null is not a failure
 * accepted_range  -> rows outside [min, max]; null passes
 
-``batched_row_failures`` counts many row-level checks of one table in a single
-aggregate, so a suite scans each table once for all of them.
+``batched_failures`` counts every check of one table except ``unique`` in a
+single scan and aggregate, so a suite reads each table once.
 """
 
 from __future__ import annotations
@@ -75,16 +75,39 @@ def accepted_range_failures(df: DataFrame, column: str, min_value=None, max_valu
     return df.filter(~range_condition(column, min_value, max_value, inclusive))
 
 
-def batched_row_failures(df: DataFrame, checks: Sequence[tuple[str, Column]]) -> DataFrame:
-    """Failure counts of many row-level checks in one scan.
+def batched_failures(df: DataFrame, row_checks: Sequence[tuple[str, Column]] = (),
+                     value_checks: Sequence[tuple[str, str, Sequence]] = (),
+                     relationship_checks: Sequence[tuple[str, str, DataFrame, str]] = ()) -> DataFrame:
+    """Failure counts of many checks of one table in a single scan and aggregate.
 
-    ``checks`` are (name, failing-row predicate).  Returns (name, failures).
+    * ``row_checks``: (name, failing-row predicate) -> failing rows
+      (not_null, accepted_range);
+    * ``value_checks``: (name, column, accepted values) -> number of distinct
+      offending values (accepted_values; null is never offending);
+    * ``relationship_checks``: (name, column, parent, field) -> child rows with
+      a non-null key missing from the parent.  The child is left-joined to the
+      *distinct* parent keys (so no row fans out) with a marker column; the
+      planner broadcasts a small key set and shuffles a large one.
+
+    Returns (name, failures).
     """
-    counts = df.agg(*[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}")
-                      for i, (_, pred) in enumerate(checks)])
+    child = df
+    preds = list(row_checks)
+    for i, (name, column, parent, fld) in enumerate(relationship_checks):
+        key, marker = f"__key{i}", f"__found{i}"
+        keys = parent.select(F.col(fld).alias(key)).distinct().withColumn(marker, F.lit(True))
+        child = child.join(keys, child[column] == keys[key], "left")
+        preds.append((name, F.col(column).isNotNull() & F.col(marker).isNull()))
+    aggs = [F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}") for i, (_, pred) in enumerate(preds)]
+    names = [name for name, _ in preds]
+    for name, column, values in value_checks:
+        offending = F.when(~F.col(column).isin(list(values)), F.col(column))
+        aggs.append(F.count_distinct(offending).alias(f"c{len(names)}"))
+        names.append(name)
+    counts = child.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(name).alias("name"), F.col(f"c{i}").cast("long").alias("failures"))
-        for i, (name, _) in enumerate(checks)]))
+        for i, name in enumerate(names)]))
     return counts.select(rows.alias("r")).select("r.name", "r.failures")
 
 

@@ -4,9 +4,10 @@
 YAML (fixed values: models, columns, parents, value sets, ranges, severities).
 ``run_suite`` turns them into one lazy DataFrame — one row per test with its
 failure count, severity and status — that a single action evaluates:
-row-level checks (not_null, accepted_range) of a model share one aggregate;
-unique / accepted_values are one grouped aggregate each; relationships are one
-anti join each.  Nothing is collected or looped over on the driver.
+all checks of a model except ``unique`` share one scan and one aggregate
+(relationships through left joins to the distinct parent keys); each
+``unique`` check is one grouped aggregate.  Nothing is collected or looped
+over on the driver.
 """
 
 from __future__ import annotations
@@ -191,23 +192,23 @@ def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DEC
     wanted = set(test_types)
     selected = [t for t in tests if t.test in wanted]
     parts: list[DataFrame] = []
-    row_level: dict[str, list[tuple[str, F.Column]]] = {}
+    per_model: dict[str, dict[str, list]] = {}
     for t in selected:
-        if t.test == "not_null":
-            row_level.setdefault(t.model, []).append((t.name, F.col(t.column).isNull()))
-        elif t.test == "accepted_range":
-            row_level.setdefault(t.model, []).append(
-                (t.name, ~Q.range_condition(t.column, t.min_value, t.max_value, t.inclusive)))
-        elif t.test == "unique":
+        if t.test == "unique":
             key = Q.concat_key(*t.key_columns) if t.key_columns else F.col(t.column)
             parts.append(_grouped_count(t.name, Q.unique_failures(model(t.model), key)))
+            continue
+        checks = per_model.setdefault(t.model, {"row": [], "values": [], "rel": []})
+        if t.test == "not_null":
+            checks["row"].append((t.name, F.col(t.column).isNull()))
+        elif t.test == "accepted_range":
+            checks["row"].append((t.name, ~Q.range_condition(t.column, t.min_value, t.max_value, t.inclusive)))
         elif t.test == "accepted_values":
-            parts.append(_grouped_count(t.name, Q.accepted_values_failures(model(t.model), t.column, t.values)))
+            checks["values"].append((t.name, t.column, t.values))
         elif t.test == "relationships":
-            parts.append(_grouped_count(
-                t.name, Q.relationship_failures(model(t.model), t.column, model(t.to), t.field)))
-    for m, checks in row_level.items():
-        parts.insert(0, Q.batched_row_failures(model(m), checks))
+            checks["rel"].append((t.name, t.column, model(t.to), t.field))
+    for m, checks in per_model.items():
+        parts.append(Q.batched_failures(model(m), checks["row"], checks["values"], checks["rel"]))
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)

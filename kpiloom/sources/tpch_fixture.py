@@ -167,20 +167,78 @@ def actions_available(counts: DataFrame) -> DataFrame:
     )
 
 
-TPCH_TABLES = ("customer", "orders", "lineitem", "nation")
+# Columns the fixture rules read; an explicit read schema skips Parquet schema
+# inference and prunes every other column at the scan.
+TPCH_SCHEMAS: dict[str, str] = {
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_returnflag string, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string",
+}
 
 
 def load_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TPCH_TABLES}
-
-
-def derive_raw(spark: SparkSession, sf_dir: str) -> RawTables:
-    """The four raw tables of FIXTURES.md §2, as lazy DataFrames."""
-    tables = load_tpch(spark, sf_dir)
-    counts = line_counts(tables)
-    return RawTables(
-        plan_medical_group=plan_medical_group(tables),
-        claims=claims(tables),
-        actions_available=actions_available(counts),
-        actions_attested=actions_attested(counts),
-    )
+    return {t: spark.read.schema(schema).parquet(f"{sf_dir}/{t}.parquet") for t, schema in TPCH_SCHEMAS.items()}
+
+
+class TpchRawSource:
+    """The four raw tables of FIXTURES.md §2, each derived on first use.
+
+    ``actions_available`` reads the line aggregate five times (base, deltas,
+    day set, day bounds) and ``actions_attested`` once more; the optimizer
+    rewrites each copy differently, so it cannot reuse their exchanges and the
+    lineitem x orders x customer join would run once per copy.  The aggregate
+    is bounded by groups x plans x days x 3 flags whatever the size of
+    lineitem, so it is checkpointed once (to the cluster's
+    ``spark.checkpoint.dir``, which also cuts its lineage) and every copy reads
+    that.  The other raw tables stay lazy: they are one scan and one aggregate
+    each, and Catalyst prunes them per consumer.  Nothing is shared between
+    source objects.
+    """
+
+    _fields = RawTables._fields
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.tables = load_tpch(spark, sf_dir)
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    @property
+    def line_counts(self) -> DataFrame:
+        def build() -> DataFrame:
+            from kpiloom.session import checkpoint_dir
+            checkpoint_dir(self.spark)      # the cluster's folder; a scratch one only when unset
+            return line_counts(self.tables).checkpoint(eager=True)
+        return self._get("line_counts", build)
+
+    @property
+    def plan_medical_group(self) -> DataFrame:
+        return self._get("plan_medical_group", lambda: plan_medical_group(self.tables))
+
+    @property
+    def claims(self) -> DataFrame:
+        return self._get("claims", lambda: claims(self.tables))
+
+    @property
+    def actions_available(self) -> DataFrame:
+        return self._get("actions_available", lambda: actions_available(self.line_counts))
+
+    @property
+    def actions_attested(self) -> DataFrame:
+        return self._get("actions_attested", lambda: actions_attested(self.line_counts))
+
+    def __iter__(self):
+        return iter((self.plan_medical_group, self.claims, self.actions_available, self.actions_attested))
+
+    def to_raw_tables(self) -> RawTables:
+        return RawTables(*self)
+
+
+def derive_raw(spark: SparkSession, sf_dir: str) -> TpchRawSource:
+    """The four raw tables of FIXTURES.md §2 (lazily derived, see TpchRawSource)."""
+    return TpchRawSource(spark, sf_dir)

@@ -23,17 +23,22 @@ def test_no_cartesian_or_python(spark, name):
 
 
 def test_year_filters_reach_the_scan(spark):
+    from kpiloom.sources.tpch_fixture import claims, line_counts, load_tpch
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    df = QUERIES["stg_actions_attested_as_complete"](spark, SF_SMALL)
-    text = plan_text(df)
-    assert "EqualTo(l_returnflag,R)" in text            # only 'R' lines feed the attested table
+    tables = load_tpch(spark, SF_SMALL)
+    text = plan_text(line_counts(tables))
     assert "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)" in text
     assert "LessThan(l_shipdate,1999-01-01T00:00)" in text
+    assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string,l_shipdate:timestamp_ntz>" in text
+    text = plan_text(claims(tables))
+    assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in text
 
 
-def test_column_pruning_at_scan(spark):
-    text = plan_text(QUERIES["stg_actions_attested_as_complete"](spark, SF_SMALL))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string,l_shipdate:timestamp_ntz>" in text
+def test_attested_reads_only_r_lines(spark):
+    from kpiloom.sources.tpch_fixture import actions_attested, line_counts, load_tpch
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    text = plan_text(actions_attested(line_counts(load_tpch(spark, SF_SMALL))))
+    assert "EqualTo(l_returnflag,R)" in text
 
 
 def test_plan_denominator_is_a_scalar_subquery(spark):
