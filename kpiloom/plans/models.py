@@ -118,6 +118,17 @@ class KpiWarehouse:
         return Q.orphan_plans_in_dimension(self["stg_plan_medical_group"], self["stg_claims_awv"])
 
     # -- table sink ----------------------------------------------------------
+    def attach(self, out_dir: str, fmt: str = "parquet") -> list[str]:
+        """Read already-written models from ``out_dir`` instead of rebuilding them."""
+        spark = self.raw.claims.sparkSession
+        found = []
+        for name in MODEL_NAMES:
+            path = os.path.join(out_dir, name)
+            if name not in EPHEMERAL and os.path.isdir(path):
+                self._models[name] = spark.read.format(fmt).load(path)
+                found.append(name)
+        return found
+
     def materialize(self, out_dir: str, fmt: str = "parquet",
                     models: list[str] | None = None) -> dict[str, str]:
         """Write every non-ephemeral model (in dependency order) under ``out_dir``.

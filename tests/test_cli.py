@@ -1,0 +1,40 @@
+"""The command line: exit status follows test severities."""
+
+import datetime as dt
+import tempfile
+
+from kpiloom.cli import main
+from kpiloom.sources.raw import RAW_SCHEMAS, write_table
+
+from conftest import SF_SMALL
+
+
+def _write_raw(spark, folder, available):
+    tables = {
+        "plan_medical_group": [(1, 10, "Plan A", "Group X")],
+        "claims": [(dt.date(2024, 1, 2), 10, 1, 1)],
+        "actions_available": available,
+        "actions_attested": [(1, 10, dt.date(2024, 1, 2), 1)],
+    }
+    for name, rows in tables.items():
+        write_table(spark.createDataFrame(rows, RAW_SCHEMAS[name]), f"{folder}/{name}", "csv")
+
+
+def test_warn_only_passes(spark):
+    assert main(["test", "--tpch", SF_SMALL, "--tests", "relationships"]) == 0
+
+
+def test_error_severity_fails(spark, capsys):
+    folder = tempfile.mkdtemp(prefix="kpiloom-cli-")
+    _write_raw(spark, folder, [(1, 10, dt.date(2024, 1, 1), 5), (None, 10, dt.date(2024, 1, 2), 4)])
+    assert main(["test", "--raw", folder, "--tests", "not_null"]) == 1
+    out = capsys.readouterr().out
+    assert "FAIL" in out and "not_null_stg_actions_available_plan_id" in out
+
+
+def test_build_then_test_written_tables(spark):
+    folder = tempfile.mkdtemp(prefix="kpiloom-cli-")
+    _write_raw(spark, folder, [(1, 10, dt.date(2024, 1, 1), 5), (1, 10, dt.date(2024, 1, 2), 4)])
+    out = tempfile.mkdtemp(prefix="kpiloom-wh-")
+    assert main(["build", "--raw", folder, "--out", out]) == 0
+    assert main(["test", "--raw", folder, "--out", out]) == 0
