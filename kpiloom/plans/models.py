@@ -54,8 +54,10 @@ BUILDERS: dict[str, Builder] = {
         w["stg_actions_available"], w["stg_actions_attested_as_complete"]),
     "int_medical_group_action_summary_monthly": lambda w: AS.group_monthly_action_summary(
         w["int_medical_group_action_decomposition_daily"], w.params),
+    # Reads the daily table twice (monthly aggregate + global-max scalar
+    # subquery); like the reference, it reads the *stored* table.
     "int_medical_group_plan_action_summary_monthly": lambda w: AS.plan_monthly_action_summary(
-        w["int_daily_action_decomposition"], w.params),
+        w.stored("int_daily_action_decomposition"), w.params),
     "int_medical_group_awv_summary_annual": lambda w: AW.annual_visit_summary(
         w["fct_awv_claim"], AW.GROUP_KEYS, w.params),
     "int_medical_group_awv_summary_monthly": lambda w: AW.monthly_visit_summary(
@@ -78,6 +80,7 @@ BUILDERS: dict[str, Builder] = {
 }
 
 MODEL_NAMES: list[str] = list(BUILDERS)
+STAGING = [n for n in MODEL_NAMES if n.startswith("stg_")]
 
 # Inlined into their consumers, never stored (the reference's ephemeral models).
 EPHEMERAL = frozenset({
@@ -94,6 +97,8 @@ class KpiWarehouse:
         self.raw = raw
         self.params = params
         self._models: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
+        self._written: set[str] = set()
 
     @classmethod
     def from_tpch(cls, spark: SparkSession, sf_dir: str, params: KpiParams = KpiParams()) -> "KpiWarehouse":
@@ -107,9 +112,43 @@ class KpiWarehouse:
             self._models[name] = BUILDERS[name](self)
         return self._models[name]
 
+    def stored(self, name: str) -> DataFrame:
+        """The model as a stored table, for consumers that read it more than once.
+
+        After ``materialize`` this is the written table.  Otherwise the model
+        is computed once and checkpointed to the cluster's checkpoint folder
+        (the warehouse's "table" materialization; lineage is cut there).
+        Without it each consumer would recompute the model: the optimizer
+        prunes every copy differently, so their exchanges cannot be reused.
+        """
+        if name not in self._stored:
+            df = self[name]
+            if name not in self._written:
+                from kpiloom.session import checkpoint_dir
+                checkpoint_dir(df.sparkSession)
+                df = df.checkpoint(eager=True)
+            self._stored[name] = df
+        return self._stored[name]
+
     # -- data quality ------------------------------------------------------
     def data_tests(self, test_types=TEST_TYPES, tests=DECLARED_TESTS) -> DataFrame:
-        return run_suite(self.__getitem__, tests, test_types)
+        """The declared tests as one lazy DataFrame (one row per test).
+
+        Like the reference's tests they read stored tables: after
+        ``materialize`` every model is a written table; otherwise the four
+        staging tables — which every tested model is built from, and which
+        carry the cost of the raw inputs — are stored once and the tested
+        models are built on them.
+        """
+        view = KpiWarehouse(self.raw, self.params)
+        for name in MODEL_NAMES:
+            if name in self._written:
+                view._models[name] = self._models[name]
+                view._written.add(name)
+        for name in STAGING:
+            view._models[name] = self.stored(name)
+            view._written.add(name)
+        return run_suite(view.__getitem__, tests, test_types)
 
     def orphan_plans_in_claims(self) -> DataFrame:
         return Q.orphan_plans_in_claims(self["stg_claims_awv"], self["stg_plan_medical_group"])
@@ -126,6 +165,7 @@ class KpiWarehouse:
             path = os.path.join(out_dir, name)
             if name not in EPHEMERAL and os.path.isdir(path):
                 self._models[name] = spark.read.format(fmt).load(path)
+                self._written.add(name)
                 found.append(name)
         return found
 
@@ -145,5 +185,6 @@ class KpiWarehouse:
             path = os.path.join(out_dir, name)
             write_table(self[name], path, fmt)
             self._models[name] = spark.read.format(fmt).load(path)
+            self._written.add(name)
             written[name] = path
         return written
