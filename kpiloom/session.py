@@ -59,12 +59,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) is a scratch folder set.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:            # Spark Connect: the server owns the checkpoint folder
+        return configured or ""
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     if configured:
-        return configured
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
     local = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
 
 
 def scratch_table_dir(spark: SparkSession, name: str) -> str:

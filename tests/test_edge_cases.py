@@ -223,3 +223,20 @@ def test_staging_rounds_fractional_ids(spark):
                                "date_day date, medical_group_id double, plan_id double, count_actions_available double")
     r = stage_actions_available(df).first()
     assert (r["medical_group_id"], r["plan_id"], r["count_actions_available"]) == (3, 1, 11)
+
+
+def test_rate_scale_rounds_like_the_warehouse(make_wh):
+    from kpiloom.params import KpiParams
+    avail = [(P, G, D("2024-03-01"), 3), (P, G, D("2024-03-02"), 2)]
+    att = [(P, G, D("2024-03-02"), 1)]
+    exact = make_wh(available=avail, attested=att)["int_medical_group_action_summary_monthly"].first()
+    rounded = make_wh(available=avail, attested=att, params=KpiParams(rate_scale=6))[
+        "int_medical_group_action_summary_monthly"].first()
+    assert exact["monthly_completion_rate"] == 1 / 3
+    assert rounded["monthly_completion_rate"] == 0.333333
+
+
+def test_checkpoint_dir_respects_session_setting(spark):
+    from kpiloom.session import checkpoint_dir
+    d = checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
