@@ -10,8 +10,6 @@ customer or order key never reaches a join as more than one row per
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +29,13 @@ CLAIM_MONTH_OFFSET = 6          # claims use orders with month <= 6 + g
 
 
 def _year_range(col: str, year: int) -> Column:
-    """``year(col) = year`` written as a range so Parquet can push it down."""
-    return (F.col(col) >= F.lit(_dt.datetime(year, 1, 1))) & (F.col(col) < F.lit(_dt.datetime(year + 1, 1, 1)))
+    """``year(col) = year`` written as a range so Parquet can push it down.
+
+    The bounds are TIMESTAMP_NTZ literals, like the columns, so no session or
+    driver time zone takes part in the comparison.
+    """
+    lo, hi = (F.expr(f"TIMESTAMP_NTZ '{y:04d}-01-01 00:00:00'") for y in (year, year + 1))
+    return (F.col(col) >= lo) & (F.col(col) < hi)
 
 
 def _shift(day: Column) -> Column:

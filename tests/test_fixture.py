@@ -35,3 +35,17 @@ def test_spine_covers_2024(tpch_wh):
     s = tpch_wh["dim_date_spine_day"]
     row = s.agg(F.min("date_day"), F.max("date_day"), F.count("*")).first()
     assert (str(row[0]), str(row[1]), row[2]) == ("2024-01-01", "2024-12-31", 366)
+
+
+def test_fixture_is_time_zone_independent(spark):
+    from kpiloom.sources.tpch_fixture import claims, line_counts, load_tpch
+
+    from conftest import SF_SMALL
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        tables = load_tpch(spark, SF_SMALL)
+        assert line_counts(tables).filter(F.col("flag") == "R").count() == 240
+        c = claims(tables)
+        assert c.count() == 150 and c.filter(F.col("awv_date_of_service").isNull()).count() == 44
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
