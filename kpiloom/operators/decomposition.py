@@ -5,10 +5,12 @@ net change, using the previous row's count (LAG) as the start of the day:
 
     start - end = completed + ineligible        (balance check)
 
-Every window is partitioned by the entity keys and ordered by day; the inputs
-are unique per (entity, day) (DQ ``unique`` test on the snapshot) or are
-aggregated to that grain first, so one window partition holds at most one row
-per calendar day however many rows the raw tables have.
+Every window is partitioned by the entity keys and ordered by day.  The
+available snapshot is unique per (entity, day) (DQ ``unique`` test, error
+severity) and the group level aggregates to that grain first, so those window
+partitions hold at most one row per calendar day.  The attested snapshot has
+no such test: its copies go through ``running_sum``, which splits a run of
+tied rows over hash buckets.
 
 The two levels differ on purpose (reference quirks, kept):
 * plan level: net change is start - end; the cumulative completed count is a
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.calendar import weekend_flag
 from kpiloom.functions.metrics import non_negative, running
+from kpiloom.operators.running import running_sum
 
 PLAN_KEYS = ["medical_group_id", "plan_id"]
 GROUP_KEYS = ["medical_group_id"]
@@ -48,25 +51,40 @@ def _balance_check() -> F.Column:
 
 
 def plan_daily_decomposition(available: DataFrame, attested: DataFrame) -> DataFrame:
-    """#12: one row per (day, group, plan) of the available snapshot."""
+    """#12: one row per (day, group, plan) of the available snapshot.
+
+    The attested snapshot has no uniqueness test, so one key may carry many
+    copies; every copy yields a row (the reference's left join fans out).  To
+    keep such a key from landing in one task, the two running sums use
+    ``running_sum`` (ties split over hash buckets) instead of a plain window,
+    and the left join is written as inner join + anti join, both of which AQE
+    can split when a key is skewed.
+    """
     keys = PLAN_KEYS
+    on = ["date_day", *keys]
     w = Window.partitionBy(*keys).orderBy("date_day")
-    inventory = _with_start_of_day(available, keys, w)
-    done = attested.select(
-        "date_day", *keys,
-        F.col("count_actions_attested_as_complete").alias("done"),
-        running("count_actions_attested_as_complete", w).alias("done_cumulative"),
-    )
-    joined = inventory.join(done, ["date_day", *keys], "left")
+    inventory = _with_start_of_day(available, keys, w)     # available is unique per key (DQ error test)
+    done = running_sum(
+        attested.select("date_day", *keys, F.col("count_actions_attested_as_complete").alias("done")),
+        keys, "date_day", "done", "done_cumulative", tiebreak=["done"])
+    matched = done.join(inventory, on, "inner")
+    unmatched = (inventory.join(done.select(*on).distinct(), on, "left_anti")
+                 .select("*", F.lit(None).cast("long").alias("done"),
+                         F.lit(None).cast("long").alias("done_cumulative")))
+    cols = [*on, "actions_start_of_day", "actions_end_of_day", "done", "done_cumulative"]
+    joined = matched.select(*cols).unionByName(unmatched.select(*cols))
     completed = F.coalesce(F.col("done"), F.lit(0))
     step = joined.select(
         "date_day", *keys, "actions_start_of_day", "actions_end_of_day",
         (F.col("actions_start_of_day") - F.col("actions_end_of_day")).alias("daily_net_change_of_actions"),
-        completed.alias("count_actions_completed_in_day"),
-        F.coalesce(F.col("done_cumulative"), F.lit(0)).alias("cumulative_actions_completed"),
+        completed.cast("long").alias("count_actions_completed_in_day"),
+        F.coalesce(F.col("done_cumulative"), F.lit(0)).cast("long").alias("cumulative_actions_completed"),
         non_negative(F.col("actions_start_of_day") - F.col("actions_end_of_day") - completed)
         .alias("count_actions_became_ineligible_in_day"),
     )
+    step = running_sum(step, keys, "date_day", "count_actions_became_ineligible_in_day",
+                       "cumulative_actions_became_ineligible",
+                       tiebreak=["count_actions_completed_in_day", "cumulative_actions_completed"])
     return step.select(
         "date_day", *keys,
         "actions_start_of_day",
@@ -75,7 +93,7 @@ def plan_daily_decomposition(available: DataFrame, attested: DataFrame) -> DataF
         "count_actions_completed_in_day",
         "cumulative_actions_completed",
         "count_actions_became_ineligible_in_day",
-        running("count_actions_became_ineligible_in_day", w).alias("cumulative_actions_became_ineligible"),
+        "cumulative_actions_became_ineligible",
         _balance_check().alias("decomposition_balance_check"),
         weekend_flag(F.col("date_day")).alias("is_weekend"),
     )

@@ -11,12 +11,21 @@ ACTION_KEYS = ["date_day", "medical_group_id", "plan_id"]
 def action_fact(available: DataFrame, attested: DataFrame) -> DataFrame:
     """#10: full outer join of the two daily snapshots; keys coalesced, counts 0-filled.
 
-    A USING join coalesces the keys; null keys never match and survive as
-    separate rows, as in the warehouse.
+    Written as (attested LEFT JOIN available) UNION (available ANTI JOIN the
+    distinct attested keys), which is the same set of rows: AQE cannot split a
+    skewed partition of a full outer join, but it can split the attested side
+    of the left join when one key has many attested copies, and the distinct
+    keys collapse those copies map-side.  Null keys never match and survive
+    as separate rows, as in the warehouse.
     """
     a = available.select(*ACTION_KEYS, "count_actions_available")
     c = attested.select(*ACTION_KEYS, "count_actions_attested_as_complete")
-    return a.join(c, ACTION_KEYS, "full_outer").select(
+    both = c.join(a, ACTION_KEYS, "left")
+    only_available = (a.join(c.select(*ACTION_KEYS).distinct(), ACTION_KEYS, "left_anti")
+                      .select("*", F.lit(None).cast("long").alias("count_actions_attested_as_complete")))
+    cols = [*ACTION_KEYS, "count_actions_available", "count_actions_attested_as_complete"]
+    rows = both.select(*cols).unionByName(only_available.select(*cols))
+    return rows.select(
         *ACTION_KEYS,
         F.coalesce(F.col("count_actions_available"), F.lit(0)).cast("long").alias("count_actions_available"),
         F.coalesce(F.col("count_actions_attested_as_complete"), F.lit(0)).cast("long")

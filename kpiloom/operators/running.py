@@ -1,0 +1,62 @@
+"""Running sums that stay exact and parallel when many rows tie on the order key.
+
+``SUM(v) OVER (PARTITION BY keys ORDER BY o ROWS UNBOUNDED PRECEDING)`` runs
+each partition in one task; when one (key, o) value carries a large share of
+the rows (many copies of one key), that task holds them all.  SQL leaves the
+order of tied rows unspecified, so any order is a right answer.  Here ties are
+ordered by a hash bucket and a tiebreak, which lets the sum be computed in
+two levels:
+
+1. a prefix inside each (keys, o, bucket) chunk: a window partitioned by the
+   chunk, so a hot (key, o) is spread over ``buckets`` tasks;
+2. an offset per chunk: a running sum of chunk totals over (keys) ordered by
+   (o, bucket), from one head row per chunk (at most #o x buckets rows per
+   key).
+
+The offsets are joined back null-safely on the chunk.  With no ties each chunk
+is one row and the result is the plain window's, bit for bit.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+# Chunks a run of tied rows is split into (fixed; results do not depend on it).
+TIE_BUCKETS = 64
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, out_col: str,
+                tiebreak: Sequence[str], buckets: int = TIE_BUCKETS) -> DataFrame:
+    """``df`` plus ``out_col`` = ROWS-frame running sum of ``value_col``.
+
+    Rows tied on (keys, order_col) are ordered by (bucket, hash, tiebreak);
+    rows identical in ``tiebreak`` are interchangeable, so the multiset of
+    results does not depend on how the tie is broken.
+    """
+    cols = df.columns
+    h = F.xxhash64(*[F.col(c) for c in tiebreak])
+    rows = df.select("*", h.alias("__h"), F.pmod(h, F.lit(buckets)).alias("__b"))
+    chunk = [*keys, order_col, "__b"]
+    in_chunk = Window.partitionBy(*chunk).orderBy("__h", *tiebreak)
+    rows = rows.select(
+        "*",
+        F.sum(value_col).over(in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__in"),
+        F.sum(value_col).over(Window.partitionBy(*chunk)).alias("__total"),
+        F.row_number().over(in_chunk).alias("__rn"),
+    )
+    by_chunk = Window.partitionBy(*keys).orderBy(order_col, "__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.filter(F.col("__rn") == 1)
+               .select(*[F.col(c).alias(f"__o_{c}") for c in chunk],
+                       F.sum("__total").over(by_chunk).alias("__off")))
+    cond = None
+    for c in chunk:
+        eq = rows[c].eqNullSafe(offsets[f"__o_{c}"])
+        cond = eq if cond is None else cond & eq
+    joined = rows.join(offsets, cond, "inner")
+    off, within = F.col("__off"), F.col("__in")
+    total = (F.when(off.isNull() & within.isNull(), F.lit(None))
+             .otherwise(F.coalesce(off, F.lit(0)) + F.coalesce(within, F.lit(0))))
+    return joined.select(*[rows[c] for c in cols], total.cast("long").alias(out_col))

@@ -14,12 +14,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
-    # The decompositions window by entity and then join by (entity, day): let
-    # the join reuse the window's hash partitioning on the entity keys instead
-    # of re-shuffling both sides on all join keys (3 fewer shuffles of the
-    # daily table at plan level).  Each entity's rows are co-located for the
-    # window anyway, so this adds no skew exposure.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -1,0 +1,57 @@
+"""running_sum: a plain window's result without ties; a valid ROWS order with ties, split into chunks."""
+
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from kpiloom.operators.running import running_sum
+
+
+def test_equals_plain_window_without_ties(spark):
+    rnd = random.Random(7)
+    data = [(k, d, rnd.choice([None, rnd.randint(0, 50)])) for k in range(20) for d in rnd.sample(range(400), 30)]
+    df = spark.createDataFrame(data, "k long, d long, v long")
+    w = Window.partitionBy("k").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    expected = sorted(df.select("k", "d", F.sum("v").over(w).alias("s")).collect())
+    got = sorted(running_sum(df, ["k"], "d", "v", "s", tiebreak=["v"]).select("k", "d", "s").collect())
+    assert got == expected
+
+
+def test_copies_of_one_key_are_prefix_sums_of_some_order(spark):
+    copies = [(1, 5, v) for v in range(1, 2001)]                 # 2000 copies of (k=1, d=5)
+    other = [(1, 3, 100), (1, 9, 7), (2, 5, 1)]
+    df = spark.createDataFrame(copies + other, "k long, d long, v long")
+    out = running_sum(df, ["k"], "d", "v", "s", tiebreak=["v"])
+    hot = sorted(r["s"] for r in out.filter("k = 1 and d = 5").collect())
+    steps = [b - a for a, b in zip([100] + hot[:-1], hot)]
+    assert sorted(steps) == list(range(1, 2001))                 # each copy added exactly once
+    assert out.filter("k = 1 and d = 9").first()["s"] == 100 + sum(range(1, 2001)) + 7
+    assert out.filter("k = 2").first()["s"] == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__b" in plan                                         # the tie run is partitioned by bucket
+
+
+def test_identical_copies(spark):
+    df = spark.createDataFrame([(1, 1, 2)] * 500, "k long, d long, v long")
+    got = sorted(r["s"] for r in running_sum(df, ["k"], "d", "v", "s", tiebreak=["v"]).collect())
+    assert got == [2 * i for i in range(1, 501)]
+
+
+def test_null_keys_and_all_null_values(spark):
+    df = spark.createDataFrame([(None, 1, None), (None, 2, 3), (1, 1, None)], "k long, d long, v long")
+    got = sorted(running_sum(df, ["k"], "d", "v", "s", tiebreak=["v"]).collect(), key=lambda r: (str(r["k"]), r["d"]))
+    assert [(r["k"], r["d"], r["s"]) for r in got] == [(1, 1, None), (None, 1, None), (None, 2, 3)]
+
+
+def test_decomposition_with_many_attested_copies(make_wh):
+    import datetime as dt
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    wh = make_wh(available=[(1, 10, d1, 5000), (1, 10, d2, 1000)],
+                 attested=[(1, 10, d2, 1)] * 3000 + [(1, 10, d1, 4)])
+    rows = wh["int_daily_action_decomposition"].filter(F.col("date_day") == d2).collect()
+    assert len(rows) == 3000
+    assert sorted(r["cumulative_actions_completed"] for r in rows) == list(range(5, 3005))
+    # every copy: start 5000, end 1000, completed 1 -> ineligible 3999; running over copies after day 1 (0)
+    assert sorted(r["cumulative_actions_became_ineligible"] for r in rows) == [3999 * i for i in range(1, 3001)]
+    assert wh["fct_awv_action"].count() == 3001
