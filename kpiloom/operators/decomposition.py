@@ -53,47 +53,57 @@ def _balance_check() -> F.Column:
 def plan_daily_decomposition(available: DataFrame, attested: DataFrame) -> DataFrame:
     """#12: one row per (day, group, plan) of the available snapshot.
 
+    The reference takes a running sum over the attested rows, left-joins them
+    to the snapshot rows, then takes a running sum over the joined rows.  Both
+    sums are computed here in one pass over one row set: the attested rows
+    with their snapshot row attached, plus the snapshot rows no attested row
+    matches.  The completed-count sum skips the snapshot-only rows (their count
+    is null) and so equals the sum over attested rows, attested-only days
+    included; the ineligible sum skips the attested-only rows (their ineligible
+    count is null) and so equals the sum over joined rows; attested-only rows
+    are dropped afterwards.
+
     The attested snapshot has no uniqueness test, so one key may carry many
-    copies; every copy yields a row (the reference's left join fans out).  To
-    keep such a key from landing in one task, the two running sums use
-    ``running_sum`` (ties split over hash buckets) instead of a plain window,
-    and the left join is written as inner join + anti join, both of which AQE
-    can split when a key is skewed.
+    copies, and every copy yields a row (the reference's left join fans out).
+    To keep such a key out of a single task the sums use ``running_sum``,
+    which splits tie runs over hash buckets, and the joins are a left join
+    from the attested side plus an anti join against the distinct attested
+    keys — shapes AQE can split when a key is skewed (a full outer join it
+    cannot).
     """
     keys = PLAN_KEYS
     on = ["date_day", *keys]
     w = Window.partitionBy(*keys).orderBy("date_day")
-    inventory = _with_start_of_day(available, keys, w)     # available is unique per key (DQ error test)
-    done = running_sum(
-        attested.select("date_day", *keys, F.col("count_actions_attested_as_complete").alias("done")),
-        keys, "date_day", "done", "done_cumulative", tiebreak=["done"])
-    matched = done.join(inventory, on, "inner")
-    unmatched = (inventory.join(done.select(*on).distinct(), on, "left_anti")
-                 .select("*", F.lit(None).cast("long").alias("done"),
-                         F.lit(None).cast("long").alias("done_cumulative")))
-    cols = [*on, "actions_start_of_day", "actions_end_of_day", "done", "done_cumulative"]
-    joined = matched.select(*cols).unionByName(unmatched.select(*cols))
+    inventory = (_with_start_of_day(available, keys, w)       # available is unique per key (DQ error test)
+                 .withColumn("__snapshot", F.lit(True)))
+    done = attested.select(*on, F.col("count_actions_attested_as_complete").alias("done"),
+                           F.lit(True).alias("__attested"))
+    cols = [*on, "actions_start_of_day", "actions_end_of_day", "done", "__snapshot", "__attested"]
+    with_snapshot = done.join(inventory, on, "left").select(*cols)
+    snapshot_only = (inventory.join(done.select(*on).distinct(), on, "left_anti")
+                     .select(*on, "actions_start_of_day", "actions_end_of_day",
+                             F.lit(None).cast("long").alias("done"), "__snapshot",
+                             F.lit(None).cast("boolean").alias("__attested")))
     completed = F.coalesce(F.col("done"), F.lit(0))
-    step = joined.select(
+    drop = F.col("actions_start_of_day") - F.col("actions_end_of_day")
+    rows = with_snapshot.unionByName(snapshot_only).select(
+        *cols,
+        F.when(F.col("__snapshot"), non_negative(drop - completed)).alias("count_actions_became_ineligible_in_day"),
+    )
+    rows = running_sum(rows, keys, "date_day",
+                       {"done": "done_cumulative",
+                        "count_actions_became_ineligible_in_day": "cumulative_actions_became_ineligible"})
+    step = rows.filter(F.col("__snapshot")).select(
         "date_day", *keys, "actions_start_of_day", "actions_end_of_day",
-        (F.col("actions_start_of_day") - F.col("actions_end_of_day")).alias("daily_net_change_of_actions"),
+        drop.alias("daily_net_change_of_actions"),
         completed.cast("long").alias("count_actions_completed_in_day"),
-        F.coalesce(F.col("done_cumulative"), F.lit(0)).cast("long").alias("cumulative_actions_completed"),
-        non_negative(F.col("actions_start_of_day") - F.col("actions_end_of_day") - completed)
-        .alias("count_actions_became_ineligible_in_day"),
-    )
-    step = running_sum(step, keys, "date_day", "count_actions_became_ineligible_in_day",
-                       "cumulative_actions_became_ineligible",
-                       tiebreak=["count_actions_completed_in_day", "cumulative_actions_completed"])
-    return step.select(
-        "date_day", *keys,
-        "actions_start_of_day",
-        "actions_end_of_day",
-        "daily_net_change_of_actions",
-        "count_actions_completed_in_day",
-        "cumulative_actions_completed",
+        F.when(F.col("__attested"), F.coalesce(F.col("done_cumulative"), F.lit(0))).otherwise(F.lit(0))
+        .cast("long").alias("cumulative_actions_completed"),
         "count_actions_became_ineligible_in_day",
         "cumulative_actions_became_ineligible",
+    )
+    return step.select(
+        "*",
         _balance_check().alias("decomposition_balance_check"),
         weekend_flag(F.col("date_day")).alias("is_weekend"),
     )

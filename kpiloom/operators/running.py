@@ -13,8 +13,9 @@ two levels:
    (o, bucket), from one head row per chunk (at most #o x buckets rows per
    key).
 
-The offsets are joined back null-safely on the chunk.  With no ties each chunk
-is one row and the result is the plain window's, bit for bit.
+The offsets are joined back on the chunk (null keys included).  With no ties each chunk
+is one row and the result is the plain window's, bit for bit.  Several sums
+over the same ordering share one pass.
 """
 
 from __future__ import annotations
@@ -28,35 +29,72 @@ from pyspark.sql import functions as F
 TIE_BUCKETS = 64
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, out_col: str,
-                tiebreak: Sequence[str], buckets: int = TIE_BUCKETS) -> DataFrame:
-    """``df`` plus ``out_col`` = ROWS-frame running sum of ``value_col``.
+def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, sums: dict[str, str],
+                tiebreak: Sequence[str] | None = None, buckets: int = TIE_BUCKETS) -> DataFrame:
+    """``df`` plus, for each ``value_col -> out_col`` in ``sums``, the ROWS-frame
+    running sum of ``value_col`` over (keys) ordered by ``order_col``.
 
-    Rows tied on (keys, order_col) are ordered by (bucket, hash, tiebreak);
-    rows identical in ``tiebreak`` are interchangeable, so the multiset of
-    results does not depend on how the tie is broken.
+    All sums share one ordering: rows tied on (keys, order_col) are ordered by
+    (bucket, hash, tiebreak); rows identical in ``tiebreak`` are
+    interchangeable, so the multiset of results does not depend on how a tie
+    is broken.  A null value is skipped, as in SQL; a sum over only nulls is
+    null.
+
+    ``tiebreak`` defaults to every column other than keys and order.  Then both
+    branches (chunk prefixes, chunk offsets) read exactly the same columns of
+    the shuffled input, so Spark reuses that one exchange and ``df`` is
+    computed once.
     """
     cols = df.columns
+    if tiebreak is None:
+        tiebreak = [c for c in cols if c not in (*keys, order_col)]
     h = F.xxhash64(*[F.col(c) for c in tiebreak])
-    rows = df.select("*", h.alias("__h"), F.pmod(h, F.lit(buckets)).alias("__b"))
-    chunk = [*keys, order_col, "__b"]
-    in_chunk = Window.partitionBy(*chunk).orderBy("__h", *tiebreak)
+    # Null-safe surrogates (is-null flag, non-null value) of keys and order: the
+    # shuffle, both windows and the join back all use these same columns, so
+    # the join reuses the shuffle's partitioning and null keys still match.
+    types = dict(df.dtypes)
+    surrogate: list[str] = []
+    exprs = []
+    for i, c in enumerate([*keys, order_col]):
+        exprs += [F.col(c).isNull().alias(f"__n{i}"), F.coalesce(F.col(c), _zero(types[c])).alias(f"__v{i}")]
+        surrogate += [f"__n{i}", f"__v{i}"]
+    key_sur = surrogate[:-2]
+    chunk = [*surrogate, "__b"]
+    # An explicit shuffle on the chunk: an input already hash-partitioned on a
+    # subset of it (keys, order) would satisfy the window's clustering and keep
+    # a hot (key, order) in one task.
+    rows = df.select("*", *exprs, h.alias("__h"), F.pmod(h, F.lit(buckets)).alias("__b")).repartition(*chunk)
+    # keys and order are constant inside a chunk; listing them here only makes
+    # both branches read the same columns, so the shuffle above is reused.
+    in_chunk = Window.partitionBy(*chunk).orderBy("__h", *tiebreak, *keys, order_col)
+    prefix = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*chunk)
+    pairs = list(sums.items())
     rows = rows.select(
         "*",
-        F.sum(value_col).over(in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__in"),
-        F.sum(value_col).over(Window.partitionBy(*chunk)).alias("__total"),
+        *[F.sum(v).over(prefix).alias(f"__in{i}") for i, (v, _) in enumerate(pairs)],
+        *[F.sum(v).over(whole).alias(f"__tot{i}") for i, (v, _) in enumerate(pairs)],
         F.row_number().over(in_chunk).alias("__rn"),
     )
-    by_chunk = Window.partitionBy(*keys).orderBy(order_col, "__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.partitionBy(*key_sur).orderBy(*surrogate[-2:], "__b")
+              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (rows.filter(F.col("__rn") == 1)
-               .select(*[F.col(c).alias(f"__o_{c}") for c in chunk],
-                       F.sum("__total").over(by_chunk).alias("__off")))
-    cond = None
-    for c in chunk:
-        eq = rows[c].eqNullSafe(offsets[f"__o_{c}"])
-        cond = eq if cond is None else cond & eq
-    joined = rows.join(offsets, cond, "inner")
-    off, within = F.col("__off"), F.col("__in")
-    total = (F.when(off.isNull() & within.isNull(), F.lit(None))
-             .otherwise(F.coalesce(off, F.lit(0)) + F.coalesce(within, F.lit(0))))
-    return joined.select(*[rows[c] for c in cols], total.cast("long").alias(out_col))
+               .select(*chunk, *[F.sum(f"__tot{i}").over(before).alias(f"__off{i}") for i in range(len(pairs))]))
+    joined = rows.join(offsets, chunk, "inner")
+    outs = []
+    for i, (_, out) in enumerate(pairs):
+        off, within = F.col(f"__off{i}"), F.col(f"__in{i}")
+        outs.append(F.when(off.isNull() & within.isNull(), F.lit(None))
+                    .otherwise(F.coalesce(off, F.lit(0)) + F.coalesce(within, F.lit(0))).cast("long").alias(out))
+    return joined.select(*cols, *outs)
+
+
+def _zero(dtype: str):
+    """A non-null stand-in of the column's type (paired with an is-null flag)."""
+    if dtype == "string":
+        return F.lit("")
+    if dtype == "boolean":
+        return F.lit(False)
+    if dtype in ("date", "timestamp", "timestamp_ntz"):
+        return F.lit("1970-01-01").cast(dtype)
+    return F.lit(0).cast(dtype)

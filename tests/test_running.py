@@ -14,7 +14,7 @@ def test_equals_plain_window_without_ties(spark):
     df = spark.createDataFrame(data, "k long, d long, v long")
     w = Window.partitionBy("k").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     expected = sorted(df.select("k", "d", F.sum("v").over(w).alias("s")).collect())
-    got = sorted(running_sum(df, ["k"], "d", "v", "s", tiebreak=["v"]).select("k", "d", "s").collect())
+    got = sorted(running_sum(df, ["k"], "d", {"v": "s"}, tiebreak=["v"]).select("k", "d", "s").collect())
     assert got == expected
 
 
@@ -22,7 +22,7 @@ def test_copies_of_one_key_are_prefix_sums_of_some_order(spark):
     copies = [(1, 5, v) for v in range(1, 2001)]                 # 2000 copies of (k=1, d=5)
     other = [(1, 3, 100), (1, 9, 7), (2, 5, 1)]
     df = spark.createDataFrame(copies + other, "k long, d long, v long")
-    out = running_sum(df, ["k"], "d", "v", "s", tiebreak=["v"])
+    out = running_sum(df, ["k"], "d", {"v": "s"}, tiebreak=["v"])
     hot = sorted(r["s"] for r in out.filter("k = 1 and d = 5").collect())
     steps = [b - a for a, b in zip([100] + hot[:-1], hot)]
     assert sorted(steps) == list(range(1, 2001))                 # each copy added exactly once
@@ -34,13 +34,13 @@ def test_copies_of_one_key_are_prefix_sums_of_some_order(spark):
 
 def test_identical_copies(spark):
     df = spark.createDataFrame([(1, 1, 2)] * 500, "k long, d long, v long")
-    got = sorted(r["s"] for r in running_sum(df, ["k"], "d", "v", "s", tiebreak=["v"]).collect())
+    got = sorted(r["s"] for r in running_sum(df, ["k"], "d", {"v": "s"}, tiebreak=["v"]).collect())
     assert got == [2 * i for i in range(1, 501)]
 
 
 def test_null_keys_and_all_null_values(spark):
     df = spark.createDataFrame([(None, 1, None), (None, 2, 3), (1, 1, None)], "k long, d long, v long")
-    got = sorted(running_sum(df, ["k"], "d", "v", "s", tiebreak=["v"]).collect(), key=lambda r: (str(r["k"]), r["d"]))
+    got = sorted(running_sum(df, ["k"], "d", {"v": "s"}, tiebreak=["v"]).collect(), key=lambda r: (str(r["k"]), r["d"]))
     assert [(r["k"], r["d"], r["s"]) for r in got] == [(1, 1, None), (None, 1, None), (None, 2, 3)]
 
 
