@@ -14,6 +14,7 @@ would).
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,6 +99,7 @@ class KpiWarehouse:
         self._models: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._written: set[str] = set()
+        self.build_seconds: dict[str, float] = {}     # filled by materialize
 
     @classmethod
     def from_tpch(cls, spark: SparkSession, sf_dir: str, params: KpiParams = KpiParams()) -> "KpiWarehouse":
@@ -182,7 +184,9 @@ class KpiWarehouse:
             if name in EPHEMERAL or name not in wanted:
                 continue
             path = os.path.join(out_dir, name)
+            t0 = time.perf_counter()
             write_table(self[name], path, fmt)
+            self.build_seconds[name] = round(time.perf_counter() - t0, 3)
             self._models[name] = spark.read.format(fmt).load(path)
             self._written.add(name)
             written[name] = path

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -67,8 +66,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
-
-
-def scratch_table_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the checkpoint dir for written (lineage-cutting) tables."""
-    return os.path.join(checkpoint_dir(spark), name)
