@@ -63,7 +63,10 @@ def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, sums: dict[s
     # An explicit shuffle on the chunk: an input already hash-partitioned on a
     # subset of it (keys, order) would satisfy the window's clustering and keep
     # a hot (key, order) in one task.
-    rows = df.select("*", *exprs, h.alias("__h"), F.pmod(h, F.lit(buckets)).alias("__b")).repartition(*chunk)
+    # (coalesce only marks the bucket non-nullable, so the optimizer infers no
+    # null filter on one branch that would make the two branches differ)
+    bucket = F.coalesce(F.pmod(h, F.lit(buckets)), F.lit(0))
+    rows = df.select("*", *exprs, h.alias("__h"), bucket.alias("__b")).repartition(*chunk)
     # keys and order are constant inside a chunk; listing them here only makes
     # both branches read the same columns, so the shuffle above is reused.
     in_chunk = Window.partitionBy(*chunk).orderBy("__h", *tiebreak, *keys, order_col)
