@@ -55,3 +55,29 @@ def test_decomposition_with_many_attested_copies(make_wh):
     # every copy: start 5000, end 1000, completed 1 -> ineligible 3999; running over copies after day 1 (0)
     assert sorted(r["cumulative_actions_became_ineligible"] for r in rows) == [3999 * i for i in range(1, 3001)]
     assert wh["fct_awv_action"].count() == 3001
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+ROWS = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 3), st.integers(0, 9)), min_size=1, max_size=60)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=ROWS)
+def test_property_ties_are_a_valid_rows_order(spark, data):
+    """For every key: each day's results are prefix sums, over some order of that day's rows,
+    starting from the total of all earlier days (values >= 0, so results are monotone)."""
+    df = spark.createDataFrame(data, "k long, d long, v long")
+    out = running_sum(df, ["k"], "d", {"v": "s"}, buckets=4).collect()
+    by_day: dict[tuple, list] = {}
+    for r in out:
+        by_day.setdefault((r["k"], r["d"]), []).append(r["s"])
+    values: dict[tuple, list] = {}
+    for k, d, v in data:
+        values.setdefault((k, d), []).append(v)
+    for (k, d), sums in by_day.items():
+        before = sum(v for (k2, d2), vs in values.items() if k2 == k and d2 < d for v in vs)
+        sums = sorted(sums)
+        steps = [b - a for a, b in zip([before] + sums[:-1], sums)]
+        assert sorted(steps) == sorted(values[(k, d)])
