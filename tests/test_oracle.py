@@ -31,3 +31,21 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["medical_group_id", "medical_group_name", "date_month"]
     assert df.count() == 7 * 12
+
+
+@pytest.mark.parametrize("name", ["int_daily_action_decomposition", "int_medical_group_plan_action_summary_monthly",
+                                  "rpt_medical_group_plan_performance_annual", "dq_relationships",
+                                  "dim_date_spine_day"])
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    """AQE off, ANSI off, few shuffle partitions and a non-UTC session time zone: same rows."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.ansi.enabled": "false",
+            "spark.sql.shuffle.partitions": "3", "spark.sql.session.timeZone": "Asia/Tokyo"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        problems, _, _, _ = compare(spark, con, name, QUERIES[name], SQL[name], SF_SMALL)
+        assert not problems, problems
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
