@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from kpiloom.params import REPORT_YEAR, KpiParams
 from kpiloom.plans.models import MODEL_NAMES, KpiWarehouse
 from kpiloom.plans.quality_suite import TEST_TYPES
 from kpiloom.session import get_session
@@ -21,9 +22,10 @@ from kpiloom.sources.raw import read_raw_dir
 
 
 def _warehouse(spark, args) -> KpiWarehouse:
+    params = KpiParams(report_year=args.report_year, rate_scale=args.rate_scale)
     if args.tpch:
-        return KpiWarehouse.from_tpch(spark, args.tpch)
-    return KpiWarehouse(read_raw_dir(spark, args.raw, args.raw_format))
+        return KpiWarehouse.from_tpch(spark, args.tpch, params)
+    return KpiWarehouse(read_raw_dir(spark, args.raw, args.raw_format), params)
 
 
 def _report_tests(wh: KpiWarehouse, kinds) -> int:
@@ -52,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default="local[*]")
     ap.add_argument("--select", nargs="*", help="models to write (default: all)")
     ap.add_argument("--tests", nargs="*", default=list(TEST_TYPES), choices=list(TEST_TYPES))
+    ap.add_argument("--report-year", type=int, default=REPORT_YEAR, help="year of the annual reports")
+    ap.add_argument("--rate-scale", type=int, default=None, help="round rates to this many decimals")
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)

@@ -38,3 +38,9 @@ def test_build_then_test_written_tables(spark):
     out = tempfile.mkdtemp(prefix="kpiloom-wh-")
     assert main(["build", "--raw", folder, "--out", out]) == 0
     assert main(["test", "--raw", folder, "--out", out]) == 0
+
+
+def test_show_with_report_year(spark, capsys):
+    assert main(["show", "rpt_medical_group_performance_annual", "--tpch", SF_SMALL, "--report-year", "2023"]) == 0
+    out = capsys.readouterr().out
+    assert "medical_group_id" in out and "2024-01-01" not in out     # no 2023 in the spine: empty report

@@ -31,3 +31,12 @@ def test_materialize_writes_tables(spark):
     assert all(os.path.isdir(p) for p in written.values())
     for m in ("rpt_medical_group_plan_performance_monthly", "int_medical_group_action_summary_monthly"):
         assert _same(wh[m], lazy[m])
+
+
+def test_other_raw_formats_round_trip(spark, tpch_wh):
+    for fmt in ("parquet", "json", "orc"):
+        out = tempfile.mkdtemp(prefix=f"kpiloom-raw-{fmt}-")
+        write_raw_dir(tpch_wh.raw, out, fmt)
+        wh = KpiWarehouse(read_raw_dir(spark, out, fmt))
+        assert _same(wh["fct_awv_action"], tpch_wh["fct_awv_action"]), fmt
+        assert _same(wh["stg_claims_awv"], tpch_wh["stg_claims_awv"]), fmt
