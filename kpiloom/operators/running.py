@@ -25,8 +25,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Chunks a run of tied rows is split into (fixed; results do not depend on it).
-TIE_BUCKETS = 64
+# Chunks a run of tied rows is split into.  Fixed, so the order inside a tie
+# (and so each copy's running value) does not depend on cluster settings.  It
+# costs nothing without ties (every row is its own chunk) and lets a single
+# key holding a large share of the rows spread over up to this many tasks;
+# the offsets window then holds at most #days x TIE_BUCKETS head rows per key.
+TIE_BUCKETS = 4096
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, sums: dict[str, str],
