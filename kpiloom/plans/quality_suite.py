@@ -215,4 +215,4 @@ def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DEC
     meta = _with_meta(counts, {t.name: t for t in selected})
     status = (F.when(F.col("failures") == 0, F.lit("pass"))
               .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
-    return meta.select("*", status.alias("status"))
+    return meta.select("*", status.alias("status")).select(*SUITE_COLUMNS)
