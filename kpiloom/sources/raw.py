@@ -36,13 +36,26 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+RAW_TABLES = ("plan_medical_group", "claims", "actions_available", "actions_attested")
+COLUMNAR_FORMATS = ("parquet", "orc")
+
+
 class RawTables(NamedTuple):
-    """The raw inputs: reference table, claims and the two daily snapshots."""
+    """The raw inputs: reference table, claims and the two daily snapshots.
+
+    ``columnar`` says re-reading a table is a cheap pruned scan (Parquet/ORC);
+    otherwise (CSV, JSON, derived inputs) a table read by many consumers is
+    worth storing once.
+    """
 
     plan_medical_group: DataFrame
     claims: DataFrame
     actions_available: DataFrame
     actions_attested: DataFrame
+    columnar: bool = False
+
+    def tables(self) -> tuple[DataFrame, ...]:
+        return tuple(getattr(self, n) for n in RAW_TABLES)
 
 
 def read_raw(spark: SparkSession, path: str, name: str, fmt: str = "csv",
@@ -65,7 +78,7 @@ def read_raw_dir(spark: SparkSession, directory: str, fmt: str = "csv") -> RawTa
         if not os.path.exists(path) and os.path.exists(f"{path}.{fmt}"):
             path = f"{path}.{fmt}"
         return read_raw(spark, path, name, fmt)
-    return RawTables(*(one(n) for n in RawTables._fields))
+    return RawTables(*(one(n) for n in RAW_TABLES), columnar=fmt in COLUMNAR_FORMATS)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
@@ -81,5 +94,5 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 def write_raw_dir(raw: RawTables, directory: str, fmt: str = "csv") -> None:
     """Write the four raw tables so ``read_raw_dir`` can load them back."""
-    for name, df in zip(RawTables._fields, raw):
+    for name, df in zip(RAW_TABLES, raw.tables()):
         write_table(df, os.path.join(directory, name), fmt)

@@ -199,11 +199,11 @@ class TpchRawSource:
     source objects.
     """
 
-    _fields = RawTables._fields
+    columnar = False          # derived: every re-read re-runs the derivation
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.tables = load_tpch(spark, sf_dir)
+        self.tpch = load_tpch(spark, sf_dir)
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name: str, build) -> DataFrame:
@@ -216,16 +216,16 @@ class TpchRawSource:
         def build() -> DataFrame:
             from kpiloom.session import checkpoint_dir
             checkpoint_dir(self.spark)      # the cluster's folder; a scratch one only when unset
-            return line_counts(self.tables).checkpoint(eager=True)
+            return line_counts(self.tpch).checkpoint(eager=True)
         return self._get("line_counts", build)
 
     @property
     def plan_medical_group(self) -> DataFrame:
-        return self._get("plan_medical_group", lambda: plan_medical_group(self.tables))
+        return self._get("plan_medical_group", lambda: plan_medical_group(self.tpch))
 
     @property
     def claims(self) -> DataFrame:
-        return self._get("claims", lambda: claims(self.tables))
+        return self._get("claims", lambda: claims(self.tpch))
 
     @property
     def actions_available(self) -> DataFrame:
@@ -235,11 +235,11 @@ class TpchRawSource:
     def actions_attested(self) -> DataFrame:
         return self._get("actions_attested", lambda: actions_attested(self.line_counts))
 
-    def __iter__(self):
-        return iter((self.plan_medical_group, self.claims, self.actions_available, self.actions_attested))
+    def tables(self) -> tuple[DataFrame, ...]:
+        return (self.plan_medical_group, self.claims, self.actions_available, self.actions_attested)
 
     def to_raw_tables(self) -> RawTables:
-        return RawTables(*self)
+        return RawTables(*self.tables())
 
 
 def derive_raw(spark: SparkSession, sf_dir: str) -> TpchRawSource:
