@@ -2,10 +2,12 @@
 
 The reference ships no data, so FIXTURES.md §2 defines the inputs as rules over
 ``customer``, ``orders``, ``lineitem`` and ``nation``.  Everything here is a
-declarative DataFrame plan: the big tables (lineitem, orders) are filtered at
-the Parquet scan and pre-aggregated before every shuffle join, so a hot
-customer or order key never reaches a join as more than one row per
-(key, day, flag).
+declarative DataFrame plan.  The big tables are filtered to the source year at
+the Parquet scan.  lineitem joins orders on the order key (an inner join, so
+AQE can split a skewed key); the result is pre-aggregated to
+(customer, day, flag) before the customer join, and orders to
+(customer, month) before theirs, so a hot customer reaches those joins as at
+most one row per day and flag (or per month).
 """
 
 from __future__ import annotations
