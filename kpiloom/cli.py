@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "show":
         if args.model not in MODEL_NAMES:
             ap.error(f"unknown model {args.model!r}; one of {', '.join(MODEL_NAMES)}")
-        wh[args.model].show(50, truncate=False)
+        wh.presented(args.model).show(50, truncate=False)
     return status
 
 

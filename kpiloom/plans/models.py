@@ -82,6 +82,16 @@ BUILDERS: dict[str, Builder] = {
 
 MODEL_NAMES: list[str] = list(BUILDERS)
 
+# The reference ends these models with an ORDER BY.  A stored table keeps no
+# order (and the sort would cost a range shuffle), so the order is applied only
+# when presenting: ``KpiWarehouse.presented``.
+PRESENTATION_ORDER: dict[str, list[str]] = {
+    "int_daily_action_decomposition": ["medical_group_id", "plan_id", "date_day"],
+    "int_medical_group_action_decomposition_daily": ["medical_group_id", "date_day"],
+    "int_medical_group_action_summary_monthly": ["medical_group_id", "date_month"],
+    "int_medical_group_plan_action_summary_monthly": ["medical_group_id", "plan_id", "date_month"],
+}
+
 # Inlined into their consumers, never stored (the reference's ephemeral models).
 EPHEMERAL = frozenset({
     "int_medical_group_plan_action_summary_monthly",
@@ -113,6 +123,11 @@ class KpiWarehouse:
             self._models[name] = BUILDERS[name](self)
         return self._models[name]
 
+    def presented(self, name: str) -> DataFrame:
+        """The model in the reference's ORDER BY, for display (unordered models as is)."""
+        df = self[name]
+        return df.orderBy(*PRESENTATION_ORDER[name]) if name in PRESENTATION_ORDER else df
+
     def stored(self, name: str) -> DataFrame:
         """The model as a stored table, for consumers that read it more than once.
 

@@ -182,3 +182,9 @@ def test_monthly_reports(wh):
     assert (mar["visit_count_per_month"], mar["mg_lost_opportunity_status"], mar["actions_available_end_of_month"]) \
         == (1, "Missing Data", 0)
     assert "monthly_net_new_available_actions" not in wh["rpt_medical_group_plan_performance_monthly"].columns
+
+
+def test_presentation_order(wh):
+    rows = wh.presented("int_daily_action_decomposition").collect()
+    assert [r["date_day"] for r in rows] == [D("2024-01-30"), D("2024-01-31"), D("2024-02-01")]
+    assert wh.presented("dim_plan").count() == 2          # models without ORDER BY come back as they are
