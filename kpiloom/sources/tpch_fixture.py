@@ -3,11 +3,10 @@
 The reference ships no data, so FIXTURES.md §2 defines the inputs as rules over
 ``customer``, ``orders``, ``lineitem`` and ``nation``.  Everything here is a
 declarative DataFrame plan.  The big tables are filtered to the source year at
-the Parquet scan.  lineitem joins orders on the order key (an inner join, so
-AQE can split a skewed key); the result is pre-aggregated to
-(customer, day, flag) before the customer join, and orders to
-(customer, month) before theirs, so a hot customer reaches those joins as at
-most one row per day and flag (or per month).
+the Parquet scan.  lineitem joins orders and customers in inner joins (AQE
+splits a skewed key) and is then aggregated, map-side first; orders are
+pre-aggregated to (customer, month) before the claims join, so a hot
+customer reaches it as at most twelve rows.
 """
 
 from __future__ import annotations
@@ -113,20 +112,23 @@ def claims(tables: dict[str, DataFrame]) -> DataFrame:
 def line_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Line base L aggregated to (g, p, day, flag) -> n.
 
-    lineitem is filtered to the source year at the scan and joined to orders on
-    the order key; the result is pre-aggregated per (customer, day, flag) before
-    the customer join, then per (group, plan, day, flag).
+    lineitem, filtered to the source year at the scan, joins orders on the
+    order key and customers on the customer key; both are inner joins, so AQE
+    splits a skewed key (a customer with a large share of the orders).  The
+    aggregate combines map-side before its shuffle, and its result is bounded
+    by groups x plans x days x 3 flags.  (Aggregating per customer before the
+    customer join would not shrink the data, since a customer has about one
+    line per day and flag, and would cost a second shuffle of every line.)
     """
     lines = (tables["lineitem"].filter(_year_range("l_shipdate", SOURCE_YEAR))
              .select("l_orderkey", F.to_date("l_shipdate").alias("day"),
                      F.col("l_returnflag").alias("flag")))
     orders = tables["orders"].select("o_orderkey", "o_custkey")
-    per_customer = (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-                    .groupBy("o_custkey", "day", "flag").agg(F.count(F.lit(1)).alias("n")))
     cust = _customers(tables).filter(F.col("p") <= MAX_REFERENCE_PLAN).select("custkey", "g", "p")
-    return (per_customer.join(cust, per_customer["o_custkey"] == cust["custkey"])
-            .groupBy("g", "p", _shift(F.col("day")).alias("day"), "flag")
-            .agg(F.sum("n").alias("n")))
+    joined = (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+              .join(cust, F.col("o_custkey") == cust["custkey"]))
+    return (joined.groupBy("g", "p", _shift(F.col("day")).alias("day"), "flag")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def actions_attested(counts: DataFrame) -> DataFrame:
