@@ -51,14 +51,16 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--raw-format", default="csv")
     ap.add_argument("--out", help="warehouse folder for the written models")
     ap.add_argument("--format", default="parquet")
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", default=None, help="Spark master (default: spark-submit's, else local)")
+    ap.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="extra Spark setting")
     ap.add_argument("--select", nargs="*", help="models to write (default: all)")
     ap.add_argument("--tests", nargs="*", default=list(TEST_TYPES), choices=list(TEST_TYPES))
     ap.add_argument("--report-year", type=int, default=REPORT_YEAR, help="year of the annual reports")
     ap.add_argument("--rate-scale", type=int, default=None, help="round rates to this many decimals")
     args = ap.parse_args(argv)
 
-    spark = get_session(args.master)
+    extra = dict(kv.split("=", 1) for kv in args.conf)
+    spark = get_session(args.master, extra=extra)
     wh = _warehouse(spark, args)
     status = 0
     if args.command in ("run", "build"):

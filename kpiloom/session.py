@@ -33,12 +33,19 @@ def cluster_conf(executors: int, cores_per_executor: int) -> dict[str, str]:
     }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "kpiloom", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings the models assume."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Build (or reuse) a session with the settings the models assume.
+
+    ``master`` and ``shuffle_partitions`` are set only when given, so under
+    ``spark-submit`` the cluster's own master and sizing stay in force.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
