@@ -177,14 +177,19 @@ class KpiWarehouse:
     # -- table sink ----------------------------------------------------------
     def attach(self, out_dir: str, fmt: str = "parquet") -> list[str]:
         """Read already-written models from ``out_dir`` instead of rebuilding them."""
+        from pyspark.errors import AnalysisException
         spark = self.raw.claims.sparkSession
         found = []
         for name in MODEL_NAMES:
-            path = os.path.join(out_dir, name)
-            if name not in EPHEMERAL and os.path.isdir(path):
-                self._models[name] = spark.read.format(fmt).load(path)
-                self._written.add(name)
-                found.append(name)
+            if name in EPHEMERAL:
+                continue
+            try:          # any Hadoop file system (hdfs://, s3a://, file:), not just local paths
+                df = spark.read.format(fmt).load(os.path.join(out_dir, name))
+            except AnalysisException:
+                continue  # not written
+            self._models[name] = df
+            self._written.add(name)
+            found.append(name)
         return found
 
     def materialize(self, out_dir: str, fmt: str = "parquet",

@@ -42,3 +42,12 @@ def test_other_raw_formats_round_trip(spark, tpch_wh):
         wh = KpiWarehouse(read_raw_dir(spark, out, fmt))
         assert _same(wh["fct_awv_action"], tpch_wh["fct_awv_action"]), fmt
         assert _same(wh["stg_claims_awv"], tpch_wh["stg_claims_awv"]), fmt
+
+
+def test_attach_reads_written_tables(spark):
+    from conftest import SF_SMALL
+    out = tempfile.mkdtemp(prefix="kpiloom-wh-")
+    KpiWarehouse.from_tpch(spark, SF_SMALL).materialize(out, models=["stg_plan_medical_group", "dim_plan"])
+    wh = KpiWarehouse.from_tpch(spark, SF_SMALL)
+    assert wh.attach(out) == ["stg_plan_medical_group", "dim_plan"]
+    assert wh["dim_plan"].count() == 5
