@@ -160,10 +160,13 @@ def actions_available(counts: DataFrame) -> DataFrame:
     days = counts.select("day").distinct()
     lo = counts.agg(F.min("day")).scalar()
     hi = counts.agg(F.max("day")).scalar()
+    # Proven size bounds from the rules above: one source year (<= 366 days),
+    # g < N_GROUPS, p <= MAX_REFERENCE_PLAN.  So the day set and the daily
+    # deltas (<= 7 x 4 x 366 rows) are broadcast whatever the size of lineitem.
     grid = (base.select("g", "p", "base", F.explode(F.sequence(lo, hi)).alias("day"))
-            .join(days, "day", "left_semi"))
+            .join(F.broadcast(days), "day", "left_semi"))
     w = Window.partitionBy("g", "p").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    snap = (grid.join(delta, ["g", "p", "day"], "left")
+    snap = (grid.join(F.broadcast(delta), ["g", "p", "day"], "left")
             .select("g", "p", "day",
                     (F.col("base") + F.sum(F.coalesce(F.col("delta"), F.lit(0))).over(w)).alias("cnt")))
     return snap.filter((F.dayofmonth("day") + F.col("g")) % 10 != 0).select(
