@@ -44,3 +44,8 @@ def test_show_with_report_year(spark, capsys):
     assert main(["show", "rpt_medical_group_performance_annual", "--tpch", SF_SMALL, "--report-year", "2023"]) == 0
     out = capsys.readouterr().out
     assert "medical_group_id" in out and "2024-01-01" not in out     # no 2023 in the spine: empty report
+
+
+def test_select_models_for_tests(spark, capsys):
+    assert main(["test", "--tpch", SF_SMALL, "--select", "dim_plan", "dim_patient"]) == 0
+    assert "TOTAL=5" in capsys.readouterr().out          # dim_plan: 3 tests, dim_patient: 2
