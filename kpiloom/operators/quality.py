@@ -111,6 +111,36 @@ def batched_failures(df: DataFrame, row_checks: Sequence[tuple[str, Column]] = (
     return counts.select(rows.alias("r")).select("r.name", "r.failures")
 
 
+def batched_failures_with_unique(df: DataFrame, unique_name: str, key: Column,
+                                 row_checks: Sequence[tuple[str, Column]] = (),
+                                 relationship_checks: Sequence[tuple[str, str, DataFrame, str]] = ()
+                                 ) -> DataFrame:
+    """``batched_failures`` plus one ``unique`` check, in a single scan.
+
+    Rows are grouped by the unique key (combined map-side) while the row-level
+    failure indicators are summed; one global aggregate over the groups then
+    gives every count, and the number of non-null keys seen more than once.
+    """
+    child = df
+    preds = list(row_checks)
+    for i, (name, column, parent, fld) in enumerate(relationship_checks):
+        k, marker = f"__key{i}", f"__found{i}"
+        keys = parent.select(F.col(fld).alias(k)).distinct().withColumn(marker, F.lit(True))
+        child = child.join(keys, child[column] == keys[k], "left")
+        preds.append((name, F.col(column).isNotNull() & F.col(marker).isNull()))
+    per_key = child.groupBy(key.alias("__unique_key")).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}") for i, (_, pred) in enumerate(preds)])
+    dup = F.col("__unique_key").isNotNull() & (F.col("__n") > 1)
+    counts = per_key.agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(preds))],
+                         F.count_if(dup).alias(f"c{len(preds)}"))
+    names = [name for name, _ in preds] + [unique_name]
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("failures"))
+        for i, name in enumerate(names)]))
+    return counts.select(rows.alias("r")).select("r.name", "r.failures")
+
+
 def orphan_plans_in_claims(claims: DataFrame, pmg: DataFrame) -> DataFrame:
     """Distinct claim plan ids missing from the reference table (nulls included)."""
     plans = claims.select("plan_id").distinct()

@@ -4,9 +4,10 @@
 YAML (fixed values: models, columns, parents, value sets, ranges, severities).
 ``run_suite`` turns them into one lazy DataFrame — one row per test with its
 failure count, severity and status — that a single action evaluates:
-all checks of a model except ``unique`` share one scan and one aggregate
-(relationships through left joins to the distinct parent keys); each
-``unique`` check is one grouped aggregate.  Nothing is collected or looped
+all checks of a model share one scan (relationships through left joins to
+the distinct parent keys); with a ``unique`` test the rows are grouped by its
+key while the other checks are counted, otherwise one global aggregate
+suffices.  Nothing is collected or looped
 over on the driver.
 """
 
@@ -193,10 +194,10 @@ def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DEC
     selected = [t for t in tests if t.test in wanted]
     parts: list[DataFrame] = []
     per_model: dict[str, dict[str, list]] = {}
+    uniques: dict[str, DataTest] = {}
     for t in selected:
         if t.test == "unique":
-            key = Q.concat_key(*t.key_columns) if t.key_columns else F.col(t.column)
-            parts.append(_grouped_count(t.name, Q.unique_failures(model(t.model), key)))
+            uniques[t.model] = t           # at most one unique test per model
             continue
         checks = per_model.setdefault(t.model, {"row": [], "values": [], "rel": []})
         if t.test == "not_null":
@@ -207,6 +208,15 @@ def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DEC
             checks["values"].append((t.name, t.column, t.values))
         elif t.test == "relationships":
             checks["rel"].append((t.name, t.column, model(t.to), t.field))
+    for m, t in uniques.items():
+        key = Q.concat_key(*t.key_columns) if t.key_columns else F.col(t.column)
+        checks = per_model.get(m)
+        if checks and not checks["values"]:
+            # one scan: group by the unique key while counting the other checks
+            parts.append(Q.batched_failures_with_unique(model(m), t.name, key, checks["row"], checks["rel"]))
+            del per_model[m]
+        else:
+            parts.append(_grouped_count(t.name, Q.unique_failures(model(m), key)))
     for m, checks in per_model.items():
         parts.append(Q.batched_failures(model(m), checks["row"], checks["values"], checks["rel"]))
     counts = parts[0]

@@ -37,3 +37,15 @@ def test_concat_key_is_null_safe_like_sql(spark):
     df = spark.createDataFrame([(1, "x"), (2, None)], "a long, b string")
     vals = [r[0] for r in df.select(Q.concat_key("a", "b")).orderBy("a").collect()]
     assert vals == ["1-x", None]
+
+
+def test_batched_with_unique_counts_everything_in_one_pass(spark):
+    df = spark.createDataFrame([(1, 5), (1, None), (2, 40), (None, 7), (None, 8), (9, 3)], "k long, v long")
+    parent = spark.createDataFrame([(1,), (2,), (2,)], "k long")
+    out = {r["name"]: r["failures"] for r in Q.batched_failures_with_unique(
+        df, "uniq", F.col("k"),
+        row_checks=[("nn", F.col("v").isNull()), ("range", ~Q.range_condition("v", 0, 10))],
+        relationship_checks=[("rel", "k", parent, "k")],
+    ).collect()}
+    # key 1 twice -> 1 duplicated value; null keys never count as duplicates
+    assert out == {"nn": 1, "range": 1, "rel": 1, "uniq": 1}
