@@ -9,7 +9,8 @@ Row semantics follow the generic tests the reference declares in YAML:
 * accepted_range  -> rows outside [min, max]; null passes
 
 ``batched_failures`` counts every check of one table except ``unique`` in a
-single scan and aggregate, so a suite reads each table once.
+single scan and aggregate; ``batched_failures_with_unique`` adds the table's
+``unique`` check to the same scan.  A suite thus reads each table once.
 """
 
 from __future__ import annotations
@@ -75,6 +76,21 @@ def accepted_range_failures(df: DataFrame, column: str, min_value=None, max_valu
     return df.filter(~range_condition(column, min_value, max_value, inclusive))
 
 
+def _with_relationships(df: DataFrame, row_checks, relationship_checks):
+    """Left-join ``df`` to the distinct key set of each parent (with a marker),
+    so each relationship check becomes one more failing-row predicate; no row
+    fans out.  The planner broadcasts a small key set and shuffles a large one.
+    """
+    child = df
+    preds = list(row_checks)
+    for i, (name, column, parent, fld) in enumerate(relationship_checks):
+        key, marker = f"__key{i}", f"__found{i}"
+        keys = parent.select(F.col(fld).alias(key)).distinct().withColumn(marker, F.lit(True))
+        child = child.join(keys, child[column] == keys[key], "left")
+        preds.append((name, F.col(column).isNotNull() & F.col(marker).isNull()))
+    return child, preds
+
+
 def batched_failures(df: DataFrame, row_checks: Sequence[tuple[str, Column]] = (),
                      value_checks: Sequence[tuple[str, str, Sequence]] = (),
                      relationship_checks: Sequence[tuple[str, str, DataFrame, str]] = ()) -> DataFrame:
@@ -91,13 +107,7 @@ def batched_failures(df: DataFrame, row_checks: Sequence[tuple[str, Column]] = (
 
     Returns (name, failures).
     """
-    child = df
-    preds = list(row_checks)
-    for i, (name, column, parent, fld) in enumerate(relationship_checks):
-        key, marker = f"__key{i}", f"__found{i}"
-        keys = parent.select(F.col(fld).alias(key)).distinct().withColumn(marker, F.lit(True))
-        child = child.join(keys, child[column] == keys[key], "left")
-        preds.append((name, F.col(column).isNotNull() & F.col(marker).isNull()))
+    child, preds = _with_relationships(df, row_checks, relationship_checks)
     aggs = [F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}") for i, (_, pred) in enumerate(preds)]
     names = [name for name, _ in preds]
     for name, column, values in value_checks:
@@ -121,13 +131,7 @@ def batched_failures_with_unique(df: DataFrame, unique_name: str, key: Column,
     failure indicators are summed; one global aggregate over the groups then
     gives every count, and the number of non-null keys seen more than once.
     """
-    child = df
-    preds = list(row_checks)
-    for i, (name, column, parent, fld) in enumerate(relationship_checks):
-        k, marker = f"__key{i}", f"__found{i}"
-        keys = parent.select(F.col(fld).alias(k)).distinct().withColumn(marker, F.lit(True))
-        child = child.join(keys, child[column] == keys[k], "left")
-        preds.append((name, F.col(column).isNotNull() & F.col(marker).isNull()))
+    child, preds = _with_relationships(df, row_checks, relationship_checks)
     per_key = child.groupBy(key.alias("__unique_key")).agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}") for i, (_, pred) in enumerate(preds)])
