@@ -152,20 +152,23 @@ class KpiWarehouse:
 
         After ``materialize`` / ``attach`` the tests read the written tables,
         as the reference's tests read its stored models.  Otherwise models are
-        built lazily, except claims staging when its raw input is costly to
-        re-read (CSV, JSON, or derived): claims is the one input that grows
-        with the data and about eight test branches read it, so it is stored
-        once.  Over Parquet/ORC each branch instead scans just the columns it
-        needs.  (The action snapshots are bounded by groups x plans x days;
-        the branches that rebuild them run concurrently inside the one job.)
+        built lazily, except two staging tables when their raw input is costly
+        to re-read (CSV, JSON, or derived): claims, the one input that grows
+        with the data, read by about eight test branches, and the plan /
+        medical-group reference table, read by about eleven (as a model and as
+        a relationship parent).  They are stored once.  Over Parquet/ORC each
+        branch instead scans just the columns it needs.  (The action snapshots
+        are bounded by groups x plans x days; the branches that rebuild them
+        run concurrently inside the one job.)
         """
         view = KpiWarehouse(self.raw, self.params)
         for name in MODEL_NAMES:
             if name in self._written:
                 view._models[name] = self._models[name]
                 view._written.add(name)
-        if "stg_claims_awv" not in self._written and not getattr(self.raw, "columnar", False):
-            view._models["stg_claims_awv"] = self.stored("stg_claims_awv")
+        for name in ("stg_claims_awv", "stg_plan_medical_group"):
+            if name not in self._written and not getattr(self.raw, "columnar", False):
+                view._models[name] = self.stored(name)
         return run_suite(view.__getitem__, tests, test_types)
 
     def orphan_plans_in_claims(self) -> DataFrame:
