@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import table
+from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.sharding import shard_documents
+from kpiloom.llm.url_filter import filter_urls
+
+
+def vocabulary() -> str:
+    """The public vocabulary file that packing counts tokens with."""
+    import public_tokenizers
+    return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +25,14 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding,)}
+    return {f.__name__: f for f in (op3_sharding, op5_url_filter, op9_packing)}
