@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,6 +31,32 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="kpiloom-src-"), "kpiloom_src.zip")     # read by the driver only
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+def mapped(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -50,16 +79,6 @@ def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return cond
 
 
-def batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]) -> Callable:
-    """A ``mapInArrow`` function from one that maps a batch to a batch or table."""
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            if b.num_rows:
-                out = fn(b)
-                yield from (out.to_batches() if isinstance(out, pa.Table) else [out])
-    return run
-
-
 def running(df: DataFrame, order: list[str], descending: tuple[str, ...], value: str, name: str,
             run: str | None = None) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over all rows before a row in the total order ``order``.
@@ -92,7 +111,7 @@ def running(df: DataFrame, order: list[str], descending: tuple[str, ...], value:
             yield b.append_column(name, pa.array(out, pa.int64()))
 
     schema = dealt.withColumn(name, F.lit(0).cast("long")).schema
-    done = saved(dealt.mapInArrow(local, schema))
+    done = saved(mapped(dealt, local, schema))
     keys = ["_part"] + ([run] if run else [])
     sums = sorted(tuple(r) for r in done.groupBy(*keys).agg(F.sum(value)).collect())   # partitions (+ runs) rows
     offsets, totals = [], {}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import saved
+from kpiloom.llm.common import mapped, saved, ship
 from kpiloom.llm.tokens import worker_tokens
 
 CAPACITY = 4096
@@ -55,7 +55,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) ->
                                   ["doc_id", "piece", "start", "length", "ids_crc32"])
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(pieces, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return mapped(rows, pieces, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 class _Stock:
@@ -209,6 +209,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -
     def one_round(left: DataFrame, number: int) -> DataFrame:
         groups = max(1, -(-left.count() // GROUP_PIECES))
         schema = ", ".join(f"{n} {t}" for n, t in left.dtypes) + ", sequence_id long, offset long, fill long"
+        ship(left.sparkSession)
         dealt = left.withColumn("part", F.pmod(F.xxhash64("tie"), F.lit(groups)))
         return saved(dealt.groupBy("part").applyInArrow(_packed(capacity, number), schema))
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.llm.common import mapped
+
 # Rules (host with its subdomains, path prefix, verdict).
 RULES = (
     ("org", "/", "allow"),
@@ -85,7 +87,7 @@ def term_hits(urls: DataFrame, strict=STRICT, soft=SOFT) -> DataFrame:
                 b = b.append_column(name, pa.array(x, pa.int64()))
             yield b
     schema = ", ".join(f"`{n}` {t}" for n, t in urls.dtypes) + ", n_strict long, n_soft long, soft_weight long"
-    return urls.mapInArrow(scan, schema)
+    return mapped(urls, scan, schema)
 
 
 def filter_urls(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, limit: int = SOFT_LIMIT) -> DataFrame:
