@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import table
+from kpiloom.llm.knn_quality import score_quality
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.sharding import shard_documents
 from kpiloom.llm.url_filter import filter_urls
@@ -30,9 +31,14 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
+def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_url_filter, op9_packing)}
+    return {f.__name__: f for f in (op3_sharding, op5_url_filter, op8_quality_knn, op9_packing)}

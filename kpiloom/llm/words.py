@@ -24,8 +24,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-_CODE = _BYTE[_FOLD]
-_CODE[_SPACE] = 0                      # white space adds nothing to a word's sum
+_CASED = _BYTE.copy()
+_CASED[_SPACE] = 0                     # white space adds nothing to a word's sum
+_CODE = _CASED[_FOLD]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -81,11 +82,12 @@ def word_bounds(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def word_hashes(raw: np.ndarray, starts: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Hash of every word; ``fold`` takes A-Z as a-z."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     _powers.grow(len(raw))
-    sums = np.add.reduceat(_CODE[raw] * _powers.up[:len(raw)], starts)
+    sums = np.add.reduceat((_CODE if fold else _CASED)[raw] * _powers.up[:len(raw)], starts)
     return mix(sums * _powers.down[starts])
 
 
@@ -127,3 +129,9 @@ def jaccard_parts(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """(intersection, union) sizes of two sorted distinct arrays."""
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both, len(a) + len(b) - both
+
+
+def row_blocks(off: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
+    """Consecutive row ranges of at most ``rows`` rows."""
+    for a in range(0, len(off) - 1, rows):
+        yield a, min(len(off) - 1, a + rows)
