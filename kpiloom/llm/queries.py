@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.common import table
 from kpiloom.llm.knn_quality import score_quality
+from kpiloom.llm.line_crf import label_lines
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.sharding import shard_documents
 from kpiloom.llm.url_filter import filter_urls
@@ -31,6 +32,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
+def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_lines(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
@@ -41,4 +46,4 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_url_filter, op8_quality_knn, op9_packing)}
+    return {f.__name__: f for f in (op3_sharding, op5_url_filter, op7_line_crf, op8_quality_knn, op9_packing)}
