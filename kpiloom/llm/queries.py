@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.common import table
 from kpiloom.llm.knn_quality import score_quality
+from kpiloom.llm import secret_scan
 from kpiloom.llm.line_crf import label_lines
+from kpiloom.llm.line_dedup import dedup_lines
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.sharding import shard_documents
 from kpiloom.llm.url_filter import filter_urls
@@ -21,6 +23,13 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.size("_removed").alias("n_removed"), F.array_join("_removed", ",").alias("removed_lines"),
+                      F.length("text").alias("n_kept_chars"),
+                      F.crc32(F.encode("text", "UTF-8")).alias("kept_crc32"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(table(spark, sf_dir, "documents"), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -32,6 +41,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
+
+
 def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_lines(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,4 +59,4 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_url_filter, op7_line_crf, op8_quality_knn, op9_packing)}
+    return {f.__name__: f for f in (op2_line_dedup, op3_sharding, op5_url_filter, op6_secret_scan, op7_line_crf, op8_quality_knn, op9_packing)}
