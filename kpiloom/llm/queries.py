@@ -12,6 +12,7 @@ from kpiloom.llm.knn_quality import score_quality
 from kpiloom.llm import secret_scan
 from kpiloom.llm.line_crf import label_lines
 from kpiloom.llm.line_dedup import dedup_lines
+from kpiloom.llm.near_dedup import near_duplicates
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.sharding import shard_documents
 from kpiloom.llm.url_filter import filter_urls
@@ -36,6 +37,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages")).select(
         "page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
@@ -59,4 +64,4 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op3_sharding, op5_url_filter, op6_secret_scan, op7_line_crf, op8_quality_knn, op9_packing)}
+    return {f.__name__: f for f in (op2_line_dedup, op3_sharding, op4_near_dedup, op5_url_filter, op6_secret_scan, op7_line_crf, op8_quality_knn, op9_packing)}
