@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import table
+from kpiloom.llm.decontaminate import contaminated
 from kpiloom.llm.knn_quality import score_quality
 from kpiloom.llm import secret_scan
 from kpiloom.llm.line_crf import label_lines
@@ -15,6 +16,7 @@ from kpiloom.llm.line_dedup import dedup_lines
 from kpiloom.llm.near_dedup import near_duplicates
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.sharding import shard_documents
+from kpiloom.llm.substring_dedup import repeated_paragraphs
 from kpiloom.llm.url_filter import filter_urls
 
 
@@ -24,6 +26,10 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.size("_removed").alias("n_removed"), F.array_join("_removed", ",").alias("removed_lines"),
@@ -63,5 +69,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op3_sharding, op4_near_dedup, op5_url_filter, op6_secret_scan, op7_line_crf, op8_quality_knn, op9_packing)}
+    return {f.__name__: f for f in (
+        op1_substring_dedup, op2_line_dedup, op3_sharding, op4_near_dedup, op5_url_filter, op6_secret_scan,
+        op7_line_crf, op8_quality_knn, op9_packing, op10_decontamination)}

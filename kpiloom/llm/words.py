@@ -135,3 +135,23 @@ def row_blocks(off: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of at most ``rows`` rows."""
     for a in range(0, len(off) - 1, rows):
         yield a, min(len(off) - 1, a + rows)
+
+
+def paragraph_starts(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """First word of every paragraph: a paragraph ends with its line, or after a word that ends in ``.``, ``!`` or ``?``."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    cut = np.zeros(len(starts) + 1, bool)
+    cut[bound] = True
+    lines = np.cumsum(raw == 10)
+    cut[1:-1] |= (lines[starts[1:]] > lines[ends[:-1] - 1]) | np.isin(raw[ends[:-1] - 1], (33, 46, 63))
+    return np.flatnonzero(cut[:-1])
+
+
+def sequence_hashes(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """One hash for each run of words that begins at ``starts`` (and ends at the next start)."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    _powers.grow(len(words))
+    sums = np.add.reduceat(words * _powers.up[:len(words)], starts) * _powers.down[starts]
+    return mix(sums + np.diff(np.append(starts, len(words))).astype(np.uint64))
