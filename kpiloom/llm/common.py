@@ -71,14 +71,6 @@ def text_key(text: Column) -> list[Column]:
 KEY = ["key_hash", "key_crc", "key_bytes"]
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Null-safe equality of the named columns."""
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[n])
-    return cond
-
-
 def running(df: DataFrame, order: list[str], descending: tuple[str, ...], value: str, name: str,
             run: str | None = None) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over all rows before a row in the total order ``order``.

@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import mapped, saved
+from kpiloom.llm.common import mapped, saved, text_key
+from kpiloom.llm.similar import small_side
 from kpiloom.llm.words import mix, row_words, windows
 
 MIN_MATCH = 5
@@ -168,3 +169,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH,
     kinds = (dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"])
     return docs.sparkSession.createDataFrame([], "doc_id {}, item_id {}, item_length long, n_tiles long, longest_tile long, "
                                                  "covered long, coverage double".format(*kinds))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` less the documents that hold a benchmark item."""
+    key = F.struct("doc_id", *text_key(F.col("text")))
+    found = saved(contaminated(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_gone")).distinct())
+    keyed = docs.select(*docs.columns, key.alias("_key"))
+    return keyed.join(small_side(found), F.col("_key") == F.col("_gone"), "left_anti").select(*docs.columns)

@@ -160,11 +160,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, rows: int = ROWS, dims: in
         m = model.value
         for b in it:
             s = [votes(m, c) for _, c in term_counts(b.column(0))]
-            rest = [b.column(i) for i in range(1, b.num_columns)]
-            yield pa.record_batch([*rest, pa.array(np.concatenate(s))], [*b.schema.names[1:], "score"])
-
-    rows_in = docs.select(F.col("text").cast("string").alias("_text"), *keep)
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows_in.dtypes[1:]) + ", score double"
+            held = [b.column(0) if c == "text" else b.column(at[c]) for c in keep]
+            yield pa.record_batch([*held, pa.array(np.concatenate(s))], [*keep, "score"])
+
+    rest = [c for c in keep if c != "text"]                # the text goes over once
+    at = {c: i + 1 for i, c in enumerate(rest)}
+    rows_in = docs.select(F.col("text").cast("string").alias("_text"), *rest)
+    kinds = {**dict(rows_in.dtypes), "text": "string"}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", score double"
     return (mapped(rows_in, score, schema)
             .withColumn("held_out", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)))
             .withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0)))

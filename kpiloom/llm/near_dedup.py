@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import mapped, saved
+from kpiloom.llm.common import KEY, mapped, saved, text_key
 from kpiloom.llm.components import components
 from kpiloom.llm.similar import linked, small_side
 from kpiloom.llm.words import SHINGLE_WORDS, mix, row_shingles
@@ -102,3 +102,22 @@ def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN, matches: in
                   .join(of_node, F.col("node") == F.col("c_node"), "left")
                   .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
                   .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` less all but one document of each group of near duplicates.
+
+    Documents are told apart by id and text, so ids may repeat; rows equal in both become one.
+    """
+    key = F.struct("doc_id", *text_key(F.col("text")))
+    keyed = docs.select(*docs.columns, key.alias("_key"))
+    named = saved(near_duplicates(docs.select(key.alias("doc_id"), "text")))
+    gone = saved(named.where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
+    rest = keyed.join(small_side(gone), F.col("_key") == F.col("_gone"), "left_anti")
+    again = saved(named.where("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("_again"))
+                       .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_again"))
+    if again.isEmpty():
+        return rest.select(*docs.columns)
+    once = rest.join(small_side(again), F.col("_key") == F.col("_again"), "left_anti")
+    more = rest.join(small_side(again), F.col("_key") == F.col("_again"), "left_semi").dropDuplicates(["_key"])
+    return once.unionByName(more).select(*docs.columns)
