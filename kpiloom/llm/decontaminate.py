@@ -174,6 +174,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH,
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` less the documents that hold a benchmark item."""
     key = F.struct("doc_id", *text_key(F.col("text")))
-    found = saved(contaminated(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_gone")).distinct())
-    keyed = docs.select(*docs.columns, key.alias("_key"))
-    return keyed.join(small_side(found), F.col("_key") == F.col("_gone"), "left_anti").select(*docs.columns)
+    found = saved(contaminated(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__kpl_gone")).distinct())
+    keyed = docs.select(*docs.columns, key.alias("__kpl_key"))
+    return keyed.join(small_side(found), F.col("__kpl_key") == F.col("__kpl_gone"), "left_anti").select(*docs.columns)

@@ -151,23 +151,32 @@ def votes(model: dict, counts: np.ndarray) -> np.ndarray:
     return np.clip(out, 0.0, 1.0)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, rows: int = ROWS, dims: int = DIMS, threshold: float = THRESHOLD,
-                  keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of every document with held_out, score and predicted (1: good)."""
+def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...], name: str, rows: int = ROWS, dims: int = DIMS) -> DataFrame:
+    """The columns ``keep`` of every document with its score under ``name``."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows, dims))
+    rest = [c for c in keep if c != "text"]                # the text goes over once
+    at = {c: i + 1 for i, c in enumerate(rest)}
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in it:
-            s = [votes(m, c) for _, c in term_counts(b.column(0))]
-            held = [b.column(0) if c == "text" else b.column(at[c]) for c in keep]
-            yield pa.record_batch([*held, pa.array(np.concatenate(s))], [*keep, "score"])
+            if b.num_rows:
+                s = np.concatenate([votes(m, c) for _, c in term_counts(b.column(0))])
+                held = [b.column(at.get(c, 0)) for c in keep]
+                yield pa.record_batch([*held, pa.array(s)], [*keep, name])
 
-    rest = [c for c in keep if c != "text"]                # the text goes over once
-    at = {c: i + 1 for i, c in enumerate(rest)}
-    rows_in = docs.select(F.col("text").cast("string").alias("_text"), *rest)
+    rows_in = docs.select(F.col("text").cast("string").alias("__kpl_text"), *rest)
     kinds = {**dict(rows_in.dtypes), "text": "string"}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", score double"
-    return (mapped(rows_in, score, schema)
+    return mapped(rows_in, score, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", `{name}` double")
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, rows: int = ROWS, dims: int = DIMS, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, score, held_out, predicted) of every document; predicted is 1 for a good one."""
+    return (scored(docs, labels, ("doc_id",), "score", rows, dims)
             .withColumn("held_out", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)))
             .withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0)))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows and columns of ``docs`` whose texts are called good."""
+    return scored(docs, labels, tuple(docs.columns), "__kpl_score").where(F.col("__kpl_score") >= threshold).select(*docs.columns)

@@ -188,6 +188,8 @@ def label_lines(docs: DataFrame, labels: DataFrame, rows: int = ROWS, share: flo
     def judge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in it:
+            if not b.num_rows:
+                continue
             rows_out = []
             for _, counts, x, n in document_lines(b.column(0)):
                 state = viterbi(x, m)

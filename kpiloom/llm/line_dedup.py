@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from kpiloom.llm.common import KEY, saved, text_key
 
 GRAM, WINDOW = 2, 2
-MARGIN = WINDOW - 1          # lines that an extension may add at either end
+REMOVED = "__kpl_removed"    # column of removed line places
 
 
 def line_table(docs: DataFrame) -> DataFrame:
@@ -94,19 +94,19 @@ def removed_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Da
 
 
 def dedup_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """All rows and columns with the text less its repeated runs, and ``_removed`` (line places, empty if none)."""
+    """All rows and columns with the text less its repeated runs, and the column ``REMOVED`` (line places, empty if none)."""
     gone = removed_lines(docs, gram, window)
     keys = ["doc_id", *KEY]
-    gone = gone.select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col("removed").alias("_removed"))
-    rows = docs.select("*", *[c.alias(f"_k{i}") for i, c in enumerate(text_key(docs["text"]))])
-    cond = rows["doc_id"].eqNullSafe(F.col("_g_doc_id"))
+    gone = gone.select(*[F.col(k).alias(f"__kpl_g_{k}") for k in keys], F.col("removed").alias(REMOVED))
+    rows = docs.select("*", *[c.alias(f"__kpl_k{i}") for i, c in enumerate(text_key(docs["text"]))])
+    cond = rows["doc_id"].eqNullSafe(F.col("__kpl_g_doc_id"))
     for i, k in enumerate(KEY):
-        cond = cond & (F.col(f"_k{i}") == F.col(f"_g_{k}"))
+        cond = cond & (F.col(f"__kpl_k{i}") == F.col(f"__kpl_g_{k}"))
     met = rows.join(gone, cond, "left")
     # removed places as a set of flags: one pass over the lines, whatever their number
-    flags = F.map_from_arrays(F.col("_removed"), F.transform("_removed", lambda _: F.lit(True)))
-    rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: F.element_at(F.col("_flags"), i).isNull()), "\n")
-    met = met.withColumn("_flags", F.when(F.col("_removed").isNotNull(), flags))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(rest)
+    flags = F.map_from_arrays(F.col(REMOVED), F.transform(REMOVED, lambda _: F.lit(True)))
+    rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: F.element_at(F.col("__kpl_flags"), i).isNull()), "\n")
+    met = met.withColumn("__kpl_flags", F.when(F.col(REMOVED).isNotNull(), flags))
+    text = F.when(F.col(REMOVED).isNull(), F.col("text")).otherwise(rest)
     return met.select(*[text.alias("text") if c == "text" else met[c] for c in docs.columns],
-                      F.coalesce("_removed", F.array().cast("array<int>")).alias("_removed"))
+                      F.coalesce(REMOVED, F.array().cast("array<int>")).alias(REMOVED))

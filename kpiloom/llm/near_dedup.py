@@ -41,32 +41,29 @@ def set_number(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, node, size, coords) of every row; no node and no coords without shingles."""
+    """(doc_id, text key, node, size, coords) of every row; no node and no coords without shingles."""
     def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             node, size, coords = [], [], []
-            for _, s in row_shingles(b.column(1), words):
+            for _, s in row_shingles(b.column(0), words):
                 node.append(set_number(s) if len(s) else None)
                 size.append(len(s))
                 coords.append((s[:, None] * _FACTOR).min(0).view(np.int64) if len(s) else None)
-            yield pa.record_batch([b.column(0), pa.array(node, pa.int64()), pa.array(size, pa.int64()),
-                                   pa.array(coords, pa.list_(pa.int64()))], ["doc_id", "node", "size", "coords"])
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return mapped(rows, sign, f"doc_id {dict(rows.dtypes)['doc_id']}, node long, size long, coords array<long>")
+            yield pa.record_batch([*b.columns[1:], pa.array(node, pa.int64()), pa.array(size, pa.int64()),
+                                   pa.array(coords, pa.list_(pa.int64()))], ["doc_id", *KEY, "node", "size", "coords"])
+    rows = docs.select(F.col("text").cast("string").alias("text"), "doc_id", *text_key(F.col("text")))
+    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes[1:]) + ", node long, size long, coords array<long>"
+    return mapped(rows, sign, schema)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(node, shingles) of the nodes in ``wanted`` (doc_id, node: one document that has the set)."""
+    """(node, shingles) of the nodes in ``wanted`` (node, place: id and text key of one document that has the set)."""
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            node, sets, ask = [], [], b.column(1).to_pylist()
-            for i, s in row_shingles(b.column(0), words):
-                if len(s) and set_number(s) == ask[i]:       # another text may carry the same id
-                    node.append(ask[i])
-                    sets.append(s.tobytes())
-            yield pa.record_batch([pa.array(node, pa.int64()), pa.array(sets, pa.binary())], ["node", "shingles"])
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    met = rows.join(small_side(wanted.withColumnRenamed("doc_id", "w_doc_id")), F.col("doc_id").eqNullSafe(F.col("w_doc_id")))
+            sets = [s.tobytes() for _, s in row_shingles(b.column(0), words)]
+            yield pa.record_batch([b.column(1), pa.array(sets, pa.binary())], ["node", "shingles"])
+    rows = docs.select(F.struct("doc_id", *text_key(F.col("text"))).alias("at"), F.col("text").cast("string").alias("text"))
+    met = rows.join(small_side(wanted), F.col("at") == F.col("place"))
     return mapped(met.select("text", "node"), cut, "node long, shingles binary").dropDuplicates(["node"])
 
 
@@ -74,7 +71,7 @@ def near_links(docs: DataFrame, signed: DataFrame, num: int = NUM, den: int = DE
                words: int = SHINGLE_WORDS) -> DataFrame:
     """Edges between nodes that span the components of all links."""
     nodes = (signed.where("node is not null").groupBy("node", "size")
-                   .agg(F.min("doc_id").alias("doc_id"), F.first("coords").alias("coords")))
+                   .agg(F.min(F.struct("doc_id", *KEY)).alias("place"), F.first("coords").alias("coords")))
     posts = nodes.select("node", F.posexplode("coords").alias("pos", "value")).select("node", F.xxhash64("pos", "value").alias("token"))
     often = posts.groupBy(F.col("token").alias("o_token")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = (posts.join(often, F.col("token") == F.col("o_token"))
@@ -82,9 +79,9 @@ def near_links(docs: DataFrame, signed: DataFrame, num: int = NUM, den: int = DE
                    .where(F.size("by_n") >= matches)
                    .select("node", F.transform("by_n", lambda x: x["token"]).alias("tokens"),
                            (F.size("by_n") - matches + 1).alias("posted")))
-    active = saved(nodes.select("node", "size", "doc_id").join(shared, "node"))
+    active = saved(nodes.select("node", "size", "place").join(shared, "node"))
     members = active.select("node", "size", "tokens", "posted", F.explode(F.slice("tokens", 1, F.col("posted"))).alias("bucket"))
-    sets = shingle_sets(docs, active.select("doc_id", "node"), words)
+    sets = shingle_sets(docs, active.select("place", "node"), words)
     return linked(members, sets, num, den, matches)
 
 
@@ -110,14 +107,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Documents are told apart by id and text, so ids may repeat; rows equal in both become one.
     """
     key = F.struct("doc_id", *text_key(F.col("text")))
-    keyed = docs.select(*docs.columns, key.alias("_key"))
+    keyed = docs.select(*docs.columns, key.alias("__kpl_key"))
     named = saved(near_duplicates(docs.select(key.alias("doc_id"), "text")))
-    gone = saved(named.where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    rest = keyed.join(small_side(gone), F.col("_key") == F.col("_gone"), "left_anti")
-    again = saved(named.where("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("_again"))
-                       .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_again"))
+    gone = saved(named.where("not kept").select(F.col("doc_id").alias("__kpl_gone")).distinct())
+    rest = keyed.join(small_side(gone), F.col("__kpl_key") == F.col("__kpl_gone"), "left_anti")
+    again = saved(named.where("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("__kpl_again"))
+                       .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__kpl_again"))
     if again.isEmpty():
         return rest.select(*docs.columns)
-    once = rest.join(small_side(again), F.col("_key") == F.col("_again"), "left_anti")
-    more = rest.join(small_side(again), F.col("_key") == F.col("_again"), "left_semi").dropDuplicates(["_key"])
+    once = rest.join(small_side(again), F.col("__kpl_key") == F.col("__kpl_again"), "left_anti")
+    more = rest.join(small_side(again), F.col("__kpl_key") == F.col("__kpl_again"), "left_semi").dropDuplicates(["__kpl_key"])
     return once.unionByName(more).select(*docs.columns)

@@ -12,7 +12,7 @@ from kpiloom.llm.decontaminate import contaminated
 from kpiloom.llm.knn_quality import score_quality
 from kpiloom.llm import secret_scan
 from kpiloom.llm.line_crf import label_lines
-from kpiloom.llm.line_dedup import dedup_lines
+from kpiloom.llm.line_dedup import REMOVED, dedup_lines
 from kpiloom.llm.near_dedup import near_duplicates
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.sharding import shard_documents
@@ -32,7 +32,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.size("_removed").alias("n_removed"), F.array_join("_removed", ",").alias("removed_lines"),
+    return out.select("doc_id", F.size(REMOVED).alias("n_removed"), F.array_join(REMOVED, ",").alias("removed_lines"),
                       F.length("text").alias("n_kept_chars"),
                       F.crc32(F.encode("text", "UTF-8")).alias("kept_crc32"))
 
