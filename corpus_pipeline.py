@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.common import saved, table
 from kpiloom.llm.decontaminate import drop_contaminated
-from kpiloom.llm.knn_quality import score_quality
-from kpiloom.llm.line_dedup import dedup_lines
+from kpiloom.llm.knn_quality import keep_good
+from kpiloom.llm.line_dedup import REMOVED, dedup_lines
 from kpiloom.llm.near_dedup import keep_one
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.queries import vocabulary
@@ -23,13 +23,12 @@ from kpiloom.llm.queries import vocabulary
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled vectors call good."""
-    scored = score_quality(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    return scored.where("predicted = 1").select(*docs.columns)
+    return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts less the line runs that an earlier document (or place) has; texts that lose all go."""
-    left = dedup_lines(docs).where((F.size("_removed") == 0) | (F.trim(F.translate("text", "\n\t\r", "")) != ""))
+    left = dedup_lines(docs).where((F.size(REMOVED) == 0) | (F.trim(F.translate("text", "\n\t\r", "")) != ""))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
