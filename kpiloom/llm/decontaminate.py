@@ -36,13 +36,19 @@ BLOCK_WORDS = 1 << 20
 _BASE = 0xD6E8FEB86659FD93
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**n modulo 2**64."""
+    steps = np.full(n + 1, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
 class _Rolling:
     """Karp-Rabin hashes of all windows of any length over a word sequence."""
 
     def __init__(self, words: np.ndarray) -> None:
         n = len(words)
-        self.up = np.cumprod(np.concatenate([[1], np.full(n, _BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-        self.down = np.cumprod(np.concatenate([[1], np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
+        self.up, self.down = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words) * self.up[:n], dtype=np.uint64)])
 
     def windows(self, n: int, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

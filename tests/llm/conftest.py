@@ -1,0 +1,40 @@
+import pytest
+
+DOCS = "doc_id long, text string"
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents from (doc_id, text) rows, with extra columns whose names the operators use themselves."""
+    extra = ["node", "size", "tokens", "bucket", "row", "score", "kept", "shard", "removed", "key_hash", "component", "n", "words"]
+
+    def build(rows, clash=True):
+        from pyspark.sql import functions as F
+        df = spark.createDataFrame(list(rows), DOCS)
+        return df.withColumns({c: F.lit(f"x-{c}") for c in extra}) if clash else df
+    return build
+
+
+@pytest.fixture(scope="session")
+def prose():
+    """Deterministic prose without repeats: prose(seed, words)."""
+    import random
+
+    def build(seed, words):
+        r = random.Random(seed)
+        syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it"]
+        out = []
+        while len(out) < words:
+            n = min(words - len(out), r.randint(6, 18))
+            s = ["".join(r.choices(syllables, k=r.randint(2, 4))) for _ in range(n)]
+            out += [s[0].capitalize(), *s[1:-1], s[-1] + "."] if n > 1 else [s[0].capitalize() + "."]
+        return " ".join(out)
+    return build
+
+
+@pytest.fixture
+def hard_rows(prose):
+    """Null id, null text, empty, blank, one word, a very long text, ties and repeated rows."""
+    long = prose(1, 30_000)
+    return [(1, prose(2, 80)), (1, prose(2, 80)), (2, prose(2, 80)), (3, None), (4, ""), (5, " \n\t "), (6, "word"),
+            (7, long), (8, long + " end"), (None, prose(3, 60)), (None, None), (9, "é日本 ß\n" * 3), (9, prose(4, 40)), (2, prose(2, 80))]

@@ -1,0 +1,46 @@
+import corpus_pipeline as P
+from kpiloom.llm import oracle, queries
+from kpiloom.llm.common import table
+
+
+def test_stages_keep_their_columns_and_decisions(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    columns, count = docs.columns, docs.count()
+    assert [n for n, _ in P.STAGES] == ["quality_classifier", "line_dedup", "near_dedup", "decontamination", "packing"]
+    for _, f in P.STAGES[:-1]:
+        docs = P.saved(f(spark, docs, sf))
+        assert docs.columns == columns
+        assert 0 < docs.count() <= count
+        count = docs.count()
+    last = P.run(spark, sf).toPandas()
+    assert set(last.doc_id) == {r.doc_id for r in docs.collect()}
+    assert last.groupby("sequence_id").length.sum().max() <= 4096
+
+
+def test_stages_take_odd_rows_and_clashing_columns(spark, make_docs, hard_rows, prose, tmp_path):
+    spark.createDataFrame([(2, 1, 0), (7, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, prose(9, 40))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = make_docs([*hard_rows, (50, prose(8, 30) + " " + prose(9, 40))])
+    from pyspark.sql import functions as F
+    docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    columns = docs.columns
+    for _, f in P.STAGES[:-1]:
+        docs = P.saved(f(spark, docs, str(tmp_path)))
+        assert docs.columns == columns
+    rows = docs.collect()
+    assert 50 not in {r.doc_id for r in rows}
+    texts = [r.text for r in rows if (r.text or "").strip()]
+    assert len(texts) == len(set(texts))
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
+    assert P.STAGES[-1][1](spark, docs, str(tmp_path)).count() >= len(rows)
+    empty = make_docs([]).withColumn("n_chars", F.lit(0).cast("long"))
+    for _, f in P.STAGES:
+        empty = f(spark, empty, str(tmp_path)) if _ == "packing" else P.saved(f(spark, empty, str(tmp_path)))
+        assert empty.count() == 0
+
+
+def test_query_names():
+    names = list(queries.queries())
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert set(oracle.oracle_sql()) <= set(names)

@@ -1,0 +1,70 @@
+import random
+import re
+
+from kpiloom.llm.substring_dedup import MIN_RUN, MIN_WORDS, repeated_paragraphs, tune_bands
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def paragraphs(text):
+    out = []
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text or ""):
+        if not out or out[-1][2] or "\n" in text[out[-1][1]:m.start()]:
+            out.append([m.start(), m.end(), False, []])
+        out[-1][1], out[-1][2] = m.end(), m[0][-1] in ".!?"
+        out[-1][3].append(m[0].translate(LOWER))
+    return [(a, b, w) for a, b, _, w in out if len(w) >= MIN_WORDS]
+
+
+def brute(rows):
+    every = sorted(((d is not None, d), r, k, a, b, w) for r, (d, t) in enumerate(rows) for k, (a, b, w) in enumerate(paragraphs(t)))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for *_, w in every]
+    parent = list(range(len(every)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(len(every)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    gone = [e for i, e in enumerate(every) if root(i) != i]
+    out = []
+    for r in {e[1] for e in gone}:
+        own = sorted(e for e in gone if e[1] == r)
+        runs = [[own[0]]]
+        for e in own[1:]:
+            runs[-1].append(e) if e[2] == runs[-1][-1][2] + 1 else runs.append([e])
+        out += [(e[0][1], e[2], e[3], e[4], len(e[5])) for x in runs if sum(len(e[5]) for e in x) >= MIN_RUN for e in x]
+    return sorted(out, key=str)
+
+
+def test_removals_against_brute_force(make_docs, prose, hard_rows):
+    r = random.Random(2)
+    passage = prose(77, 70)
+    rows = [x for x in hard_rows if len(x[1] or "") < 10_000]
+    for i in range(25):
+        own = prose(200 + i, 60).split(" ")
+        inner = passage.split(" ")
+        if i % 3 == 0:
+            inner[r.randrange(len(inner))] = f"edit{i}"          # near copies of its paragraphs
+        at = r.randrange(len(own))
+        rows.append((50 + i, " ".join(own[:at] + inner + own[at:]) if i % 2 else " ".join(own)))
+    rows += [(300, passage + "\n" + passage), (301, prose(5, 12) + " Short one."), (302, prose(5, 12) + " Other end.")]
+    out = repeated_paragraphs(make_docs(rows)).collect()
+    assert sorted(((x.doc_id, x.para, x.start, x.end, x.words) for x in out), key=str) == brute(rows)
+    assert {50 + i for i in range(3, 25, 2)} <= {x.doc_id for x in out}
+    assert not {50 + i for i in range(0, 25, 2)} & {x.doc_id for x in out}
+
+
+def test_bands_reach_the_recall():
+    for threshold in (0.6, 0.8, 0.9):
+        bands, rows = tune_bands(threshold, 0.9995, 64)
+        assert 1 - (1 - threshold ** rows) ** bands >= 0.9995 and bands * rows <= 64
+
+
+def test_empty(make_docs):
+    assert repeated_paragraphs(make_docs([])).count() == 0
+    assert repeated_paragraphs(make_docs([(1, None), (2, "")])).count() == 0
