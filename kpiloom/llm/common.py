@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -51,10 +53,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):       # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def mapped(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on the executors."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(it)
+        give_back()
+
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import ship
+from kpiloom.llm.common import saved, ship
 from kpiloom.llm.words import jaccard_parts
 
 CHUNK_NODES = 256
@@ -86,10 +86,10 @@ def linked(members: DataFrame, sets: DataFrame, num: int, den: int, least: int =
     ``least`` tokens must collide.
     """
     ship(members.sparkSession)
-    lists = (members.groupBy(F.col("bucket").alias("l_bucket"))
+    lists = saved(members.groupBy(F.col("bucket").alias("l_bucket"))
                     .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight")).where("n > 1"))
     chunks = F.greatest(F.ceil(F.col("n") / CHUNK_NODES), F.ceil(8 * F.col("weight") / CHUNK_BYTES)).cast("int")
-    each = (members.join(lists, F.col("bucket") == F.col("l_bucket"))
+    each = (members.join(small_side(lists), F.col("bucket") == F.col("l_bucket"))
                    .withColumn("chunks", chunks)
                    .withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))

@@ -19,8 +19,8 @@ import pyarrow as pa
 
 from kpiloom.llm.words import text_slices, word_bounds, word_hashes
 
-SLICE_BYTES = 4 << 20
-REMEMBERED_WORDS = 600_000
+SLICE_BYTES = 2 << 20
+REMEMBERED_WORDS = 400_000        # words, and as many parts, that a worker keeps
 
 # The vocabulary's word pattern, for characters up to U+024F.
 _LETTERS = "a-zªµºß-öø-ɏ"
@@ -43,11 +43,11 @@ class WordTokens:
         self.last = np.zeros(self.whole.get_vocab_size() + 1, bool)
         for token, i in self.whole.get_vocab().items():
             self.last[i] = token.endswith("</w>")
-        self.forget()
+        self.part: dict[str, bytes] = {}
+        self.forget_words()
 
-    def forget(self) -> None:
+    def forget_words(self) -> None:
         self.slot: dict[int, int] = {}
-        self.part: dict[str, bytes] = {}
         self.flat, self.at, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, words: list[str]) -> list[bytes]:
@@ -70,7 +70,9 @@ class WordTokens:
 
     def _slots(self, hashes: np.ndarray, read) -> np.ndarray:
         if len(self.slot) > REMEMBERED_WORDS:
-            self.forget()
+            self.forget_words()
+        if len(self.part) > REMEMBERED_WORDS:
+            self.part = {}
         keys = hashes.tolist()
         slots = np.array([self.slot.get(k, -1) for k in keys], np.int64)
         missing = np.flatnonzero(slots < 0)

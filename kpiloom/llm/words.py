@@ -58,11 +58,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets into the bytes) of consecutive rows; null counts as empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
+    if texts.null_count:
+        texts = texts.fill_null("")
     if not len(texts):
         return
     _, offsets, data = texts.buffers()
-    off = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    off = np.frombuffer(offsets, kind, len(texts) + 1, texts.offset * np.dtype(kind).itemsize).astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     at = 0
     while at < len(texts):

@@ -39,6 +39,7 @@ def test_slices_do_not_change_the_result():
     old, W.SLICE_BYTES = W.SLICE_BYTES, 16
     try:
         assert [w.tolist() for _, w in W.row_words(texts)] == whole
+        assert [w.tolist() for _, w in W.row_words(texts.cast(pa.large_string()))] == whole
         offset = texts.slice(100, 50)
         assert [w.tolist() for _, w in W.row_words(offset)] == whole[100:150]
     finally:
