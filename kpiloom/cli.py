@@ -4,6 +4,7 @@
     python -m kpiloom test  --raw /data/raw --raw-format csv [--out /path/wh]
     python -m kpiloom build --raw /data/raw --out /path/wh      # run, then test the written tables
     python -m kpiloom show  rpt_medical_group_performance_monthly --tpch /root/testdata/sf0.001
+    python -m kpiloom failing TEST_NAME --tpch /root/testdata/sf0.001    # first failing rows of one test
 
 ``test`` and ``build`` exit with status 1 when a test of severity *error*
 fails; failing *warn* tests are reported but do not fail the run.
@@ -17,7 +18,7 @@ import sys
 from kpiloom.params import REPORT_YEAR, KpiParams
 from kpiloom.plans.models import MODEL_NAMES, KpiWarehouse
 from kpiloom.plans.quality_suite import DECLARED_TESTS, TEST_TYPES
-from kpiloom.session import get_session
+from kpiloom.session import cluster_conf, get_session
 from kpiloom.sources.raw import read_raw_dir
 
 
@@ -47,8 +48,8 @@ def _report_tests(wh: KpiWarehouse, kinds, models=None) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="kpiloom")
-    ap.add_argument("command", choices=["run", "test", "build", "show"])
-    ap.add_argument("model", nargs="?", help="model to show")
+    ap.add_argument("command", choices=["run", "test", "build", "show", "failing"])
+    ap.add_argument("model", nargs="?", help="model to show, or test whose failing rows to show")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tpch", help="derive the raw tables from TPC-H parquet in this folder")
     src.add_argument("--raw", help="folder with the four raw tables")
@@ -57,13 +58,15 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--master", default=None, help="Spark master (default: spark-submit's, else local)")
     ap.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="extra Spark setting")
+    ap.add_argument("--cluster", metavar="EXECUTORS,CORES", help="size the shuffle for so many executors and cores of each")
     ap.add_argument("--select", nargs="*", help="models to write / test (default: all)")
     ap.add_argument("--tests", nargs="*", default=list(TEST_TYPES), choices=list(TEST_TYPES))
     ap.add_argument("--report-year", type=int, default=REPORT_YEAR, help="year of the annual reports")
     ap.add_argument("--rate-scale", type=int, default=None, help="round rates to this many decimals")
     args = ap.parse_args(argv)
 
-    extra = dict(kv.split("=", 1) for kv in args.conf)
+    extra = cluster_conf(*map(int, args.cluster.split(","))) if args.cluster else {}
+    extra.update(kv.split("=", 1) for kv in args.conf)
     spark = get_session(args.master, extra=extra)
     wh = _warehouse(spark, args)
     status = 0
@@ -72,10 +75,14 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("--out is required for run/build")
         for name, path in wh.materialize(args.out, args.format, args.select).items():
             print(f"OK {name} -> {path}")
-    if args.command == "test" and args.out:
+    if args.command in ("test", "failing") and args.out:
         wh.attach(args.out, args.format)
     if args.command in ("test", "build"):
         status = _report_tests(wh, tuple(args.tests), args.select)
+    if args.command == "failing":
+        if args.model not in {t.name for t in DECLARED_TESTS}:
+            ap.error(f"unknown test {args.model!r}")
+        wh.failing_rows(args.model).show(50, truncate=False)
     if args.command == "show":
         if args.model not in MODEL_NAMES:
             ap.error(f"unknown model {args.model!r}; one of {', '.join(MODEL_NAMES)}")

@@ -9,8 +9,8 @@ Every window is partitioned by the entity keys and ordered by day.  The
 available snapshot is unique per (entity, day) (DQ ``unique`` test, error
 severity) and the group level aggregates to that grain first, so those window
 partitions hold at most one row per calendar day.  The attested snapshot has
-no such test: its copies go through ``running_sum``, which splits a run of
-tied rows over hash buckets.
+no such test: its copies are counted first, weigh the sums by their number and
+are laid out again at the end (``operators.copies``).
 
 The two levels differ on purpose (reference quirks, kept):
 * plan level: net change is start - end; the cumulative completed count is a
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.calendar import weekend_flag
 from kpiloom.functions.metrics import non_negative, running
-from kpiloom.operators.running import running_sum
+from kpiloom.operators.copies import count_copies, lay_out
 
 PLAN_KEYS = ["medical_group_id", "plan_id"]
 GROUP_KEYS = ["medical_group_id"]
@@ -55,52 +55,57 @@ def plan_daily_decomposition(available: DataFrame, attested: DataFrame) -> DataF
 
     The reference takes a running sum over the attested rows, left-joins them
     to the snapshot rows, then takes a running sum over the joined rows.  Both
-    sums are computed here in one pass over one row set: the attested rows
-    with their snapshot row attached, plus the snapshot rows no attested row
-    matches.  The completed-count sum skips the snapshot-only rows (their count
-    is null) and so equals the sum over attested rows, attested-only days
+    sums are computed here in one pass over the full outer join of the two, each
+    input read once: the completed-count sum skips the snapshot-only rows (their
+    count is null) and so equals the sum over attested rows, attested-only days
     included; the ineligible sum skips the attested-only rows (their ineligible
     count is null) and so equals the sum over joined rows; attested-only rows
     are dropped afterwards.
 
     The attested snapshot has no uniqueness test, so one key may carry many
     copies, and every copy yields a row (the reference's left join fans out).
-    To keep such a key out of a single task the sums use ``running_sum``,
-    which splits tie runs over hash buckets, and the joins are a left join
-    from the attested side plus an anti join against the distinct attested
-    keys — shapes AQE can split when a key is skewed (a full outer join it
-    cannot).
+    SQL leaves the order among them open; here they run by count, then copy by
+    copy.  Copies of a count are one row of the join and the windows, weighted by their
+    number; copy i has the sum before it plus (i + 1) times its value.
     """
     keys = PLAN_KEYS
     on = ["date_day", *keys]
-    w = Window.partitionBy(*keys).orderBy("date_day")
-    inventory = (_with_start_of_day(available, keys, w)       # available is unique per key (DQ error test)
+    by_day = Window.partitionBy(*keys).orderBy("date_day")
+    inventory = (_with_start_of_day(available, keys, by_day)  # available is unique per key (DQ error test)
                  .withColumn("__snapshot", F.lit(True)))
-    done = attested.select(*on, F.col("count_actions_attested_as_complete").alias("done"),
-                           F.lit(True).alias("__attested"))
-    cols = [*on, "actions_start_of_day", "actions_end_of_day", "done", "__snapshot", "__attested"]
-    with_snapshot = done.join(inventory, on, "left").select(*cols)
-    snapshot_only = (inventory.join(done.select(*on).distinct(), on, "left_anti")
-                     .select(*on, "actions_start_of_day", "actions_end_of_day",
-                             F.lit(None).cast("long").alias("done"), "__snapshot",
-                             F.lit(None).cast("boolean").alias("__attested")))
+    done = count_copies(attested.select(*[F.col(c).alias(f"__{c}") for c in on],
+                                        F.col("count_actions_attested_as_complete").alias("done")), "__n")
+    same = [inventory[c] == done[f"__{c}"] for c in on]
     completed = F.coalesce(F.col("done"), F.lit(0))
     drop = F.col("actions_start_of_day") - F.col("actions_end_of_day")
-    rows = with_snapshot.unionByName(snapshot_only).select(
-        *cols,
-        F.when(F.col("__snapshot"), non_negative(drop - completed)).alias("count_actions_became_ineligible_in_day"),
+    rows = inventory.join(done, same[0] & same[1] & same[2], "full_outer").select(
+        *[F.when(F.col("__snapshot"), inventory[c]).otherwise(F.col(f"__{c}")).alias(c) for c in on],
+        "actions_start_of_day", "actions_end_of_day", "done", "__snapshot",
+        F.col("__n").isNotNull().alias("__attested"),
+        F.coalesce("__n", F.lit(1)).alias("__n"),
+        F.when(F.col("__snapshot"), non_negative(drop - completed)).alias("lost"),
     )
-    rows = running_sum(rows, keys, "date_day",
-                       {"done": "done_cumulative",
-                        "count_actions_became_ineligible_in_day": "cumulative_actions_became_ineligible"})
-    step = rows.filter(F.col("__snapshot")).select(
+    before = (Window.partitionBy(*keys).orderBy("date_day", "done", "lost")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.select(
+        "*",
+        *[F.sum(F.col(c) * F.col("__n")).over(before).alias(f"__{c}_before") for c in ("done", "lost")],
+    ).filter(F.col("__snapshot"))
+    rows = lay_out(rows, "__n", "__copy")
+
+    def upto(value: str) -> F.Column:
+        """Sum up to this copy; null while only nulls came by."""
+        own, past = F.col(value) * (F.col("__copy") + 1), F.col(f"__{value}_before")
+        return F.when(own.isNotNull() | past.isNotNull(), F.coalesce(past, F.lit(0)) + F.coalesce(own, F.lit(0)))
+
+    step = rows.select(
         "date_day", *keys, "actions_start_of_day", "actions_end_of_day",
         drop.alias("daily_net_change_of_actions"),
         completed.cast("long").alias("count_actions_completed_in_day"),
-        F.when(F.col("__attested"), F.coalesce(F.col("done_cumulative"), F.lit(0))).otherwise(F.lit(0))
+        F.when(F.col("__attested"), F.coalesce(upto("done"), F.lit(0))).otherwise(F.lit(0))
         .cast("long").alias("cumulative_actions_completed"),
-        "count_actions_became_ineligible_in_day",
-        "cumulative_actions_became_ineligible",
+        F.col("lost").alias("count_actions_became_ineligible_in_day"),
+        upto("lost").alias("cumulative_actions_became_ineligible"),
     )
     return step.select(
         "*",

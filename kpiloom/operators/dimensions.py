@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.calendar import iso_day_of_week, iso_week, month_start, weekend_int, year_start
 
-NO_DATES_MESSAGE = "No dates found for date spine generation. Check your source tables!"
+NO_DATES_MESSAGE = "the date spine needs at least one dated claim, available or attested row"
 
 
 def date_bounds(*dated: tuple[DataFrame, str]) -> DataFrame:

@@ -5,26 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.operators.copies import count_copies, lay_out
+
 ACTION_KEYS = ["date_day", "medical_group_id", "plan_id"]
 
 
 def action_fact(available: DataFrame, attested: DataFrame) -> DataFrame:
     """#10: full outer join of the two daily snapshots; keys coalesced, counts 0-filled.
 
-    Written as (attested LEFT JOIN available) UNION (available ANTI JOIN the
-    distinct attested keys), which is the same set of rows: AQE cannot split a
-    skewed partition of a full outer join, but it can split the attested side
-    of the left join when one key has many attested copies, and the distinct
-    keys collapse those copies map-side.  Null keys never match and survive
-    as separate rows, as in the warehouse.
+    The attested snapshot has no uniqueness test, so its copies are counted
+    first and laid out after the join: a key with many copies reaches the full
+    outer join (which AQE cannot split) as one row.  Null keys never match and
+    survive as separate rows, as in the warehouse.
     """
-    a = available.select(*ACTION_KEYS, "count_actions_available")
-    c = attested.select(*ACTION_KEYS, "count_actions_attested_as_complete")
-    both = c.join(a, ACTION_KEYS, "left")
-    only_available = (a.join(c.select(*ACTION_KEYS).distinct(), ACTION_KEYS, "left_anti")
-                      .select("*", F.lit(None).cast("long").alias("count_actions_attested_as_complete")))
-    cols = [*ACTION_KEYS, "count_actions_available", "count_actions_attested_as_complete"]
-    rows = both.select(*cols).unionByName(only_available.select(*cols))
+    a = available.select(*ACTION_KEYS, "count_actions_available").withColumn("__available", F.lit(True))
+    c = count_copies(attested.select(*[F.col(k).alias(f"__{k}") for k in ACTION_KEYS], "count_actions_attested_as_complete"), "__n")
+    same = [a[k] == c[f"__{k}"] for k in ACTION_KEYS]
+    joined = a.join(c, same[0] & same[1] & same[2], "full_outer").select(
+        *[F.when(F.col("__available"), a[k]).otherwise(F.col(f"__{k}")).alias(k) for k in ACTION_KEYS],
+        "count_actions_available", "count_actions_attested_as_complete", F.coalesce("__n", F.lit(1)).alias("__n"))
+    rows = lay_out(joined, "__n", "__copy")
     return rows.select(
         *ACTION_KEYS,
         F.coalesce(F.col("count_actions_available"), F.lit(0)).cast("long").alias("count_actions_available"),

@@ -18,19 +18,22 @@ from pyspark.sql import functions as F
 from kpiloom.params import LABEL_MISSING_DATA, KpiParams
 
 
+def _periods(dim: DataFrame, spine: DataFrame, period: str, step: str) -> DataFrame:
+    """dim x every ``period`` of the spine; its bounds are one scalar subquery."""
+    bounds = spine.agg(F.struct(F.min(period).alias("lo"), F.max(period).alias("hi")).alias("b")).scalar()
+    return (dim.select("*", bounds.alias("__bounds"))
+            .select(*dim.columns, F.explode(F.sequence(F.col("__bounds.lo"), F.col("__bounds.hi"), F.expr(f"INTERVAL 1 {step}")))
+                    .alias(period)))
+
+
 def month_scaffold(dim: DataFrame, spine: DataFrame) -> DataFrame:
     """dim x every month of the spine, as column ``date_month``."""
-    lo = spine.agg(F.min("date_month")).scalar()
-    hi = spine.agg(F.max("date_month")).scalar()
-    return dim.select("*", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("date_month"))
+    return _periods(dim, spine, "date_month", "MONTH")
 
 
 def year_scaffold(dim: DataFrame, spine: DataFrame, year: int) -> DataFrame:
     """dim x the spine's ``date_year`` values restricted to ``year`` (0 or 1 period)."""
-    in_year = spine.filter(F.col("year") == year)
-    lo = in_year.agg(F.min("date_year")).scalar()
-    hi = in_year.agg(F.max("date_year")).scalar()
-    return dim.select("*", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 YEAR"))).alias("date_year"))
+    return _periods(dim, spine.filter(F.col("year") == year), "date_year", "YEAR")
 
 
 def _zero(name: str, alias: str | None = None) -> Column:

@@ -28,8 +28,9 @@ from kpiloom.operators import quality as Q
 from kpiloom.operators import reports as RP
 from kpiloom.operators import staging as ST
 from kpiloom.params import KpiParams
-from kpiloom.plans.quality_suite import DECLARED_TESTS, TEST_TYPES, run_suite
-from kpiloom.sources.raw import RawTables, write_table
+from kpiloom.plans.quality_suite import DECLARED_TESTS, TEST_TYPES, failing_rows, run_suite
+from kpiloom.session import store
+from kpiloom.sources.raw import RawTables, path_exists, replace_table
 from kpiloom.sources.tpch_fixture import derive_raw
 
 Builder = Callable[["KpiWarehouse"], DataFrame]
@@ -99,6 +100,10 @@ EPHEMERAL = frozenset({
     "int_medical_group_plan_awv_summary_monthly",
 })
 
+# Read by several test branches each; stored once where the tests build them.
+TESTED_OFTEN = ["stg_plan_medical_group", "stg_claims_awv", "stg_actions_available", "stg_actions_attested_as_complete",
+                "dim_date_spine_day", "dim_medical_group", "dim_plan", "int_daily_action_decomposition"]
+
 
 class KpiWarehouse:
     """Lazily built models over four raw tables."""
@@ -132,17 +137,15 @@ class KpiWarehouse:
         """The model as a stored table, for consumers that read it more than once.
 
         After ``materialize`` this is the written table.  Otherwise the model
-        is computed once and checkpointed to the cluster's checkpoint folder
-        (the warehouse's "table" materialization; lineage is cut there).
+        is computed once and written as Parquet under the cluster's checkpoint
+        folder (the warehouse's "table" materialization; lineage is cut there).
         Without it each consumer would recompute the model: the optimizer
         prunes every copy differently, so their exchanges cannot be reused.
         """
         if name not in self._stored:
             df = self[name]
             if name not in self._written:
-                from kpiloom.session import checkpoint_dir
-                checkpoint_dir(df.sparkSession)
-                df = df.checkpoint(eager=True)
+                df = store(df)
             self._stored[name] = df
         return self._stored[name]
 
@@ -151,25 +154,37 @@ class KpiWarehouse:
         """The declared tests as one lazy DataFrame (one row per test).
 
         After ``materialize`` / ``attach`` the tests read the written tables,
-        as the reference's tests read its stored models.  Otherwise models are
-        built lazily, except two staging tables when their raw input is costly
-        to re-read (CSV, JSON, or derived): claims, the one input that grows
-        with the data, read by about eight test branches, and the plan /
-        medical-group reference table, read by about eleven (as a model and as
-        a relationship parent).  They are stored once.  Over Parquet/ORC each
-        branch instead scans just the columns it needs.  (The action snapshots
-        are bounded by groups x plans x days; the branches that rebuild them
-        run concurrently inside the one job.)
+        as the reference's tests read its stored models.  Otherwise the models
+        that many branches read (``TESTED_OFTEN``) are stored once, columnar,
+        and the rest are built lazily from them; over Parquet or ORC input the
+        staging tables are not copied, each branch scans the columns it needs.
         """
+        tests = list(tests)
+        wanted = set(test_types)
+        read = {n for t in tests if t.test in wanted for n in (t.model, t.to) if n}
+        return run_suite(self._test_view(read).__getitem__, tests, test_types)
+
+    def _test_view(self, read: set[str]) -> "KpiWarehouse":
+        """A copy of this object in which the models that the tests in question read often are stored."""
         view = KpiWarehouse(self.raw, self.params)
         for name in MODEL_NAMES:
             if name in self._written:
                 view._models[name] = self._models[name]
                 view._written.add(name)
-        for name in ("stg_claims_awv", "stg_plan_medical_group"):
-            if name not in self._written and not getattr(self.raw, "columnar", False):
-                view._models[name] = self.stored(name)
-        return run_suite(view.__getitem__, tests, test_types)
+        columnar = getattr(self.raw, "columnar", False)
+        for name in TESTED_OFTEN:
+            if name in read and name not in self._written and not (columnar and name.startswith("stg_")):
+                if name not in self._stored:
+                    self._stored[name] = store(view[name])
+                view._models[name] = self._stored[name]
+        return view
+
+    def failing_rows(self, test_name: str, tests=DECLARED_TESTS) -> DataFrame:
+        """The rows that fail the named test, as a lazy DataFrame."""
+        chosen = [t for t in tests if t.name == test_name]
+        if len(chosen) != 1:
+            raise KeyError(f"no single test is named {test_name!r}")
+        return failing_rows(self.__getitem__, chosen[0])
 
     def orphan_plans_in_claims(self) -> DataFrame:
         return Q.orphan_plans_in_claims(self["stg_claims_awv"], self["stg_plan_medical_group"])
@@ -179,28 +194,37 @@ class KpiWarehouse:
 
     # -- table sink ----------------------------------------------------------
     def attach(self, out_dir: str, fmt: str = "parquet") -> list[str]:
-        """Read already-written models from ``out_dir`` instead of rebuilding them."""
-        from pyspark.errors import AnalysisException
+        """Read already-written models from ``out_dir`` instead of rebuilding them.
+
+        A model without a folder is not written; a folder that cannot be read raises.
+        """
         spark = self.raw.claims.sparkSession
         found = []
         for name in MODEL_NAMES:
             if name in EPHEMERAL:
                 continue
-            try:          # any Hadoop file system (hdfs://, s3a://, file:), not just local paths
-                df = spark.read.format(fmt).load(os.path.join(out_dir, name))
-            except AnalysisException:
-                continue  # not written
-            self._models[name] = df
-            self._written.add(name)
-            found.append(name)
+            path = os.path.join(out_dir, name)
+            if path_exists(spark, path):
+                self._use_written(name, spark.read.format(fmt).load(path))
+                found.append(name)
         return found
 
-    def materialize(self, out_dir: str, fmt: str = "parquet",
-                    models: list[str] | None = None) -> dict[str, str]:
+    def _use_written(self, name: str, df: DataFrame) -> None:
+        """From now on ``name`` is the written table; models built lazily before read older ones and are dropped."""
+        self._models = {n: m for n, m in self._models.items() if n in self._written}
+        self._stored.clear()
+        self._models[name] = df
+        self._written.add(name)
+
+    def materialize(self, out_dir: str, fmt: str = "parquet", models: list[str] | None = None,
+                    partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
         """Write every non-ephemeral model (in dependency order) under ``out_dir``.
 
-        Returns {model: path}.  After a model is written, later models read the
-        written table instead of recomputing it.
+        Returns {model: path}.  Each model is built from its upstream models,
+        never from its own stored table, written beside its place and moved
+        there when it is complete: a failed write leaves the old table whole.
+        After a model is written, later models read the written table instead
+        of recomputing it.  ``partition_by`` names partition columns by model.
         """
         spark = self.raw.claims.sparkSession
         wanted = set(models or MODEL_NAMES)
@@ -210,9 +234,8 @@ class KpiWarehouse:
                 continue
             path = os.path.join(out_dir, name)
             t0 = time.perf_counter()
-            write_table(self[name], path, fmt)
+            replace_table(BUILDERS[name](self), path, fmt, (partition_by or {}).get(name))
             self.build_seconds[name] = round(time.perf_counter() - t0, 3)
-            self._models[name] = spark.read.format(fmt).load(path)
-            self._written.add(name)
+            self._use_written(name, spark.read.format(fmt).load(path))
             written[name] = path
         return written

@@ -192,12 +192,15 @@ def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DEC
     """
     wanted = set(test_types)
     selected = [t for t in tests if t.test in wanted]
+    names = [t.name for t in selected]
+    if len(set(names)) != len(names):
+        raise ValueError(f"test names repeat: {sorted({n for n in names if names.count(n) > 1})}")
     parts: list[DataFrame] = []
     per_model: dict[str, dict[str, list]] = {}
-    uniques: dict[str, DataTest] = {}
+    uniques: list[DataTest] = []
     for t in selected:
         if t.test == "unique":
-            uniques[t.model] = t           # at most one unique test per model
+            uniques.append(t)
             continue
         checks = per_model.setdefault(t.model, {"row": [], "values": [], "rel": []})
         if t.test == "not_null":
@@ -208,7 +211,8 @@ def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DEC
             checks["values"].append((t.name, t.column, t.values))
         elif t.test == "relationships":
             checks["rel"].append((t.name, t.column, model(t.to), t.field))
-    for m, t in uniques.items():
+    for t in uniques:
+        m = t.model
         key = Q.concat_key(*t.key_columns) if t.key_columns else F.col(t.column)
         checks = per_model.get(m)
         if checks and not checks["values"]:
@@ -226,3 +230,17 @@ def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DEC
     status = (F.when(F.col("failures") == 0, F.lit("pass"))
               .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
     return meta.select("*", status.alias("status")).select(*SUITE_COLUMNS)
+
+
+def failing_rows(model: Callable[[str], DataFrame], test: DataTest) -> DataFrame:
+    """The rows that fail one test, lazily (``unique``: the repeated values with their counts)."""
+    df = model(test.model)
+    if test.test == "not_null":
+        return Q.not_null_failures(df, test.column)
+    if test.test == "unique":
+        return Q.unique_failures(df, Q.concat_key(*test.key_columns) if test.key_columns else test.column)
+    if test.test == "relationships":
+        return Q.relationship_failures(df, test.column, model(test.to), test.field)
+    if test.test == "accepted_values":
+        return Q.accepted_values_failures(df, test.column, test.values)
+    return Q.accepted_range_failures(df, test.column, test.min_value, test.max_value, test.inclusive)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -57,7 +59,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a scratch folder set.
+    Only when the session has none and runs on this machine alone (tests) is a
+    scratch folder set; on a cluster that would be a folder no executor shares.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -67,9 +70,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    local = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
+        configured = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet under the checkpoint folder and read it back: columnar, lineage cut.
+
+    The folders belong to the application and can go when it has ended.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

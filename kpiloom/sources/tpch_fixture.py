@@ -1,12 +1,12 @@
 """Derive the four raw KPI sources from the driver's TPC-H-style tables.
 
-The reference ships no data, so FIXTURES.md §2 defines the inputs as rules over
-``customer``, ``orders``, ``lineitem`` and ``nation``.  Everything here is a
-declarative DataFrame plan.  The big tables are filtered to the source year at
-the Parquet scan.  lineitem joins orders and customers in inner joins (AQE
-splits a skewed key) and is then aggregated, map-side first; orders are
-pre-aggregated to (customer, month) before the claims join, so a hot
-customer reaches it as at most twelve rows.
+No input data comes with the models, so FIXTURES.md §2 defines the inputs as rules over
+``customer``, ``orders``, ``lineitem`` and ``nation``.  Every order and every
+line takes part, and groups follow the number of customers, so all four tables
+grow with the scale factor.  Everything here is a declarative DataFrame plan:
+lineitem joins orders and customers in inner joins (AQE splits a skewed key)
+and is then aggregated, map-side first; orders are aggregated to (customer,
+year) before the claims join.
 """
 
 from __future__ import annotations
@@ -14,31 +14,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kpiloom.session import store
 from kpiloom.sources.raw import RawTables
 
 # --- fixed values of the fixture rules (FIXTURES.md §2) ---------------------
-N_GROUPS = 7
+REGIONS = 7                     # groups per block of customers
+BLOCK_CUSTOMERS = 1000          # customer keys per block
 SEGMENT_PLANS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  # plan 1..5
 MAX_REFERENCE_PLAN = 4          # plans 1..4 are in the reference table; 5 is orphan
 UNUSED_PLAN_ID = 6
 UNUSED_PLAN_GROUP = 0
 UNUSED_PLAN_NAME = " UNUSED "
-SOURCE_YEAR = 1998
-SHIFT_MONTHS = 312              # 26 years: 1998 -> 2024
-CLAIM_MONTH_OFFSET = 6          # claims use orders with month <= 6 + g
+SHIFT_MONTHS = 312              # 26 years: 1995..2001 -> 2021..2027
+UNDATED_YEAR = 1998             # a customer without an order in this year also has an undated claim
 # ---------------------------------------------------------------------------
 
 
-def _year_range(col: str, year: int) -> Column:
-    """``year(col) = year`` written as a range so Parquet can push it down.
-
-    The bounds are TIMESTAMP_NTZ literals, like the columns, so no session or
-    driver time zone takes part in the comparison.
-    """
-    lo, hi = (F.expr(f"TIMESTAMP_NTZ '{y:04d}-01-01 00:00:00'") for y in (year, year + 1))
-    return (F.col(col) >= lo) & (F.col(col) < hi)
-
-
 def _shift(day: Column) -> Column:
     return F.add_months(day, SHIFT_MONTHS)
 
@@ -52,79 +43,62 @@ def plan_of_segment(segment: Column) -> Column:
 
 
 def _customers(tables: dict[str, DataFrame]) -> DataFrame:
+    block = F.expr(f"c_custkey div {BLOCK_CUSTOMERS}")
     return tables["customer"].select(
         F.col("c_custkey").alias("custkey"),
-        (F.col("c_nationkey") % N_GROUPS).cast("long").alias("g"),
+        (block * REGIONS + F.col("c_nationkey") % REGIONS).cast("long").alias("g"),
         plan_of_segment(F.col("c_mktsegment")).alias("p"),
         F.col("c_mktsegment").alias("segment"),
     )
 
 
-def _group_names(tables: dict[str, DataFrame]) -> DataFrame:
-    # nation is a fixed 25-row table, so broadcasting it is size-bounded.
-    return F.broadcast(tables["nation"].filter(F.col("n_nationkey") < N_GROUPS).select(
-        F.col("n_nationkey").cast("long").alias("g"),
-        F.concat(F.lit(" "), F.col("n_name"), F.lit("  ")).alias("medical_group_name"),
-    ))
-
-
 def plan_medical_group(tables: dict[str, DataFrame]) -> DataFrame:
+    # nation is a fixed 25-row table, so broadcasting it is size-bounded.
+    nations = F.broadcast(tables["nation"].select(F.col("n_nationkey").cast("long").alias("r"), "n_name"))
     pairs = (_customers(tables).filter(F.col("p") <= MAX_REFERENCE_PLAN)
-             .select("p", "g", "segment").distinct())
-    names = _group_names(tables)
-    listed = pairs.join(names, "g").select(
-        F.col("p").alias("plan_id"),
-        F.col("g").alias("medical_group_id"),
-        F.concat(F.lit("  "), F.col("segment"), F.lit(" ")).alias("plan_name"),
-        "medical_group_name",
-    )
-    unused = names.filter(F.col("g") == UNUSED_PLAN_GROUP).select(
-        F.lit(UNUSED_PLAN_ID).cast("long").alias("plan_id"),
+             .select("p", "g", "segment").distinct()
+             .select(F.col("p").alias("plan_id"), "g", F.concat(F.lit("  "), F.col("segment"), F.lit(" ")).alias("plan_name")))
+    unused = (tables["nation"].filter(F.col("n_nationkey") == UNUSED_PLAN_GROUP)
+              .select(F.lit(UNUSED_PLAN_ID).cast("long").alias("plan_id"), F.col("n_nationkey").cast("long").alias("g"),
+                      F.lit(UNUSED_PLAN_NAME).alias("plan_name")))
+    return (pairs.unionByName(unused).withColumn("r", F.col("g") % REGIONS).join(nations, "r").select(
+        "plan_id",
         F.col("g").alias("medical_group_id"),
-        F.lit(UNUSED_PLAN_NAME).alias("plan_name"),
-        "medical_group_name",
-    )
-    return listed.unionByName(unused)
+        "plan_name",
+        F.concat(F.lit(" "), F.col("n_name"), F.lit(" "), F.col("g").cast("string"), F.lit("  ")).alias("medical_group_name"),
+    ))
 
 
 def claims(tables: dict[str, DataFrame]) -> DataFrame:
-    """One claim row per customer; first qualifying 1998 order date, shifted."""
-    # <= 12 rows per customer after this partial+final aggregate.
-    monthly_first = (tables["orders"].filter(_year_range("o_orderdate", SOURCE_YEAR))
-                     .select(F.col("o_custkey"), F.to_date("o_orderdate").alias("d"))
-                     .groupBy("o_custkey", F.month("d").alias("m"))
-                     .agg(F.min("d").alias("d")))
+    """One claim row per customer and year with an order (its first order date there, shifted), and an
+    undated one for every customer without an order in ``UNDATED_YEAR``."""
+    yearly = (tables["orders"].select("o_custkey", F.to_date("o_orderdate").alias("d"))
+              .groupBy("o_custkey", F.year("d").alias("y")).agg(F.min("d").alias("d")))
+    # a few rows per customer: the years, plus a null if the year is missing
+    dates = yearly.groupBy("o_custkey").agg(
+        F.collect_list("d").alias("ds"), F.max(F.col("y") == UNDATED_YEAR).alias("seen"))
     cust = _customers(tables)
-    joined = cust.join(
-        monthly_first,
-        (cust["custkey"] == monthly_first["o_custkey"])
-        & (monthly_first["m"] <= F.lit(CLAIM_MONTH_OFFSET) + cust["g"]),
-        "left")
-    first = joined.groupBy("custkey", "g", "p").agg(F.min("d").alias("d"))
-    return first.select(
+    undated = F.array(F.lit(None).cast("date"))
+    each = F.when(F.col("seen"), F.col("ds")).otherwise(F.concat(F.coalesce("ds", F.array().cast("array<date>")), undated))
+    return (cust.join(dates, cust["custkey"] == dates["o_custkey"], "left")
+            .select("custkey", "g", "p", F.explode(each).alias("d")).select(
         _shift(F.col("d")).alias("awv_date_of_service"),
         F.col("g").alias("medical_group_id"),
         F.col("custkey").alias("patient_id"),
         F.col("p").alias("plan_id"),
-    )
+    ))
 
 
 def line_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Line base L aggregated to (g, p, day, flag) -> n.
-
-    lineitem, filtered to the source year at the scan, joins orders on the
-    order key and customers on the customer key; both are inner joins, so AQE
-    splits a skewed key (a customer with a large share of the orders).  The
-    aggregate combines map-side before its shuffle, and its result is bounded
-    by groups x plans x days x 3 flags.  (Aggregating per customer before the
-    customer join would not shrink the data, since a customer has about one
-    line per day and flag, and would cost a second shuffle of every line.)
+    """All lines aggregated to (g, p, day, flag) -> n.
+
+    lineitem joins orders on the order key and customers on the customer key;
+    both are inner joins, so AQE splits a skewed key (a customer with a large
+    share of the orders).  The aggregate combines map-side before its shuffle.
     """
-    lines = (tables["lineitem"].filter(_year_range("l_shipdate", SOURCE_YEAR))
-             .select("l_orderkey", F.to_date("l_shipdate").alias("day"),
-                     F.col("l_returnflag").alias("flag")))
+    lines = tables["lineitem"].select("l_orderkey", F.to_date("l_shipdate").alias("day"), F.col("l_returnflag").alias("flag"))
     orders = tables["orders"].select("o_orderkey", "o_custkey")
-    cust = _customers(tables).filter(F.col("p") <= MAX_REFERENCE_PLAN).select("custkey", "g", "p")
+    cust = _customers(tables).select("custkey", "g", "p")
     joined = (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
               .join(cust, F.col("o_custkey") == cust["custkey"]))
     return (joined.groupBy("g", "p", _shift(F.col("day")).alias("day"), "flag")
@@ -141,39 +115,24 @@ def actions_attested(counts: DataFrame) -> DataFrame:
 
 
 def actions_available(counts: DataFrame) -> DataFrame:
-    """Daily inventory snapshot: base + running sum of daily deltas.
+    """Inventory snapshot on every day with an 'N' or 'A' line: base + running sum of the days' deltas.
 
-    The grid "every day of L x every (g, p) of L" is generated per (g, p) with
-    ``sequence`` between the scalar day bounds and semi-joined to the days that
-    occur, so no cross join is planned.  Each window partition is one (g, p)
-    and holds at most one row per calendar day.
+    A window partition is one (g, p) and holds at most one row per calendar day.
     """
-    per_pair = counts.groupBy("g", "p").agg(
-        F.sum(F.when(F.col("flag") == "N", F.col("n")).otherwise(0)).alias("n_new"))
-    base = (per_pair
-            .select("g", "p", (F.lit(2) * F.col("n_new") * (F.lit(101) + F.lit(40) * F.col("g"))).alias("num"))
-            .select("g", "p", F.expr("num div 100").alias("base")))
-    delta = counts.groupBy("g", "p", "day").agg(F.sum(
-        F.when(F.col("flag") == "A", F.col("n") * (F.col("g") % 2))
-        .when(F.col("flag") == "N", F.col("n") * F.lit(-2))
-        .otherwise(F.lit(0))).alias("delta"))
-    days = counts.select("day").distinct()
-    lo = counts.agg(F.min("day")).scalar()
-    hi = counts.agg(F.max("day")).scalar()
-    # Proven size bounds from the rules above: one source year (<= 366 days),
-    # g < N_GROUPS, p <= MAX_REFERENCE_PLAN.  So the day set and the daily
-    # deltas (<= 7 x 4 x 366 rows) are broadcast whatever the size of lineitem.
-    grid = (base.select("g", "p", "base", F.explode(F.sequence(lo, hi)).alias("day"))
-            .join(F.broadcast(days), "day", "left_semi"))
-    w = Window.partitionBy("g", "p").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    snap = (grid.join(F.broadcast(delta), ["g", "p", "day"], "left")
-            .select("g", "p", "day",
-                    (F.col("base") + F.sum(F.coalesce(F.col("delta"), F.lit(0))).over(w)).alias("cnt")))
-    return snap.filter((F.dayofmonth("day") + F.col("g")) % 10 != 0).select(
+    region = F.col("g") % REGIONS
+    daily = (counts.filter(F.col("flag").isin("N", "A")).groupBy("g", "p", "day").agg(
+        F.sum(F.when(F.col("flag") == "N", F.col("n")).otherwise(0)).alias("new"),
+        F.sum(F.when(F.col("flag") == "A", F.col("n")).otherwise(0)).alias("kept")))
+    pair = Window.partitionBy("g", "p")
+    so_far = pair.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    base = F.expr("2 * n_new * (101 + 40 * (g % 7)) div 100")
+    delta = F.col("kept") * (region % 2) - 2 * F.col("new")
+    snap = daily.select("g", "p", "day", F.sum("new").over(pair).alias("n_new"), F.sum(delta).over(so_far).alias("moved"))
+    return snap.select(
         F.col("p").alias("plan_id"),
         F.col("g").alias("medical_group_id"),
         F.col("day").alias("date_day"),
-        F.col("cnt").cast("long").alias("count_actions_available"),
+        (base + F.col("moved")).cast("long").alias("count_actions_available"),
     )
 
 
@@ -194,16 +153,10 @@ def load_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 class TpchRawSource:
     """The four raw tables of FIXTURES.md §2, each derived on first use.
 
-    ``actions_available`` reads the line aggregate five times (base, deltas,
-    day set, day bounds) and ``actions_attested`` once more; the optimizer
-    rewrites each copy differently, so it cannot reuse their exchanges and the
-    lineitem x orders x customer join would run once per copy.  The aggregate
-    is bounded by groups x plans x days x 3 flags whatever the size of
-    lineitem, so it is checkpointed once (to the cluster's
-    ``spark.checkpoint.dir``, which also cuts its lineage) and every copy reads
-    that.  The other raw tables stay lazy: they are one scan and one aggregate
-    each, and Catalyst prunes them per consumer.  Nothing is shared between
-    source objects.
+    Both action tables read the line aggregate; the optimizer rewrites each copy
+    differently, so it is written once as Parquet under the shared checkpoint
+    folder (which also cuts its lineage).  The other raw tables stay lazy.
+    Nothing is shared between source objects.
     """
 
     columnar = False          # derived: every re-read re-runs the derivation
@@ -220,11 +173,7 @@ class TpchRawSource:
 
     @property
     def line_counts(self) -> DataFrame:
-        def build() -> DataFrame:
-            from kpiloom.session import checkpoint_dir
-            checkpoint_dir(self.spark)      # the cluster's folder; a scratch one only when unset
-            return line_counts(self.tpch).checkpoint(eager=True)
-        return self._get("line_counts", build)
+        return self._get("line_counts", lambda: store(line_counts(self.tpch)))
 
     @property
     def plan_medical_group(self) -> DataFrame:

@@ -1,0 +1,48 @@
+"""Copies are counted before joins and windows, and laid out over several tasks."""
+
+import collections
+
+import pytest
+from conftest import D
+from pyspark.sql import functions as F
+
+from kpiloom.operators.copies import CHUNK, count_copies, lay_out
+
+DAY = D("2024-01-01")
+
+
+def test_lay_out_inverts_count(spark):
+    rows = [(1, "a")] * 5 + [(2, None)] * 3 + [(3, "c")] + [(4, "d")] * (CHUNK + 1)
+    df = spark.createDataFrame(rows, "k long, v string")
+    out = lay_out(count_copies(df, "n"), "n", "copy").collect()
+    assert collections.Counter((r.k, r.v) for r in out) == collections.Counter(rows)
+    for k in (1, 2, 4):
+        assert sorted(r.copy for r in out if r.k == k) == list(range(sum(x[0] == k for x in rows)))
+
+
+@pytest.mark.parametrize("model", ["int_daily_action_decomposition", "fct_awv_action"])
+def test_a_hot_key_of_identical_copies_is_spread(spark, make_wh, model):
+    n = 60_000
+    wh = make_wh(available=[(1, 10, DAY, 50)], claims=[(DAY, 10, 1, 1)])
+    wh.raw = wh.raw._replace(actions_attested=(
+        spark.range(n).select(F.lit(1).cast("long").alias("plan_id"), F.lit(10).cast("long").alias("medical_group_id"),
+                              F.lit(DAY).alias("date_day"), F.lit(3).cast("long").alias("count_actions_attested_as_complete"))))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = [r["count"] for r in wh[model].groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(tasks) == n
+    assert max(tasks) <= n // 3, sorted(tasks)
+
+
+def test_cumulative_sums_over_copies(make_wh):
+    wh = make_wh(available=[(1, 10, DAY, 50), (1, 10, D("2024-01-02"), 40), (1, 10, D("2024-01-03"), 38)],
+                 attested=[(1, 10, DAY, 2)] * 3 + [(1, 10, D("2024-01-02"), 4)] * 2 + [(1, 10, D("2024-01-02"), 1)],
+                 claims=[(DAY, 10, 1, 1)])
+    rows = sorted((str(r.date_day), r.count_actions_completed_in_day, r.cumulative_actions_completed,
+                   r.count_actions_became_ineligible_in_day, r.cumulative_actions_became_ineligible)
+                  for r in wh["int_daily_action_decomposition"].collect())
+    assert rows == [("2024-01-01", 2, 2, 0, 0), ("2024-01-01", 2, 4, 0, 0), ("2024-01-01", 2, 6, 0, 0),
+                    ("2024-01-02", 1, 7, 9, 9), ("2024-01-02", 4, 11, 6, 15), ("2024-01-02", 4, 15, 6, 21),
+                    ("2024-01-03", 0, 0, 2, 23)]

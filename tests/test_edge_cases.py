@@ -183,7 +183,7 @@ def test_plan_row_absent_for_report_year(make_wh):
 
 def test_no_dates_raises(make_wh):
     wh = make_wh()
-    with pytest.raises(Exception, match="No dates found"):
+    with pytest.raises(Exception, match="needs at least one dated"):
         wh["dim_date_spine_day"].collect()
 
 
