@@ -54,5 +54,9 @@ def test_suite_has_90_unique_tests(tpch_wh):
 def test_suite_statuses(tpch_wh):
     s = {r["test_name"]: r for r in tpch_wh.data_tests().collect()}
     rel = s["relationships_stg_claims_awv_plan_id__stg_plan_medical_group_plan_id"]
-    assert (rel["failures"], rel["status"]) == (30, "warn")
-    assert all(r["status"] in ("pass", "warn") for r in s.values())
+    assert (rel["failures"], rel["status"]) == (157, "warn")
+    # plan 5 is in no reference table: its claims only warn, its actions fail
+    assert {n for n, r in s.items() if r["status"] == "fail"} == {
+        "relationships_fct_awv_action_plan_id__dim_plan_plan_id",
+        "relationships_stg_actions_attested_as_complete_plan_id__stg_plan_medical_group_plan_id",
+        "relationships_stg_actions_available_plan_id__stg_plan_medical_group_plan_id"}

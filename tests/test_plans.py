@@ -22,16 +22,15 @@ def test_no_cartesian_or_python(spark, name):
         assert bad not in text, f"{name}: {bad}"
 
 
-def test_year_filters_reach_the_scan(spark):
+def test_scans_are_pruned_and_not_cut(spark):
+    """The fixture reads only the columns it uses, and no filter leaves rows out."""
     from kpiloom.sources.tpch_fixture import claims, line_counts, load_tpch
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     tables = load_tpch(spark, SF_SMALL)
     text = plan_text(line_counts(tables))
-    assert "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)" in text
-    assert "LessThan(l_shipdate,1999-01-01T00:00)" in text
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string,l_shipdate:timestamp_ntz>" in text
-    text = plan_text(claims(tables))
-    assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in text
+    for t in (text, plan_text(claims(tables))):
+        assert "GreaterThan" not in t and "LessThan" not in t and "EqualTo" not in t
 
 
 def test_attested_reads_only_r_lines(spark):

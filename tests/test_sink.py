@@ -65,7 +65,8 @@ def test_raw_folder_as_a_uri(spark, wh, tmp_path):
     write_raw_dir(wh.raw, str(tmp_path / "raw"))
     os.mkdir(tmp_path / "flat")
     for t in RAW_TABLES:
-        part = next(f for f in sorted(os.listdir(tmp_path / "raw" / t)) if f.startswith("part-") and os.path.getsize(tmp_path / "raw" / t / f))
+        part = max((f for f in os.listdir(tmp_path / "raw" / t) if f.startswith("part-")),
+                   key=lambda f: os.path.getsize(tmp_path / "raw" / t / f))
         shutil.copy(tmp_path / "raw" / t / part, tmp_path / "flat" / f"{t}.csv")
     for folder in (f"file://{tmp_path}/flat", f"file:{tmp_path}/raw", str(tmp_path / "flat")):
         raw = read_raw_dir(spark, folder)
