@@ -33,11 +33,16 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW_ROWS = "2000"         # whole texts go over in batches of this size where the session has Spark's own 10,000
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once per application."""
+    """Send this package's source to the executors, once per application, and size Arrow batches for whole texts."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, ARROW_ROWS)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

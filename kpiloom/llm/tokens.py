@@ -20,7 +20,7 @@ import pyarrow as pa
 from kpiloom.llm.words import text_slices, word_bounds, word_hashes
 
 SLICE_BYTES = 2 << 20
-REMEMBERED_WORDS = 400_000        # words, and as many parts, that a worker keeps
+REMEMBERED_WORDS = 250_000        # words, and as many parts, that a worker keeps
 
 # The vocabulary's word pattern, for characters up to U+024F.
 _LETTERS = "a-zªµºß-öø-ɏ"
@@ -35,13 +35,13 @@ class WordTokens:
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
-        self.whole = Tokenizer.from_file(vocabulary)
+        self.vocabulary, self.whole = vocabulary, None       # the unchanged one is loaded when a word needs it
         self.parts = Tokenizer.from_file(vocabulary)         # for lower-cased parts between blanks
         self.parts.normalizer = normalizers.Sequence([])
         self.parts.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.last = np.zeros(self.whole.get_vocab_size() + 1, bool)
-        for token, i in self.whole.get_vocab().items():
+        self.last = np.zeros(self.parts.get_vocab_size() + 1, bool)
+        for token, i in self.parts.get_vocab().items():
             self.last[i] = token.endswith("</w>")
         self.part: dict[str, bytes] = {}
         self.forget_words()
@@ -66,6 +66,9 @@ class WordTokens:
                 for w, s in zip(words, split)]
 
     def _encode(self, word: str) -> bytes:
+        if self.whole is None:
+            from tokenizers import Tokenizer
+            self.whole = Tokenizer.from_file(self.vocabulary)
         return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _slots(self, hashes: np.ndarray, read) -> np.ndarray:
