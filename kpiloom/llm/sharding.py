@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.common import KEY, running, saved, text_key
 
-CELLS = 1 << 15             # histogram cells on the driver per refinement
+CELLS = 1 << 12             # histogram cells on the driver per refinement
 
 
 def cut_points(cells: np.ndarray, start: int, total: int, shards: int) -> tuple[int, list[int], list[tuple[int, int]]]:
