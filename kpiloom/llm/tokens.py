@@ -19,8 +19,8 @@ import pyarrow as pa
 
 from kpiloom.llm.words import text_slices, word_bounds, word_hashes
 
-SLICE_BYTES = 2 << 20
-REMEMBERED_WORDS = 250_000        # words, and as many parts, that a worker keeps
+SLICE_BYTES = 1 << 20
+REMEMBERED_WORDS = 150_000        # words, and as many parts, that a worker keeps
 
 # The vocabulary's word pattern, for characters up to U+024F.
 _LETTERS = "a-zªµºß-öø-ɏ"
