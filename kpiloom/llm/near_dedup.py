@@ -31,6 +31,8 @@ from kpiloom.llm.words import SHINGLE_WORDS, mix, row_shingles
 
 COORDS, MATCHES = 16, 7
 NUM, DEN = 85, 100
+STAGE_MATCHES = 6               # of COORDS, for the pipeline's stage: about 3 in 10^5 at its threshold are missed
+STAGE_NUM, STAGE_DEN = 80, 100
 _FACTOR = np.random.Generator(np.random.PCG64(85)).integers(1, 1 << 63, COORDS, dtype=np.uint64) | np.uint64(1)
 
 
@@ -101,14 +103,14 @@ def near_duplicates(docs: DataFrame, num: int = NUM, den: int = DEN, matches: in
                   .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, num: int = STAGE_NUM, den: int = STAGE_DEN, matches: int = STAGE_MATCHES) -> DataFrame:
     """The rows and columns of ``docs`` less all but one document of each group of near duplicates.
 
     Documents are told apart by id and text, so ids may repeat; rows equal in both become one.
     """
     key = F.struct("doc_id", *text_key(F.col("text")))
     keyed = docs.select(*docs.columns, key.alias("__kpl_key"))
-    named = saved(near_duplicates(docs.select(key.alias("doc_id"), "text")))
+    named = saved(near_duplicates(docs.select(key.alias("doc_id"), "text"), num, den, matches))
     gone = saved(named.where("not kept").select(F.col("doc_id").alias("__kpl_gone")).distinct())
     rest = keyed.join(small_side(gone), F.col("__kpl_key") == F.col("__kpl_gone"), "left_anti")
     again = saved(named.where("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("__kpl_again"))

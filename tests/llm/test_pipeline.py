@@ -40,6 +40,22 @@ def test_stages_take_odd_rows_and_clashing_columns(spark, make_docs, hard_rows,
         assert empty.count() == 0
 
 
+def test_near_stage_links_from_four_fifths_on(spark, make_docs, prose):
+    def edited(text, *places):
+        w = text.split(" ")
+        for i in places:
+            w[i] = f"edit{i}"
+        return " ".join(w)
+    rows = []
+    for g in range(8):                                           # 116 shingles, five of them new for each edit
+        base = prose(700 + g, 120)
+        rows += [(10 * g, base), (10 * g + 1, edited(base, 30, 70))]                             # 106 of 126
+    far = prose(799, 120)
+    rows += [(500, far), (501, edited(far, 20, 50, 80))]         # 101 of 131
+    out = P.near(spark, make_docs(rows), "")
+    assert sorted(r.doc_id for r in out.collect()) == [*range(0, 80, 10), 500, 501]
+
+
 def test_query_names():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
