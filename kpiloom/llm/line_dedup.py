@@ -3,14 +3,17 @@
 The lines of a text that are not blank become hashes, every ``GRAM`` neighbours
 a gram.  From each window of ``WINDOW`` grams the smallest (rightmost if equal)
 is a fingerprint, so every repeated run of GRAM + WINDOW - 1 lines has one in
-both places.  A fingerprint's later positions are joined with its first one in
-the order of (doc_id, line); the match is extended both ways over equal lines,
-as far as the next fingerprint must lie, and the lines it covers are deleted.
+both places.  Around a fingerprint that occurs again, the lines of its gram and of the
+gram with its neighbours on either side, as far as the next fingerprint must lie,
+are runs; each run's later places are joined with its first one in the order of
+(doc_id, line), and their lines are deleted.  So a run is compared with the
+earliest place that has its own neighbour, whatever stands around the gram
+elsewhere, and every repeated run of GRAM + WINDOW - 1 lines goes whole.
 The first place of any line is never deleted.
 
-Every fingerprint row carries the line hashes around it, so the extension needs
-no second join, and a fingerprint that many documents share costs one partial
-aggregate and a join without any order inside the key.
+Every fingerprint row carries the line hashes around it, so the runs need no
+lookup, and one that many documents share costs partial aggregates and joins
+without any order inside the key.
 
 Defined results: a null or empty text, or one with a single line, is left as it
 is; rows with the same id and text are one document and get the same result; an
@@ -61,26 +64,22 @@ def fingerprints(lines: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Da
 def repeated_runs(prints: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """(number, low, high, first_doc_id): solid lines low..high that repeat an earlier run."""
     margin = window - 1
-    place = F.struct("doc_id", "number", "pos")
-    first = (prints.groupBy(F.col("print").alias("f_print"))
-                   .agg(F.min(F.struct(place.alias("place"), F.col("around"))).alias("first"), F.count(F.lit(1)).alias("n"))
-                   .where("n > 1").select("f_print", "first"))
-    met = prints.join(first, F.col("print") == F.col("f_print"))
-    met = met.where(~((F.col("number") == F.col("first.place.number")) & (F.col("pos") == F.col("first.place.pos"))))
-
-    def equal(k: int) -> Column:
-        return F.coalesce(F.get("around", F.lit(k)) == F.get("first.around", F.lit(k)), F.lit(False))
-
-    middle = F.lit(True)                  # a gram's hash may collide, its lines decide
-    for k in range(gram):
-        middle = middle & equal(margin + k)
-    left = right = F.lit(0)
-    for k in range(margin, 0, -1):        # nearest line last, so it wraps the farther ones
-        left = F.when(equal(margin - k), 1 + left).otherwise(0) if k < margin else F.when(equal(margin - k), 1).otherwise(0)
-        right = (F.when(equal(margin + gram - 1 + k), 1 + right).otherwise(0) if k < margin
-                 else F.when(equal(margin + gram - 1 + k), 1).otherwise(0))
-    return met.where(middle).select("number", (F.col("pos") - left).alias("low"), (F.col("pos") + gram - 1 + right).alias("high"),
-                                    F.col("first.place.doc_id").alias("first_doc_id"))
+    often = (prints.groupBy(F.col("print").alias("f_print")).agg(F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").select("f_print"))
+    met = saved(prints.join(often, F.col("print") == F.col("f_print")).drop("f_print", "print"))
+
+    def run(left: int, right: int) -> Column:
+        return F.struct((F.col("pos") - left).alias("low"), F.slice("around", margin + 1 - left, gram + left + right).alias("lines"))
+
+    runs = F.array(*[run(k, 0) for k in range(margin + 1)], *[run(0, k) for k in range(1, margin + 1)])
+    runs = F.filter(runs, lambda r: ~F.exists(r["lines"], lambda x: x.isNull()))          # inside the text
+    places = met.select("doc_id", "number", F.explode(runs).alias("r")).select("doc_id", "number", "r.low", "r.lines")
+    first = (places.groupBy(F.col("lines").alias("f_lines"))          # lines decide, a gram's hash may collide
+                   .agg(F.min(F.struct("doc_id", "number", "low")).alias("first"), F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").select("f_lines", "first"))
+    later = places.join(first, F.col("lines") == F.col("f_lines"))
+    later = later.where(~((F.col("number") == F.col("first.number")) & (F.col("low") == F.col("first.low"))))
+    return later.select("number", "low", (F.col("low") + F.size("lines") - 1).alias("high"), F.col("first.doc_id").alias("first_doc_id"))
 
 
 def removed_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:

@@ -55,6 +55,22 @@ def test_first_copy_stays_and_extension_covers_the_run(make_docs):
     assert got[(2, b)] == ("b\ny", list(range(1, 10)))
 
 
+def test_every_line_of_a_repeated_run_goes(make_docs):
+    r = random.Random(6)
+    rows, whole = [], []
+    for g in range(40):                                          # pairs of the run come before in other surroundings
+        names = [f"{g} {r.random()}" for _ in range(r.randint(3, 6))]
+        rows += [(1000 * g + k, f"before {g} {k}\n{a}\n{b}\nafter {g} {k}") for k, (a, b) in enumerate(zip(names, names[1:]))]
+        rows += [(1000 * g + k, "\n".join([f"own {g} {k}", *names, f"last {g} {k}"])) for k in (100, 101)]
+        whole.append((rows[-1], list(range(1, len(names) + 1))))
+    for g in range(40):                                          # the middle line alone, with other neighbours, comes before
+        a, b, c, d = (f"{g} x {r.random()}" for _ in range(4))
+        rows += [(50_000 + 10 * g, f"{b}\n{c}"), (50_001 + 10 * g, f"{a}\n{b}\n{c}\n{d}"), (50_002 + 10 * g, f"{a}\n{b}\n{c}\n{d}")]
+        whole.append((rows[-1], [0, 1, 2, 3]))
+    got = run(make_docs(rows))
+    assert all(got[row][1] == gone for row, gone in whole)
+
+
 def test_equal_rows_are_one_document(make_docs):
     t = "one\ntwo\nthree"
     out = dedup_lines(make_docs([(1, t), (1, t), (2, t)])).collect()
