@@ -1,8 +1,8 @@
 """Benchmark decontamination: greedy string tiling.
 
 Seeds are the ``MIN_MATCH``-word shingles of the benchmark items.  Documents that
-share seeds with an item are joined to it on them; pairs with too few shared seeds to
-reach the threshold are dropped.  For the rest, running Karp-Rabin marks the
+share seeds with an item are joined to it on them; pairs whose shared seeds, each at all
+its places in the item, hold too few words to reach the threshold are dropped.  For the rest, running Karp-Rabin marks the
 longest non-overlapping word matches, longest first, until none of ``MIN_MATCH``
 words is left.  A pair is contaminated if the tiles cover at least ``COVERAGE``
 of the item's words: order does not count, so reordered passages are caught.
@@ -136,15 +136,21 @@ def _seed_hits(docs: DataFrame, items: list, least: int) -> DataFrame:
     return mapped(rows, look, f"row long, doc_id {dict(rows.dtypes)['doc_id']}, words binary, seeds array<long>")
 
 
+def _seed_words(item: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(seed, item words under it at any of its places) of every distinct seed: the sum over seeds bounds the coverage."""
+    seeds, which = np.unique(windows(item, least), return_inverse=True)
+    at = np.unique((which[:, None] * len(item) + np.arange(len(which))[:, None] + np.arange(least)).ravel())
+    return list(zip(seeds.view(np.int64).tolist(), np.bincount(at // len(item), minlength=len(seeds)).tolist())) if len(seeds) else []
+
+
 def _tiled(docs: DataFrame, items: list, table: DataFrame, least: int, coverage: float) -> DataFrame:
     spark = docs.sparkSession
     hits = saved(_seed_hits(docs, items, least))
-    seeds = [(int(s), n, max(1, int(np.ceil(coverage * len(w) / least)))) for n, (_, w) in enumerate(items)
-             for s in np.unique(windows(w, least)).view(np.int64)]
-    seeds = spark.createDataFrame(seeds, "seed long, number long, enough int")     # bounded by the block
+    seeds = [(s, n, under, int(np.ceil(coverage * len(w) - 1e-9))) for n, (_, w) in enumerate(items) for s, under in _seed_words(w, least)]
+    seeds = spark.createDataFrame(seeds, "seed long, number long, under long, enough long")     # bounded by the block
     pairs = (hits.select("row", F.explode("seeds").alias("h_seed"))
                  .join(F.broadcast(seeds), F.col("h_seed") == F.col("seed"))
-                 .groupBy("row", "number", "enough").agg(F.count(F.lit(1)).alias("n_seeds")).where("n_seeds >= enough"))
+                 .groupBy("row", "number", "enough").agg(F.sum("under").alias("most")).where("most >= enough"))
     full = (hits.select(F.col("row").alias("h_row"), "doc_id", "words").join(pairs, F.col("h_row") == F.col("row"))
                 .join(F.broadcast(table), "number").select("doc_id", "item_id", "words", "item_words"))
 

@@ -69,6 +69,22 @@ def test_reordered_and_partial_passages(spark, make_docs, prose, hard_rows):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in rows if d not in {20, 21, 23, 24})
 
 
+def test_repetitive_items_against_brute_force(spark, make_docs, prose):
+    items = ["na " * 50, "1 2 3 " * 15, ("row col " * 4 + "end ") * 6, prose(600, 20) + " go" * 30, prose(601, 40)]
+    rows = [(i, prose(610 + i, 30) + " " + t) for i, t in enumerate(items)]                   # exact copies
+    rows += [(10, "na " * 24), (11, "na " * 25), (12, "3 1 2 " * 8), (13, "go " * 26), (14, prose(601, 40)[:90]), (15, "na " * 4)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {}
+    for d, t in rows:
+        for i, x in enumerate(items):
+            a = x.lower().split()
+            covered = sum(brute_tiles(a, t.lower().split(), 5))
+            if 2 * covered >= len(a):
+                want[d, i] = covered
+    assert {(i, i) for i in range(5)} <= set(want) and (11, 0) in want and (10, 0) not in want
+    assert {(r.doc_id, r.item_id): r.covered for r in contaminated(make_docs(rows), bench).collect()} == want
+
+
 def test_empty(spark, make_docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert contaminated(make_docs([(1, "a b c d e f")]), bench).count() == 0
