@@ -71,6 +71,21 @@ def test_every_line_of_a_repeated_run_goes(make_docs):
     assert all(got[row][1] == gone for row, gone in whole)
 
 
+def test_long_passages_on_one_or_two_lines_go(make_docs):
+    def line(name, n):
+        return " ".join(f"{name}w{k}" for k in range(n))
+    rows, want = [], {}
+    for g in range(30):
+        one, short, long_ = line(f"a{g}", 50), line(f"b{g}", 24), line(f"c{g}", 26)
+        pair = f"{short}\n{long_}" if g % 2 else f"{long_}\n{short}"
+        rows += [(10 * g, f"p{g}\n{one}\nq{g}"), (10 * g + 1, one), (10 * g + 2, f"r{g}\n  {one} \n\ns{g}"),
+                 (10 * g + 3, f"{pair}\nt{g}"), (10 * g + 4, f"u{g}\n{pair}"), (10 * g + 5, pair)]
+        want |= {10 * g: [], 10 * g + 1: [0], 10 * g + 2: [1], 10 * g + 3: [], 10 * g + 4: [1, 2], 10 * g + 5: [0, 1]}
+        rows += [(10 * g + 6, line(f"d{g}", 24)), (10 * g + 7, "  \t" + line(f"d{g}", 24).replace(" ", "  "))]     # not long
+        want |= {10 * g + 6: [], 10 * g + 7: []}
+    assert {d: gone for (d, _), (_, gone) in run(make_docs(rows)).items()} == want
+
+
 def test_equal_rows_are_one_document(make_docs):
     t = "one\ntwo\nthree"
     out = dedup_lines(make_docs([(1, t), (1, t), (2, t)])).collect()
