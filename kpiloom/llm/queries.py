@@ -16,7 +16,7 @@ from kpiloom.llm.line_dedup import REMOVED, dedup_lines
 from kpiloom.llm.near_dedup import near_duplicates
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm.sharding import shard_documents
-from kpiloom.llm.substring_dedup import repeated_paragraphs
+from kpiloom.llm.substring_dedup import repeated_spans
 from kpiloom.llm.url_filter import filter_urls
 
 
@@ -27,7 +27,7 @@ def vocabulary() -> str:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return repeated_spans(table(spark, sf_dir, "documents"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

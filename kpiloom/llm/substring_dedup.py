@@ -5,10 +5,14 @@ Lines are cut after sentence ends into paragraphs; those of at least
 (tuned for a recall of ``RECALL`` at the threshold) bring colliding nodes
 together, their Jaccard similarity is verified on full sets of 5-word shingles
 (``similar.linked``), and components of links are clusters.  All but a cluster's
-first paragraph, in the order of (doc_id, place), are removals, if the repeated
+first paragraph, in the order of (doc_id, text key, place), are removals, if the repeated
 paragraphs that follow one another there come to at least ``MIN_RUN`` words:
 single short sentences that recur are no copied passage.
 
+Paragraphs miss passages of short sentences and such as start and end inside long
+ones; ``repeated_spans`` adds the copied runs of ``passages.PASSAGE`` words or
+more, exact to the word.  Both take the same order of places, so the first stays.
+
 Defined results: a null or empty text has no paragraphs; a passage that repeats
 inside one text counts too; repeated rows are copies of each other, the later
 ones are removals; an empty table gives no rows; other columns are ignored.
@@ -24,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import mapped, saved
+from kpiloom.llm.common import KEY, mapped, saved, text_key
 from kpiloom.llm.components import components
+from kpiloom.llm.passages import repeated_passages
 from kpiloom.llm.similar import linked, small_side
 from kpiloom.llm.words import SHINGLE_WORDS, mix, paragraph_starts, sequence_hashes, text_slices, windows, word_bounds, word_hashes
 
@@ -77,13 +82,14 @@ def paragraphs(texts: pa.Array, min_words: int) -> Iterator[tuple]:
 def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
     def find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            for row, number, start, end, size, node, _, _ in paragraphs(b.column(2), min_words):
+            for row, number, start, end, size, node, _, _ in paragraphs(b.column(0), min_words):
                 at = pa.array(row)
-                yield pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(number.astype(np.int32)),
+                yield pa.record_batch([*(c.take(at) for c in b.columns[1:]), pa.array(number.astype(np.int32)),
                                        pa.array(start), pa.array(end), pa.array(size.astype(np.int32)), pa.array(node)],
-                                      ["row", "doc_id", "para", "start", "end", "words", "node"])
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
-    return mapped(rows, find, f"row long, doc_id {dict(rows.dtypes)['doc_id']}, para int, start long, end long, words int, node long")
+                                      ["row", "doc_id", *KEY, "para", "start", "end", "words", "node"])
+    text = F.col("text").cast("string")
+    rows = docs.select(text.alias("text"), F.monotonically_increasing_id().alias("row"), "doc_id", *text_key(text))
+    return mapped(rows, find, ", ".join(f"{n} {t}" for n, t in rows.dtypes[1:]) + ", para int, start long, end long, words int, node long")
 
 
 def _posts(docs: DataFrame, min_words: int) -> DataFrame:
@@ -135,7 +141,7 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, min_run: in
     joined = saved(components(paragraph_links(docs, min_words)))
     of_node = small_side(joined).withColumnRenamed("node", "c_node")
     named = found.join(of_node, F.col("node") == F.col("c_node"), "left").withColumn("cluster", F.coalesce("component", "node"))
-    place = F.struct("doc_id", "row", "para")
+    place = F.struct("doc_id", *KEY, "row", "para")
     first = (named.groupBy(F.col("cluster").alias("f_cluster")).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("cluster_size"))
                   .where("cluster_size > 1"))
     later = (named.join(first, F.col("cluster") == F.col("f_cluster"))
@@ -146,3 +152,12 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, min_run: in
     later = (later.withColumn("run", run)
                   .withColumn("run_words", F.sum("words").over(Window.partitionBy("row", "run"))))
     return later.where(F.col("run_words") >= min_run).drop("row", "run")
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """The removals of ``repeated_paragraphs``, and those of ``repeated_passages`` with null for para and keep_para.
+
+    A row is a span of characters to remove; spans of the two kinds may overlap.
+    """
+    more = saved(repeated_passages(docs).withColumn("run_words", F.col("words").cast("long")))
+    return repeated_paragraphs(docs).unionByName(more, allowMissingColumns=True)

@@ -157,3 +157,14 @@ def sequence_hashes(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     _powers.grow(len(words))
     sums = np.add.reduceat(words * _powers.up[:len(words)], starts) * _powers.down[starts]
     return mix(sums + np.diff(np.append(starts, len(words))).astype(np.uint64))
+
+
+def rolling(words: np.ndarray) -> np.ndarray:
+    """Sums from which ``rolling_hash`` takes the hash of any run of the words."""
+    _powers.grow(len(words) + 1)
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers.up[:len(words)], dtype=np.uint64)])
+
+
+def rolling_hash(sums: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``low`` to before ``high``."""
+    return (sums[high] - sums[low]) * _powers.down[low]
