@@ -26,6 +26,18 @@ def test_ids_equal_the_tokenizer(tokenizer, hard_rows, monkeypatch):
         assert got[i].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_ids_of_every_latin_letter(tokenizer):
+    """All code points up to U+052F as capitals and inside words, beside digits, signs and apostrophes."""
+    import random
+    import pyarrow as pa
+    r = random.Random(7)
+    texts = [f"{chr(c)}aya B{chr(c)} {chr(c)}1.{chr(c)}'s" for c in range(1, 0x530)] + ["Ɗaya Ɓera", "<|ENDOFTEXT|> <|endoftext|> <||>"]
+    texts += ["".join(r.choice(" \n\tabXYZ019.,'<|>_-sétdllvÉßΣİǅ\u0301×÷À") for _ in range(r.randint(0, 30))) for _ in range(3000)]
+    got = dict(WordTokens(vocabulary()).rows(pa.array(texts, pa.string())))
+    wrong = [t for i, t in enumerate(texts) if got[i].tolist() != tokenizer.encode(t, add_special_tokens=False).ids]
+    assert not wrong, wrong[:5]
+
+
 def fewest(lengths, capacity):
     """Smallest number of sequences, by trying all (small cases)."""
     lengths = sorted(lengths, reverse=True)
