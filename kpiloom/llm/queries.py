@@ -15,6 +15,7 @@ from kpiloom.llm.line_crf import label_lines
 from kpiloom.llm.line_dedup import REMOVED, dedup_lines
 from kpiloom.llm.near_dedup import near_duplicates
 from kpiloom.llm.packing import pack_documents
+from kpiloom.llm import periodic
 from kpiloom.llm.sharding import shard_documents
 from kpiloom.llm.substring_dedup import repeated_spans
 from kpiloom.llm.url_filter import filter_urls
@@ -73,7 +74,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse_runs(table(spark, sf_dir, "documents"), rewrite=periodic.repeated_from)
+    return periodic.digest(found)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_substring_dedup, op2_line_dedup, op3_sharding, op4_near_dedup, op5_url_filter, op6_secret_scan,
-        op7_line_crf, op8_quality_knn, op9_packing, op10_decontamination)}
+        op7_line_crf, op8_quality_knn, op9_packing, op10_decontamination, op13_periodic_runs)}
