@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kpiloom.llm.common import table
 from kpiloom.llm.decontaminate import contaminated
 from kpiloom.llm.knn_quality import score_quality
-from kpiloom.llm import secret_scan
+from kpiloom.llm import secret_scan, spelling
 from kpiloom.llm.line_crf import label_lines
 from kpiloom.llm.line_dedup import REMOVED, dedup_lines
 from kpiloom.llm.near_dedup import near_duplicates
@@ -74,6 +74,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(table(spark, sf_dir, "documents"), damaged=spelling.DAMAGED)
+    return spelling.variant_groups(counts.where(F.col("n") >= spelling.MIN_COUNT))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.collapse_runs(table(spark, sf_dir, "documents"), rewrite=periodic.repeated_from)
     return periodic.digest(found)
@@ -82,4 +87,4 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_substring_dedup, op2_line_dedup, op3_sharding, op4_near_dedup, op5_url_filter, op6_secret_scan,
-        op7_line_crf, op8_quality_knn, op9_packing, op10_decontamination, op13_periodic_runs)}
+        op7_line_crf, op8_quality_knn, op9_packing, op10_decontamination, op12_spelling_variants, op13_periodic_runs)}

@@ -1,0 +1,108 @@
+"""Spelling variants against a brute-force comparison of all words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from kpiloom.llm import spelling
+from kpiloom.llm.queries import op12_spelling_variants
+from kpiloom.llm.spelling import variant_groups, word_counts
+
+
+def brute_words(rows, damaged=31):
+    n = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            w = "".join(c.lower() if c < "\x80" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{w}".encode())
+            if damaged and h % damaged == 0:
+                k = h % len(w)
+                w = w[:k] + w[k + 1:]
+            if len(w) >= 7:
+                n[w] += 1
+    return n
+
+
+def one_off(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    k = next((i for i in range(len(a)) if a[i] != b[i]), len(a))
+    return a[k + (len(a) == len(b)):] == b[k + 1:]
+
+
+def brute(n):
+    words = sorted(n)
+    near = {w: [v for v in words if one_off(w, v)] for w in words}
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 10 * n[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return out
+
+
+def key(rows):
+    return sorted((tuple(r) for r in rows), key=str)
+
+
+def random_counts(seed, size, letters="abé"):
+    r = random.Random(seed)
+    n = {}
+    while len(n) < size:
+        w = "".join(r.choice(letters) for _ in range(r.randint(7, 11)))
+        for _ in range(r.randint(0, 4)):
+            n.setdefault(w, r.choice([2, 2, 3, 20, 21, 300, 5000]))
+            k, c = r.randint(0, len(w)), r.choice(letters + "ÿz")
+            w = r.choice([w[:k] + c + w[k:], w[:k] + c + w[k + 1:], w[:k] + w[k + 1:]])
+            if len(w) < 7:
+                break
+    return n
+
+
+@pytest.mark.parametrize("hot, shard", [(1 << 13, 1 << 14), (4, 64)])
+def test_groups_against_brute_force(spark, monkeypatch, hot, shard):
+    """Also with halves cut into chunks of four words and many shards."""
+    monkeypatch.setattr(spelling, "HOT", hot)
+    monkeypatch.setattr(spelling, "SHARD_WORDS", shard)
+    n = random_counts(5, 700)
+    got = variant_groups(spark.createDataFrame(list(n.items()), "word string, n long")).collect()
+    want = brute(n)
+    assert key(got) == key(want)
+    assert sum(r[1] is not None and r[2] != r[1] for r in want) > 5     # chains of forms
+
+
+def test_runs_of_one_letter_and_long_words(spark):
+    n = {"a" * 7: 30, "a" * 8: 3, "a" * 9: 300, "b" + "a" * 7: 2, "a" * 7 + "b": 2, "x" * 3000: 2, "x" * 3001: 20, "x" * 1500 + "y" + "x" * 1499: 2}
+    assert key(variant_groups(spark.createDataFrame(list(n.items()), "word string, n long")).collect()) == key(brute(n))
+
+
+def test_words_and_damage(make_docs, hard_rows, prose):
+    rows = [(d, t.replace("\x00", "")) if t else (d, t) for d, t in hard_rows]
+    rows += [(d, "Straße ÀÉÎÕÜÝÞ naïvetÉ×÷xyz déjàvuXX " + prose(d % 7, 60)) for d in range(40, 120)]
+    got = word_counts(make_docs(rows), damaged=31).collect()
+    assert {r["word"]: r["n"] for r in got} == dict(brute_words(rows))
+    assert word_counts(make_docs([])).collect() == []
+
+
+def test_query_on_a_table(spark, tmp_path, prose):
+    base = prose(3, 400)
+    rows = [(d, base if d % 3 else prose(d, 30)) for d in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    n = {w: c for w, c in brute_words(rows).items() if c >= 2}
+    want = brute(n)
+    assert key(op12_spelling_variants(spark, str(tmp_path)).collect()) == key(want)
+    assert any(r[1] for r in want)
+
+
+def test_empty_vocabulary(spark):
+    assert variant_groups(spark.createDataFrame([], "word string, n long")).collect() == []
