@@ -16,6 +16,7 @@ from kpiloom.llm.line_dedup import REMOVED, dedup_lines
 from kpiloom.llm.near_dedup import near_duplicates
 from kpiloom.llm.packing import pack_documents
 from kpiloom.llm import periodic
+from kpiloom.llm.related_packing import pack_related
 from kpiloom.llm.sharding import shard_documents
 from kpiloom.llm.substring_dedup import repeated_spans
 from kpiloom.llm.url_filter import filter_urls
@@ -74,6 +75,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_related_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_related(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = spelling.word_counts(table(spark, sf_dir, "documents"), damaged=spelling.DAMAGED)
     return spelling.variant_groups(counts.where(F.col("n") >= spelling.MIN_COUNT))
@@ -87,4 +92,4 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_substring_dedup, op2_line_dedup, op3_sharding, op4_near_dedup, op5_url_filter, op6_secret_scan,
-        op7_line_crf, op8_quality_knn, op9_packing, op10_decontamination, op12_spelling_variants, op13_periodic_runs)}
+        op7_line_crf, op8_quality_knn, op9_packing, op10_decontamination, op11_related_packing, op12_spelling_variants, op13_periodic_runs)}
