@@ -39,10 +39,10 @@ def checked(pieces, rows, tokenizer, capacity):
     return sequences
 
 
-@pytest.mark.parametrize("shard_terms", [1 << 18, 500])
+@pytest.mark.parametrize("shard_tokens", [1 << 19, 900])
 @pytest.mark.parametrize("capacity", [2048, 128])
-def test_every_id_once_and_no_padding(spark, make_docs, hard_rows, prose, tokenizer, monkeypatch, shard_terms, capacity):
-    monkeypatch.setattr(related_packing, "SHARD_TERMS", shard_terms)
+def test_every_id_once_and_no_padding(spark, make_docs, hard_rows, prose, tokenizer, monkeypatch, shard_tokens, capacity):
+    monkeypatch.setattr(related_packing, "SHARD_TOKENS", shard_tokens)
     rows = hard_rows + [(100 + k, prose(k % 20, 20 + 7 * k)) for k in range(60)]
     checked(pack_related(make_docs(rows), vocabulary(), capacity).collect(), rows, tokenizer, capacity)
     assert pack_related(make_docs([]), vocabulary()).collect() == []
