@@ -8,17 +8,24 @@ Row semantics follow the generic tests the reference declares in YAML:
 * accepted_values -> one row per distinct offending value; null is not a failure
 * accepted_range  -> rows outside [min, max]; null passes
 
-``batched_failures`` counts every check of one table except ``unique`` in a
-single scan and aggregate; ``batched_failures_with_unique`` adds the table's
-``unique`` check to the same scan.  A suite thus reads each table once.
+Counting without the rows themselves:
+
+* ``batched_failures`` counts the row-level checks of a table in one scan;
+* ``observe_failures`` counts them while the table is being written, by metrics
+  observed on its rows, so no scan of their own is needed;
+* ``relationship_counts`` reduces the child to (check, key) with counts and looks
+  the keys up in the parents' key sets, kept as exact bitmaps of 32,768 keys;
+* ``unique_candidates`` finds the hashes that occur more than once; only their rows
+  are grouped by the key itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def concat_key(*cols: str) -> Column:
@@ -76,83 +83,147 @@ def accepted_range_failures(df: DataFrame, column: str, min_value=None, max_valu
     return df.filter(~range_condition(column, min_value, max_value, inclusive))
 
 
-def _with_relationships(df: DataFrame, row_checks, relationship_checks):
-    """Left-join ``df`` to the distinct key set of each parent (with a marker),
-    so each relationship check becomes one more failing-row predicate; no row
-    fans out.  The planner broadcasts a small key set and shuffles a large one.
-    """
-    child = df
-    preds = list(row_checks)
-    for i, (name, column, parent, fld) in enumerate(relationship_checks):
-        key, marker = f"__key{i}", f"__found{i}"
-        keys = parent.select(F.col(fld).alias(key)).distinct().withColumn(marker, F.lit(True))
-        child = child.join(keys, child[column] == keys[key], "left")
-        preds.append((name, F.col(column).isNotNull() & F.col(marker).isNull()))
-    return child, preds
+def _as_rows(counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row of counts c0, c1, ... as rows (name, failures)."""
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("failures"))
+        for i, name in enumerate(names)]))
+    return counts.select(rows.alias("r")).select("r.name", "r.failures")
+
+
+def _offending(column: str, values: Sequence) -> Column:
+    return F.when(~F.col(column).isin(list(values)), F.col(column))
 
 
 def batched_failures(df: DataFrame, row_checks: Sequence[tuple[str, Column]] = (),
-                     value_checks: Sequence[tuple[str, str, Sequence]] = (),
-                     relationship_checks: Sequence[tuple[str, str, DataFrame, str]] = ()) -> DataFrame:
+                     value_checks: Sequence[tuple[str, str, Sequence]] = ()) -> DataFrame:
     """Failure counts of many checks of one table in a single scan and aggregate.
 
     * ``row_checks``: (name, failing-row predicate) -> failing rows
       (not_null, accepted_range);
     * ``value_checks``: (name, column, accepted values) -> number of distinct
-      offending values (accepted_values; null is never offending);
-    * ``relationship_checks``: (name, column, parent, field) -> child rows with
-      a non-null key missing from the parent.  The child is left-joined to the
-      *distinct* parent keys (so no row fans out) with a marker column; the
-      planner broadcasts a small key set and shuffles a large one.
+      offending values (accepted_values; null is never offending).
 
     Returns (name, failures).
     """
-    child, preds = _with_relationships(df, row_checks, relationship_checks)
-    aggs = [F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}") for i, (_, pred) in enumerate(preds)]
-    names = [name for name, _ in preds]
-    for name, column, values in value_checks:
-        offending = F.when(~F.col(column).isin(list(values)), F.col(column))
-        aggs.append(F.count_distinct(offending).alias(f"c{len(names)}"))
-        names.append(name)
-    counts = child.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.col(f"c{i}").cast("long").alias("failures"))
-        for i, name in enumerate(names)]))
-    return counts.select(rows.alias("r")).select("r.name", "r.failures")
+    aggs = [F.count_if(F.coalesce(pred, F.lit(False))) for _, pred in row_checks]
+    aggs += [F.count_distinct(_offending(column, values)) for _, column, values in value_checks]
+    names = [name for name, *_ in (*row_checks, *value_checks)]
+    return _as_rows(df.agg(*[a.alias(f"c{i}") for i, a in enumerate(aggs)]), names)
 
 
-def batched_failures_with_unique(df: DataFrame, unique_name: str, key: Column,
-                                 row_checks: Sequence[tuple[str, Column]] = (),
-                                 relationship_checks: Sequence[tuple[str, str, DataFrame, str]] = ()
-                                 ) -> DataFrame:
-    """``batched_failures`` plus one ``unique`` check, in a single scan.
+def observe_failures(df: DataFrame, row_checks: Sequence[tuple[str, Column]] = (),
+                     value_checks: Sequence[tuple[str, str, Sequence]] = ()
+                     ) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` with metrics on its rows, and what gives the failures by check once an action has written it.
 
-    Rows are grouped by the unique key (combined map-side) while the row-level
-    failure indicators are summed; one global aggregate over the groups then
-    gives every count, and the number of non-null keys seen more than once.
+    Metrics can't count distinct values, so of the offending values their rows,
+    the least and the greatest are observed: none means 0 failures, one value
+    means 1.  A check with several offending values is left out of the result and
+    has to be counted by a scan.
     """
-    child, preds = _with_relationships(df, row_checks, relationship_checks)
-    per_key = child.groupBy(key.alias("__unique_key")).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}") for i, (_, pred) in enumerate(preds)])
-    dup = F.col("__unique_key").isNotNull() & (F.col("__n") > 1)
-    counts = per_key.agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(preds))],
-                         F.count_if(dup).alias(f"c{len(preds)}"))
-    names = [name for name, _ in preds] + [unique_name]
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("failures"))
-        for i, name in enumerate(names)]))
-    return counts.select(rows.alias("r")).select("r.name", "r.failures")
+    if not row_checks and not value_checks:
+        return df, dict
+    seen = Observation()
+    metrics = [F.count_if(F.coalesce(pred, F.lit(False))).alias(f"r{i}") for i, (_, pred) in enumerate(row_checks)]
+    for i, (_, column, values) in enumerate(value_checks):
+        bad = _offending(column, values)
+        metrics += [F.count(bad).alias(f"n{i}"), F.min(bad).alias(f"lo{i}"), F.max(bad).alias(f"hi{i}")]
+
+    def failures() -> dict[str, int]:
+        got = seen.get
+        out = {name: got[f"r{i}"] for i, (name, _) in enumerate(row_checks)}
+        for i, (name, *_) in enumerate(value_checks):
+            if not got[f"n{i}"] or got[f"lo{i}"] == got[f"hi{i}"]:
+                out[name] = min(1, got[f"n{i}"])
+        return out
+    return df.observe(seen, *metrics), failures
+
+
+def _bit_key(df: DataFrame, column: str) -> Column | None:
+    """The column as a whole number that keys a bitmap; None for other types."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(F.col(column)).cast("long")
+    return F.col(column).cast("long") if isinstance(kind, T.IntegralType) else None
+
+
+def key_bitmaps(df: DataFrame, column: str) -> DataFrame:
+    """(bucket, bits): the exact set of a column's whole numbers or dates, 32,768 to a bitmap; combined map-side."""
+    keys = df.select(_bit_key(df, column).alias("key")).filter(F.col("key").isNotNull())
+    return (keys.groupBy(F.bitmap_bucket_number("key").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits")))
+
+
+def _absent(key: str) -> Column:
+    """Whether a key is not in the bitmap of its bucket (``bits``, null without one)."""
+    return F.expr(f"""coalesce(shiftright(cast(conv(hex(substring(bits, cast(bitmap_bit_position({key}) div 8 as int) + 1, 1)), 16, 10) as int),
+                                         cast(bitmap_bit_position({key}) % 8 as int)) & 1, 0) = 0""")
+
+
+def relationship_counts(child: DataFrame, checks: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """(name, failures): child rows with a non-null key that the parent lacks, for checks (name, column, parent, field).
+
+    The child's rows are not shuffled: they are reduced map-side to (check, key)
+    with a count, all checks in one scan.  Whole-number and date keys are looked up
+    in the parents' bitmaps, joined by (check, bucket); keys of other types in the
+    parents' distinct keys.
+    """
+    coded = [c for c in checks if _bit_key(child, c[1]) is not None and _bit_key(c[2], c[3]) is not None]
+    parts = []
+    for some, bits in ((coded, True), ([c for c in checks if c not in coded], False)):
+        if not some:
+            continue
+        pairs = F.array(*[F.struct(F.lit(i).alias("check"), (_bit_key(child, column) if bits else F.col(column).cast("string")).alias("key"))
+                          for i, (_, column, _, _) in enumerate(some)])
+        keys = (child.select(F.explode(pairs).alias("pair")).select("pair.*").filter(F.col("key").isNotNull())
+                .groupBy("check", "key").agg(F.count(F.lit(1)).alias("rows")))
+        known = None
+        for i, (_, _, parent, field) in enumerate(some):
+            own = key_bitmaps(parent, field) if bits else parent.select(
+                F.col(field).cast("string").alias("key")).distinct().withColumn("found", F.lit(True))
+            own = own.withColumn("check", F.lit(i))
+            known = own if known is None else known.unionByName(own)
+        if bits:
+            found = keys.withColumn("bucket", F.bitmap_bucket_number("key")).join(known, ["check", "bucket"], "left")
+            missing = _absent("key")
+        else:
+            found, missing = keys.join(known, ["check", "key"], "left"), F.col("found").isNull()
+        counts = found.agg(*[F.sum(F.when((F.col("check") == i) & missing, F.col("rows"))).alias(f"c{i}") for i in range(len(some))])
+        parts.append(_as_rows(counts, [name for name, *_ in some]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def unique_candidates(checks: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
+    """(name, hash) of the 64-bit key hashes that more than one row of a table has, for checks (name, table, key).
+
+    Hashes are shuffled, not keys: a table without repeats has no candidates and
+    is done; otherwise ``repeated_keys`` groups the candidates' rows exactly.
+    """
+    hashes = None
+    for name, df, key in checks:
+        own = df.select(key.alias("key")).filter(F.col("key").isNotNull()).select(F.lit(name).alias("name"), F.xxhash64("key").alias("hash"))
+        hashes = own if hashes is None else hashes.unionByName(own)
+    return hashes.groupBy("name", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("name", "hash")
+
+
+def repeated_keys(df: DataFrame, key: Column, hashes: DataFrame) -> DataFrame:
+    """``unique_failures`` of the rows whose key hash is among ``hashes``."""
+    rows = df.select(key.alias("key")).filter(F.col("key").isNotNull()).withColumn("hash", F.xxhash64("key"))
+    return unique_failures(rows.join(hashes.select("hash"), "hash", "left_semi"), "key")
+
+
+def _not_in(keys: DataFrame, column: str, other: DataFrame) -> DataFrame:
+    """Distinct values of a whole-number column (null included) that the other table's column lacks."""
+    each = keys.select(column).distinct().withColumn("bucket", F.bitmap_bucket_number(column))
+    return each.join(key_bitmaps(other, column), "bucket", "left").filter(_absent(column)).select(column)
 
 
 def orphan_plans_in_claims(claims: DataFrame, pmg: DataFrame) -> DataFrame:
     """Distinct claim plan ids missing from the reference table (nulls included)."""
-    plans = claims.select("plan_id").distinct()
-    return plans.join(pmg.select("plan_id").distinct(), "plan_id", "left_anti")
+    return _not_in(claims, "plan_id", pmg)
 
 
 def orphan_plans_in_dimension(pmg: DataFrame, claims: DataFrame) -> DataFrame:
     """Distinct reference-table plan ids never seen in claims."""
-    listed = pmg.select("plan_id").distinct()
-    claimed = claims.select("plan_id").filter(F.col("plan_id").isNotNull()).distinct()
-    return listed.join(claimed, "plan_id", "left_anti")
+    return _not_in(pmg, "plan_id", claims)

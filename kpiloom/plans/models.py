@@ -28,9 +28,11 @@ from kpiloom.operators import quality as Q
 from kpiloom.operators import reports as RP
 from kpiloom.operators import staging as ST
 from kpiloom.params import KpiParams
-from kpiloom.plans.quality_suite import DECLARED_TESTS, TEST_TYPES, failing_rows, run_suite
+from kpiloom.plans.quality_suite import (DECLARED_TESTS, ROW_TYPES, TEST_TYPES, DataTest, failing_rows, row_checks,
+                                         run_suite, unique_key)
 from kpiloom.session import store
-from kpiloom.sources.raw import RawTables, path_exists, replace_table
+from kpiloom.sources.raw import RawTables
+from kpiloom.sources.sink import current_notes, path_exists, read_table, replace_table
 from kpiloom.sources.tpch_fixture import derive_raw
 
 Builder = Callable[["KpiWarehouse"], DataFrame]
@@ -114,6 +116,7 @@ class KpiWarehouse:
         self._models: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._written: set[str] = set()
+        self._noted: dict[str, dict[str, list]] = {}  # by model and test: its condition and failures, counted while it was written
         self.build_seconds: dict[str, float] = {}     # filled by materialize
 
     @classmethod
@@ -151,20 +154,31 @@ class KpiWarehouse:
 
     # -- data quality ------------------------------------------------------
     def data_tests(self, test_types=TEST_TYPES, tests=DECLARED_TESTS) -> DataFrame:
-        """The declared tests as one lazy DataFrame (one row per test).
+        """The declared tests as one DataFrame (one row per test).
 
-        After ``materialize`` / ``attach`` the tests read the written tables,
-        as the reference's tests read its stored models.  Otherwise the models
-        that many branches read (``TESTED_OFTEN``) are stored once, columnar,
-        and the rest are built lazily from them; over Parquet or ORC input the
-        staging tables are not copied, each branch scans the columns it needs.
+        After ``materialize`` / ``attach`` the tests read the written tables, as
+        the reference's tests read its stored models; the row-level ones were
+        counted while the tables were written and read nothing.  Otherwise the
+        models that many branches read (``TESTED_OFTEN``) are stored once,
+        columnar, and counted as they are written; the rest are built lazily from
+        them; over Parquet or ORC input the staging tables are not copied, each
+        branch scans the columns it needs.
         """
-        tests = list(tests)
         wanted = set(test_types)
-        read = {n for t in tests if t.test in wanted for n in (t.model, t.to) if n}
-        return run_suite(self._test_view(read).__getitem__, tests, test_types)
+        tests = [t for t in tests if t.test in wanted]
+        read = {n for t in tests for n in (t.model, t.to) if n}
+        view = self._test_view(read, tests)
+        known = {t.name: n for t in tests for condition, n in [view._noted.get(t.model, {}).get(t.name, (None, 0))]
+                 if condition == t.condition}
+        uniques = [t for t in tests if t.test == "unique"]
+        candidates = None
+        if uniques:
+            candidates = store(Q.unique_candidates([(t.name, view[t.model], unique_key(t)) for t in uniques]))
+            repeated = {r["name"] for r in candidates.select("name").distinct().collect()}     # at most one row a test
+            known |= {t.name: 0 for t in uniques if t.name not in repeated}
+        return run_suite(view.__getitem__, tests, test_types, known, candidates)
 
-    def _test_view(self, read: set[str]) -> "KpiWarehouse":
+    def _test_view(self, read: set[str], tests: list[DataTest]) -> "KpiWarehouse":
         """A copy of this object in which the models that the tests in question read often are stored."""
         view = KpiWarehouse(self.raw, self.params)
         for name in MODEL_NAMES:
@@ -175,10 +189,19 @@ class KpiWarehouse:
         for name in TESTED_OFTEN:
             if name in read and name not in self._written and not (columnar and name.startswith("stg_")):
                 if name not in self._stored:
-                    self._stored[name] = store(view[name])
+                    observed, failures = self._observed(name, view[name], tests)
+                    self._stored[name] = store(observed)
+                    self._noted[name] = failures()
                 view._models[name] = self._stored[name]
+        view._noted = {n: c for n, c in self._noted.items() if n in view._models}
         return view
 
+    def _observed(self, name: str, df: DataFrame, tests: list[DataTest] = DECLARED_TESTS):
+        """``df`` with its row-level tests observed, and what gives {test: [condition, failures]} once it is written."""
+        own = {t.name: t for t in tests if t.model == name and t.test in ROW_TYPES}
+        observed, failures = Q.observe_failures(df, *row_checks(own.values()))
+        return observed, lambda: {n: [own[n].condition, c] for n, c in failures().items()}
+
     def failing_rows(self, test_name: str, tests=DECLARED_TESTS) -> DataFrame:
         """The rows that fail the named test, as a lazy DataFrame."""
         chosen = [t for t in tests if t.name == test_name]
@@ -205,12 +228,13 @@ class KpiWarehouse:
                 continue
             path = os.path.join(out_dir, name)
             if path_exists(spark, path):
-                self._use_written(name, spark.read.format(fmt).load(path))
+                self._use_written(name, read_table(spark, path, fmt), current_notes(spark, path).get("failures", {}))
                 found.append(name)
         return found
 
-    def _use_written(self, name: str, df: DataFrame) -> None:
+    def _use_written(self, name: str, df: DataFrame, noted: dict[str, list]) -> None:
         """From now on ``name`` is the written table; models built lazily before read older ones and are dropped."""
+        self._noted = {n: c for n, c in self._noted.items() if n in self._written} | {name: noted}
         self._models = {n: m for n, m in self._models.items() if n in self._written}
         self._stored.clear()
         self._models[name] = df
@@ -221,8 +245,9 @@ class KpiWarehouse:
         """Write every non-ephemeral model (in dependency order) under ``out_dir``.
 
         Returns {model: path}.  Each model is built from its upstream models,
-        never from its own stored table, written beside its place and moved
-        there when it is complete: a failed write leaves the old table whole.
+        never from its own stored table, and written as a new version of its table
+        (``sources.sink``): a failed or killed write leaves the old version current.
+        Its row-level tests are counted on the way and noted with the version.
         After a model is written, later models read the written table instead
         of recomputing it.  ``partition_by`` names partition columns by model.
         """
@@ -234,8 +259,9 @@ class KpiWarehouse:
                 continue
             path = os.path.join(out_dir, name)
             t0 = time.perf_counter()
-            replace_table(BUILDERS[name](self), path, fmt, (partition_by or {}).get(name))
+            observed, failures = self._observed(name, BUILDERS[name](self))
+            replace_table(observed, path, fmt, (partition_by or {}).get(name), notes=lambda f=failures: {"failures": f()})
             self.build_seconds[name] = round(time.perf_counter() - t0, 3)
-            self._use_written(name, spark.read.format(fmt).load(path))
+            self._use_written(name, read_table(spark, path, fmt), failures())
             written[name] = path
         return written

@@ -3,25 +3,24 @@
 ``DECLARED_TESTS`` lists the 90 test instances the reference declares in its
 YAML (fixed values: models, columns, parents, value sets, ranges, severities).
 ``run_suite`` turns them into one lazy DataFrame — one row per test with its
-failure count, severity and status — that a single action evaluates:
-all checks of a model share one scan (relationships through left joins to
-the distinct parent keys); with a ``unique`` test the rows are grouped by its
-key while the other checks are counted, otherwise one global aggregate
-suffices.  Nothing is collected or looped
-over on the driver.
+failure count, severity and status — that a single action evaluates.  The
+row-level checks of a model share one scan, its relationships another; failures
+that are already known (observed while a model was written) are taken as they
+are.  Nothing is collected or looped over on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.operators import quality as Q
 
 TEST_TYPES = ("not_null", "unique", "relationships", "accepted_values", "accepted_range")
+ROW_TYPES = ("not_null", "accepted_range", "accepted_values")       # countable while the rows pass by
 
 
 @dataclass(frozen=True)
@@ -44,6 +43,11 @@ class DataTest:
         tail = f"__{self.to}_{self.field}" if self.test == "relationships" else ""
         return f"{self.test}_{self.model}_{col}{tail}"
 
+    @property
+    def condition(self) -> str:
+        """What is tested, to tell whether failures noted earlier are those of this test."""
+        return repr((self.test, self.column, self.values, self.min_value, self.max_value, self.inclusive))
+
 
 def _nn(model: str, *cols: str) -> list[DataTest]:
     return [DataTest(model, c, "not_null") for c in cols]
@@ -183,46 +187,61 @@ def _grouped_count(name: str, failing: DataFrame) -> DataFrame:
     return failing.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("name"), "failures")
 
 
+def unique_key(t: DataTest) -> Column:
+    return Q.concat_key(*t.key_columns) if t.key_columns else F.col(t.column)
+
+
+def row_checks(tests: Iterable[DataTest]) -> tuple[list, list]:
+    """The row-level tests as checks: (name, failing-row predicate) and (name, column, accepted values)."""
+    rows, values = [], []
+    for t in tests:
+        if t.test == "not_null":
+            rows.append((t.name, F.col(t.column).isNull()))
+        elif t.test == "accepted_range":
+            rows.append((t.name, ~Q.range_condition(t.column, t.min_value, t.max_value, t.inclusive)))
+        elif t.test == "accepted_values":
+            values.append((t.name, t.column, t.values))
+    return rows, values
+
+
 def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DECLARED_TESTS,
-              test_types: Iterable[str] = TEST_TYPES) -> DataFrame:
+              test_types: Iterable[str] = TEST_TYPES, known: Mapping[str, int] | None = None,
+              candidates: DataFrame | None = None) -> DataFrame:
     """One row per test: (test_name, model, column_name, test_type, severity, failures, status).
 
-    ``model(name)`` returns the DataFrame of a model (built lazily or read
-    from its written table).
+    ``model(name)`` returns the DataFrame of a model (built lazily or read from
+    its written table).  ``known`` has failures, by test, that need no counting;
+    ``candidates`` the repeated key hashes of the ``unique`` tests, if they are
+    stored (``quality.unique_candidates``).
     """
-    wanted = set(test_types)
+    wanted, known = set(test_types), known or {}
     selected = [t for t in tests if t.test in wanted]
     names = [t.name for t in selected]
     if len(set(names)) != len(names):
         raise ValueError(f"test names repeat: {sorted({n for n in names if names.count(n) > 1})}")
     parts: list[DataFrame] = []
-    per_model: dict[str, dict[str, list]] = {}
-    uniques: list[DataTest] = []
+    per_model: dict[str, list[DataTest]] = {}
+    related: dict[str, list] = {}
     for t in selected:
-        if t.test == "unique":
-            uniques.append(t)
+        if t.name in known:
             continue
-        checks = per_model.setdefault(t.model, {"row": [], "values": [], "rel": []})
-        if t.test == "not_null":
-            checks["row"].append((t.name, F.col(t.column).isNull()))
-        elif t.test == "accepted_range":
-            checks["row"].append((t.name, ~Q.range_condition(t.column, t.min_value, t.max_value, t.inclusive)))
-        elif t.test == "accepted_values":
-            checks["values"].append((t.name, t.column, t.values))
-        elif t.test == "relationships":
-            checks["rel"].append((t.name, t.column, model(t.to), t.field))
-    for t in uniques:
-        m = t.model
-        key = Q.concat_key(*t.key_columns) if t.key_columns else F.col(t.column)
-        checks = per_model.get(m)
-        if checks and not checks["values"]:
-            # one scan: group by the unique key while counting the other checks
-            parts.append(Q.batched_failures_with_unique(model(m), t.name, key, checks["row"], checks["rel"]))
-            del per_model[m]
+        if t.test == "relationships":
+            related.setdefault(t.model, []).append((t.name, t.column, model(t.to), t.field))
+        elif t.test != "unique":
+            per_model.setdefault(t.model, []).append(t)
+        elif candidates is None:
+            parts.append(_grouped_count(t.name, Q.unique_failures(model(t.model), unique_key(t))))
         else:
-            parts.append(_grouped_count(t.name, Q.unique_failures(model(m), key)))
-    for m, checks in per_model.items():
-        parts.append(Q.batched_failures(model(m), checks["row"], checks["values"], checks["rel"]))
+            own = candidates.filter(F.col("name") == t.name)
+            parts.append(_grouped_count(t.name, Q.repeated_keys(model(t.model), unique_key(t), own)))
+    parts += [Q.batched_failures(model(m), *row_checks(some)) for m, some in per_model.items()]
+    parts += [Q.relationship_counts(model(m), checks) for m, checks in related.items()]
+    settled = [(n, int(known[n])) for n in names if n in known]
+    if settled or not parts:
+        literal = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).cast("long").alias("failures")) for n, c in settled])
+        one = SparkSession.active().range(1)
+        parts.append(one.select(F.explode(literal).alias("r")).select("r.*") if settled
+                     else one.select(F.lit("").alias("name"), F.col("id").alias("failures")).limit(0))
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)

@@ -1,14 +1,15 @@
-"""The four raw sources of the star schema, their schemas, readers and sinks."""
+"""The four raw sources of the star schema, their schemas and readers."""
 
 from __future__ import annotations
 
 import os
-import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from kpiloom.sources.sink import path_exists, write_table
+
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "plan_medical_group": T.StructType([
         T.StructField("plan_id", T.LongType()),
@@ -72,17 +73,6 @@ def read_raw(spark: SparkSession, path: str, name: str, fmt: str = "csv",
     return reader.load(path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    """(Hadoop path, its file system): whatever store the path names."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _file_system(spark, path)
-    return fs.exists(p)
-
-
 def read_raw_dir(spark: SparkSession, directory: str, fmt: str = "csv") -> RawTables:
     """Read the four raw tables stored as ``<directory>/<name>`` (file or folder) or ``<name>.<fmt>``."""
     def one(name: str) -> DataFrame:
@@ -93,40 +83,6 @@ def read_raw_dir(spark: SparkSession, directory: str, fmt: str = "csv") -> RawTa
     return RawTables(*(one(n) for n in RAW_TABLES), columnar=fmt in COLUMNAR_FORMATS)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None) -> None:
-    """Table sink: a full rebuild (overwrite) of one model."""
-    writer = df.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-
-
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Write beside ``path`` and move there on success; a failed write leaves the old table as it was."""
-    spark = df.sparkSession
-    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    target, fs = _file_system(spark, path)
-    fresh, _ = _file_system(spark, new)
-    try:
-        write_table(df, new, fmt, partition_by)
-    except Exception:
-        fs.delete(fresh, True)
-        raise
-    retired, _ = _file_system(spark, old)
-    had = fs.exists(target)
-    if had and not fs.rename(target, retired):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(fresh, target):
-        if had:
-            fs.rename(retired, target)
-        raise OSError(f"cannot move {new} to {path}")
-    if had:
-        fs.delete(retired, True)
-
-
 def write_raw_dir(raw: RawTables, directory: str, fmt: str = "csv") -> None:
     """Write the four raw tables so ``read_raw_dir`` can load them back."""
     for name, df in zip(RAW_TABLES, raw.tables()):

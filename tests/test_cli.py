@@ -4,7 +4,8 @@ import datetime as dt
 import tempfile
 
 from kpiloom.cli import main
-from kpiloom.sources.raw import RAW_SCHEMAS, write_table
+from kpiloom.sources.raw import RAW_SCHEMAS
+from kpiloom.sources.sink import write_table
 
 from conftest import SF_SMALL
 

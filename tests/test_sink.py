@@ -7,7 +7,8 @@ import pytest
 from conftest import D
 
 from kpiloom.plans.models import EPHEMERAL, MODEL_NAMES
-from kpiloom.sources.raw import path_exists, replace_table
+from kpiloom.sources import sink
+from kpiloom.sources.sink import commits, current_path, path_exists, read_table, remove_leftovers, replace_table
 
 DAY = D("2024-01-01")
 STORED = [m for m in MODEL_NAMES if m not in EPHEMERAL]
@@ -19,7 +20,7 @@ def wh(make_wh):
 
 
 def content(spark, out):
-    return {m: sorted(map(str, spark.read.parquet(os.path.join(out, m)).collect())) for m in STORED}
+    return {m: sorted(map(str, read_table(spark, os.path.join(out, m)).collect())) for m in STORED}
 
 
 def test_materialize_twice_and_after_attach(spark, wh, make_wh, tmp_path):
@@ -36,13 +37,100 @@ def test_materialize_twice_and_after_attach(spark, wh, make_wh, tmp_path):
     assert sorted(os.listdir(out)) == sorted(STORED)             # nothing is left beside the tables
 
 
+def versions(path):
+    return sorted(f for f in os.listdir(path) if f.startswith("data-"))
+
+
 def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
     path = str(tmp_path / "t")
     replace_table(spark.range(3).toDF("id"), path)
     with pytest.raises(Exception):
         replace_table(spark.range(3).selectExpr("assert_true(id < 2) AS x"), path)
-    assert spark.read.parquet(path).count() == 3
-    assert os.listdir(tmp_path) == ["t"]
+    assert read_table(spark, path).count() == 3
+    assert os.listdir(tmp_path) == ["t"] and len(versions(path)) == 1
+
+
+@pytest.mark.parametrize("killed", ["in the data", "before the commit", "in the commit"])
+def test_a_killed_write_leaves_the_old_table(spark, tmp_path, monkeypatch, killed):
+    """The process ends without any cleaning up, at each step of a write."""
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3).toDF("id"), path, notes=lambda: {"n": 3})
+
+    class Killed(BaseException):
+        pass
+
+    if killed == "in the data":
+        def dies(df, to, *a):
+            df.limit(1).write.parquet(f"{to}/_temporary/0")
+            raise Killed
+        monkeypatch.setattr(sink, "write_table", dies)
+    elif killed == "before the commit":
+        monkeypatch.setattr(sink, "_commit", lambda *a: (_ for _ in ()).throw(Killed()))
+    else:
+        line = sink._line
+        monkeypatch.setattr(sink, "_line", lambda c: line(c)[:-20])
+    if killed == "in the commit":
+        replace_table(spark.range(9).toDF("id"), path)
+    else:
+        with pytest.raises(Killed):
+            replace_table(spark.range(9).toDF("id"), path)
+    monkeypatch.undo()
+    assert read_table(spark, path).count() == 3 and sink.current_notes(spark, path) == {"n": 3}
+    replace_table(spark.range(5).toDF("id"), path)                      # the next write goes on after it
+    assert read_table(spark, path).count() == 5
+    assert len(versions(path)) == 3
+    assert remove_leftovers(spark, path) == []                          # too young: could be a running write
+    assert len(remove_leftovers(spark, path, older_than_seconds=0)) == 1
+    assert len(versions(path)) == 2 and read_table(spark, path).count() == 5
+
+
+def test_readers_keep_their_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3).toDF("id"), path)
+    old = read_table(spark, path)
+    replace_table(spark.range(7).toDF("id"), path)
+    assert old.count() == 3 and read_table(spark, path).count() == 7
+    own = read_table(spark, path)
+    replace_table(own.unionByName(own), path)                           # a table may be made from itself
+    assert read_table(spark, path).count() == 14
+    assert len(versions(path)) == 2 and [n for n, _ in commits(spark, path)] == [3, 2]
+
+
+def test_two_writers_at_once(spark, tmp_path, monkeypatch):
+    """Both take the same number: the second fails and the first one's table stands."""
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3).toDF("id"), path)
+    write = sink.write_table
+
+    def overtaken(df, to, *a):
+        write(df, to, *a)
+        monkeypatch.setattr(sink, "write_table", write)
+        replace_table(spark.range(4).toDF("id"), path)
+    monkeypatch.setattr(sink, "write_table", overtaken)
+    with pytest.raises(Exception, match="exist"):
+        replace_table(spark.range(5).toDF("id"), path)
+    assert read_table(spark, path).count() == 4
+    assert len(versions(path)) == 2
+
+
+def test_nothing_is_renamed_by_the_sink():
+    assert "rename" not in open(sink.__file__).read().replace("renamed", "")
+
+
+def test_tests_after_a_build_read_no_table_again(spark, wh, make_wh, tmp_path):
+    """Row-level tests were counted while the tables were written: by this object, and as noted for the next."""
+    kinds = ["not_null", "accepted_range", "accepted_values"]
+    want = sorted(map(tuple, make_wh(available=[(1, 10, DAY, 9), (2, 10, D("2024-02-03"), 4)], attested=[(1, 10, DAY, 1)],
+                                     claims=[(DAY, 10, 1, 1), (None, 10, 2, 2)]).data_tests(kinds).collect()))
+    wh.materialize(str(tmp_path))
+    other = make_wh()
+    other.attach(str(tmp_path))
+    for w in (wh, other):
+        df = w.data_tests(kinds)
+        assert sorted(map(tuple, df.collect())) == want
+        assert "Scan" not in df._jdf.queryExecution().executedPlan().toString()
+    assert len(want) == 70
+    assert sorted(map(tuple, wh.data_tests().collect())) == sorted(map(tuple, other.data_tests().collect()))
 
 
 def test_attach_raises_on_an_unreadable_table(spark, wh, make_wh, tmp_path):
@@ -57,7 +145,7 @@ def test_attach_raises_on_an_unreadable_table(spark, wh, make_wh, tmp_path):
 
 def test_partitioned_output(spark, wh, tmp_path):
     wh.materialize(str(tmp_path), models=["fct_awv_claim"], partition_by={"fct_awv_claim": ["date_day"]})
-    assert path_exists(spark, f"{tmp_path}/fct_awv_claim/date_day=2024-01-01")
+    assert path_exists(spark, f"{current_path(spark, f'{tmp_path}/fct_awv_claim')}/date_day=2024-01-01")
 
 
 def test_raw_folder_as_a_uri(spark, wh, tmp_path):
