@@ -7,9 +7,12 @@ previous *present* month the comparison).
 
 Kept reference quirks: "start of month" is the MAX start-of-day in the month;
 end of month is MAX at group level but MIN at plan level; plan-level rates
-divide by the *global* maximum start-of-day over the whole table (a scalar
-subquery, computed once), and plan-level running rates use the max of the
-daily cumulative counts instead of a running total of monthly starts.
+divide by the *global* maximum start-of-day over the whole table, and plan-level
+running rates use the max of the daily cumulative counts instead of a running
+total of monthly starts.
+
+The global maximum is the maximum of the monthly maxima, so it is rolled up from
+the monthly aggregate and the daily table is read once.
 """
 
 from __future__ import annotations
@@ -109,9 +112,12 @@ def plan_monthly_action_summary(daily: DataFrame, params: KpiParams = KpiParams(
     """#15: per (group, plan, month), rates against the global max start-of-day."""
     keys = PLAN_KEYS
     scale = params.rate_scale
-    # Uncorrelated scalar subquery: executed once, inlined as a literal.
-    global_start = daily.agg(F.max("actions_start_of_day")).scalar()
     monthly = _monthly_aggregates(daily, keys, F.min, [])
+    # Uncorrelated scalar subquery over the monthly rows.  It takes whole rows (structs compare by their first field,
+    # nulls least), so that no column is pruned and both uses share the exchange of the monthly aggregate.
+    first = "actions_available_start_month"
+    whole = F.struct(first, *[c for c in monthly.columns if c != first])
+    global_start = monthly.agg(F.max(whole)[first]).scalar()
     w = Window.partitionBy(*keys).orderBy("date_month")
     rated = monthly.select(
         *keys, "date_month",

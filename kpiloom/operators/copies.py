@@ -23,14 +23,12 @@ def count_copies(df: DataFrame, n: str) -> DataFrame:
 def lay_out(df: DataFrame, n: str, copy: str) -> DataFrame:
     """Each row ``n`` times, numbered by ``copy`` from 0 (``n`` is dropped).
 
-    Rows without copies take no extra shuffle; a row with many is cut into
-    chunks, which are dealt out by (row, chunk) before they are exploded.
+    One generator deals (row, chunk) and a second one the copies of a chunk; the
+    shuffle between them spreads the chunks of a row with many copies.  ``df`` is
+    computed once, whatever has copies.
     """
     rest = [c for c in df.columns if c != n]
-    single = df.filter(F.col(n) == 1).select(*rest, F.lit(0).cast("long").alias(copy))
     first = F.col("__chunk") * CHUNK
-    many = (df.filter(F.col(n) > 1)
-            .select(*rest, n, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / CHUNK))).alias("__chunk"))
-            .repartition(F.xxhash64(*[c for c in rest]), F.col("__chunk"))
+    return (df.select(*rest, n, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / CHUNK))).alias("__chunk"))
+            .repartition(F.xxhash64(*rest), F.col("__chunk"))
             .select(*rest, F.explode(F.sequence(first, F.least(first + CHUNK, F.col(n)) - 1)).alias(copy)))
-    return single.unionByName(many)

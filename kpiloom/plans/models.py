@@ -58,18 +58,16 @@ BUILDERS: dict[str, Builder] = {
         w["stg_actions_available"], w["stg_actions_attested_as_complete"]),
     "int_medical_group_action_summary_monthly": lambda w: AS.group_monthly_action_summary(
         w["int_medical_group_action_decomposition_daily"], w.params),
-    # Reads the daily table twice (monthly aggregate + global-max scalar
-    # subquery); like the reference, it reads the *stored* table.
     "int_medical_group_plan_action_summary_monthly": lambda w: AS.plan_monthly_action_summary(
-        w.stored("int_daily_action_decomposition"), w.params),
+        w["int_daily_action_decomposition"], w.params),
     "int_medical_group_awv_summary_annual": lambda w: AW.annual_visit_summary(
-        w["fct_awv_claim"], AW.GROUP_KEYS, w.params),
+        w.visit_rollup, AW.GROUP_KEYS, w.params),
     "int_medical_group_awv_summary_monthly": lambda w: AW.monthly_visit_summary(
-        w["fct_awv_claim"], AW.GROUP_KEYS, w.params),
+        w.visit_rollup, AW.GROUP_KEYS, w.params),
     "int_medical_group_plan_awv_summary_annual": lambda w: AW.annual_visit_summary(
-        w["fct_awv_claim"], AW.PLAN_KEYS, w.params),
+        w.visit_rollup, AW.PLAN_KEYS, w.params),
     "int_medical_group_plan_awv_summary_monthly": lambda w: AW.monthly_visit_summary(
-        w["fct_awv_claim"], AW.PLAN_KEYS, w.params),
+        w.visit_rollup, AW.PLAN_KEYS, w.params),
     "rpt_medical_group_performance_annual": lambda w: RP.group_annual_report(
         w["dim_medical_group"], w["dim_date_spine_day"], w["int_medical_group_awv_summary_annual"], w.params),
     "rpt_medical_group_performance_monthly": lambda w: RP.group_monthly_report(
@@ -117,6 +115,7 @@ class KpiWarehouse:
         self._stored: dict[str, DataFrame] = {}
         self._written: set[str] = set()
         self._noted: dict[str, dict[str, list]] = {}  # by model and test: its condition and failures, counted while it was written
+        self._rollup: tuple[DataFrame, DataFrame] | None = None
         self.build_seconds: dict[str, float] = {}     # filled by materialize
 
     @classmethod
@@ -136,21 +135,17 @@ class KpiWarehouse:
         df = self[name]
         return df.orderBy(*PRESENTATION_ORDER[name]) if name in PRESENTATION_ORDER else df
 
-    def stored(self, name: str) -> DataFrame:
-        """The model as a stored table, for consumers that read it more than once.
+    @property
+    def visit_rollup(self) -> DataFrame:
+        """Claims per (group, plan, month), from which all four AWV summaries are rolled up.
 
-        After ``materialize`` this is the written table.  Otherwise the model
-        is computed once and written as Parquet under the cluster's checkpoint
-        folder (the warehouse's "table" materialization; lineage is cut there).
-        Without it each consumer would recompute the model: the optimizer
-        prunes every copy differently, so their exchanges cannot be reused.
+        In a build it is stored once the claim fact is written: one claims scan for all of them.
         """
-        if name not in self._stored:
-            df = self[name]
-            if name not in self._written:
-                df = store(df)
-            self._stored[name] = df
-        return self._stored[name]
+        claims = self["fct_awv_claim"]
+        if not self._rollup or self._rollup[0] is not claims:
+            rollup = AW.visit_rollup(claims)
+            self._rollup = claims, store(rollup) if "fct_awv_claim" in self._written else rollup
+        return self._rollup[1]
 
     # -- data quality ------------------------------------------------------
     def data_tests(self, test_types=TEST_TYPES, tests=DECLARED_TESTS) -> DataFrame:

@@ -65,19 +65,43 @@ def _shuffles(df) -> int:
 
 
 def test_inputs_are_read_once(spark):
-    """Both models that join the two snapshots read each of them once, and count copies map-side."""
+    """Both models that join the two snapshots read each of them once and join once, copies or not."""
     wh = _hand_warehouse(spark)
-    for m in ("fct_awv_action", "int_daily_action_decomposition"):
-        text = wh[m]._jdf.queryExecution().executedPlan().toString()
-        assert "partial_count" in text, m
-        once = text.split("Union")[1] if "Union" in text else text
-        assert once.count("Scan ExistingRDD") >= 2, m
+    wh.raw = wh.raw._replace(actions_attested=wh.raw.actions_attested.unionByName(wh.raw.actions_attested).coalesce(1))
+    for m, rows in (("fct_awv_action", 2), ("int_daily_action_decomposition", 2)):
+        assert wh[m].count() == rows
+        text = plan_text(wh[m]).split("== Initial Plan ==")[0]
+        assert text.count("SortMergeJoin") == 1 and "partial_count" in text and "Union" in text, m
+        assert text.count("Scan ExistingRDD") == 3, m                    # the test's table of copies has two branches
+
+
+def test_monthly_plan_summary_reads_the_daily_table_once(spark):
+    """The global maximum is rolled up from the monthly rows: their exchange is shared, nothing is stored."""
+    wh = _hand_warehouse(spark)
+    assert not wh._stored
+    df = wh["int_medical_group_plan_action_summary_monthly"]
+    df.collect()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)                  # subqueries included
+    final = "".join(x.split("+- == Initial Plan ==")[0] for x in text.split("== Final Plan ==")[1:])
+    assert not wh._stored and "ReusedExchange" in final
+    assert final.count("FullOuter") <= 1, final                          # the daily table's join runs once
+
+
+def test_a_build_scans_the_claim_fact_once_for_the_visit_summaries(spark, tmp_path):
+    wh = _hand_warehouse(spark)
+    wh.materialize(str(tmp_path))
+    for m in ("int_medical_group_awv_summary_annual", "int_medical_group_awv_summary_monthly",
+              "int_medical_group_plan_awv_summary_annual", "int_medical_group_plan_awv_summary_monthly"):
+        from kpiloom.plans.models import BUILDERS
+        text = plan_text(BUILDERS[m](wh))
+        assert "fct_awv_claim" not in text and text.count("FileScan") == 1, m
 
 
 def test_claims_are_reduced_map_side(spark):
     """Every aggregate over claims has a partial (map-side) step before its shuffle."""
     wh = _hand_warehouse(spark)
-    for m in ("int_medical_group_awv_summary_monthly", "int_medical_group_awv_summary_annual"):
+    for m in ("int_medical_group_awv_summary_monthly", "int_medical_group_plan_awv_summary_annual"):
         text = wh[m]._jdf.queryExecution().executedPlan().toString()
         assert "partial_count" in text and "partial_sum" in text, m
     text = wh["dim_patient"]._jdf.queryExecution().executedPlan().toString()
