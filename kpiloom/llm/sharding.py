@@ -15,11 +15,14 @@ takes a shard of its own and the rest is balanced over the others.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import KEY, running, saved, text_key
+from kpiloom.llm.common import KEY, mapped, running, saved, text_key
 
 CELLS = 1 << 12             # histogram cells on the driver per refinement
 
@@ -68,14 +71,30 @@ def cut_points(cells: np.ndarray, start: int, total: int, shards: int) -> tuple[
 
 
 def _histogram(groups: DataFrame, spans: list[tuple[int, int]], cells: int) -> np.ndarray:
-    """(first, last) group end of every cell inside the spans (a, b]."""
-    end, cell = F.col("end"), F.lit(None).cast("string")
-    for k, (a, b) in enumerate(spans):
-        width = max(1, -(-(b - a) // cells))
-        cell = F.when((end >= a) & (end <= b), F.concat_ws(":", F.lit(k), F.floor((end - a) / width))).otherwise(cell)
-    rows = (groups.select("end", cell.alias("cell")).where("cell is not null").groupBy("cell")
-                  .agg(F.min("end"), F.max("end")).collect())          # at most cells x spans rows
-    return np.array(sorted({(r[1], r[2]) for r in rows}), np.int64).reshape(-1, 2)
+    """(first, last) group end of every cell inside the spans (a, b].
+
+    Ends are put in cells batch by batch, with the spans as data: as expressions
+    they would be another plan, and other generated code, for every round.
+    """
+    low, high = (np.array(x, np.int64) for x in zip(*spans))
+    width = np.maximum(1, -(-(high - low) // cells))
+
+    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            end = np.sort(b.column(0).to_numpy())
+            k = np.searchsorted(low, end, "right") - 1
+            k[(k > 0) & (end == low[k]) & (end <= high[k - 1])] -= 1     # spans may touch: an end belongs to the one before
+            inside = (k >= 0) & (end <= high[np.maximum(k, 0)])
+            end, k = end[inside], k[inside]
+            cell = (end - low[k]) // width[k]
+            heads = np.flatnonzero(np.append(True, (cell[1:] != cell[:-1]) | (k[1:] != k[:-1]))[:len(end)])
+            tails = np.append(heads[1:], len(end)) - 1 if len(heads) else heads
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in (k[heads], cell[heads], end[heads], end[tails])],
+                                  ["span", "cell", "first", "last"])
+
+    rows = (mapped(groups.select("end"), cut, "span long, cell long, first long, last long").groupBy("span", "cell")
+            .agg(F.min("first"), F.max("last")).collect())               # at most cells x spans rows
+    return np.array(sorted({(r[2], r[3]) for r in rows}), np.int64).reshape(-1, 2)
 
 
 def shard_of_groups(groups: DataFrame, shards: int) -> DataFrame:
@@ -115,6 +134,7 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     homes = shard_of_groups(groups, shards).select(*KEY, "shard")
     placed = (rows.join(homes, KEY)
                   .select("doc_id", each.alias("bytes"), F.when(F.col("key_crc") >= 0, F.col("key_crc")).alias("text_crc32"),
-                          "shard", F.lit(1).cast("long").alias("one"), F.monotonically_increasing_id().alias("tie")))
-    return (running(placed, ["shard", "doc_id", "tie"], (), "one", "slot", run="shard")
+                          "shard", F.lit(1).cast("long").alias("one"), *KEY[:2]))
+    # Rows alike in shard, id and text are the same row, so which of them comes first does not show.
+    return (running(placed, ["shard", "doc_id", *KEY[:2], "bytes"], (), "one", "slot", run="shard")
             .select("doc_id", F.col("bytes").alias("size"), "text_crc32", "shard", "slot"))
