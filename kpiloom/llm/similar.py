@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import saved, ship
+from kpiloom.llm.common import partitions, saved, ship
 from kpiloom.llm.words import jaccard_parts
 
 CHUNK_NODES = 256
 CHUNK_BYTES = 4 << 20
+SLOT_BYTES = 8 << 20            # blocks are handed over together, about so many bytes at a time
 BROADCAST_ROWS = 500_000        # at most so many rows of a few longs are broadcast
 PAIRS_AT_ONCE = 1 << 16
 
@@ -77,18 +78,35 @@ def _forest(bucket: int, node: np.ndarray, size: np.ndarray, tokens: list[np.nda
     return out
 
 
+def _pair(bucket: int, tokens: list[np.ndarray], posted: np.ndarray, sets: list[np.ndarray], least: int, num: int, den: int) -> bool:
+    """Whether a block of two nodes links them; the same conditions as in ``_forest``, without its tables."""
+    a, b = sets
+    if den * min(len(a), len(b)) < num * max(len(a), len(b)):
+        return False
+    if len(np.intersect1d(tokens[0], tokens[1])) < least:
+        return False
+    second = set(tokens[1][:posted[1]].tolist())
+    if next((x for x in tokens[0][:posted[0]].tolist() if x in second), None) != bucket:
+        return False
+    both, union = jaccard_parts(a, b)
+    return den * both >= num * union
+
+
 def linked(members: DataFrame, sets: DataFrame, num: int, den: int, least: int = 1) -> DataFrame:
     """Edges (a, b) that span the components of all links with den * intersection >= num * union.
 
     ``members``: bucket, node, size (of its set), tokens (in one global order) and
     posted (the node is posted under its first so many tokens).  ``sets``: node
     and shingles (sorted 64-bit values as bytes), a row per node.  At least
-    ``least`` tokens must collide.
+    ``least`` tokens must collide.  Most lists hold two nodes, so blocks are
+    handed to Python many at a time, by a hash of the block.
     """
     ship(members.sparkSession)
     lists = saved(members.groupBy(F.col("bucket").alias("l_bucket"))
                     .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight")).where("n > 1"))
     chunks = F.greatest(F.ceil(F.col("n") / CHUNK_NODES), F.ceil(8 * F.col("weight") / CHUNK_BYTES)).cast("int")
+    sent = lists.agg(F.sum((F.col("n") * 100 + 8 * F.col("weight")) * chunks)).first()[0] or 0
+    slots = max(partitions(members.sparkSession), -(-sent // SLOT_BYTES))
     each = (members.join(small_side(lists), F.col("bucket") == F.col("l_bucket"))
                    .withColumn("chunks", chunks)
                    .withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).cast("int")))
@@ -96,15 +114,28 @@ def linked(members: DataFrame, sets: DataFrame, num: int, den: int, least: int =
     dealt = (each.withColumn("other", other)
                  .select("bucket", "node", "size", "tokens", "posted", "chunk", F.least("chunk", "other").alias("low"),
                          F.greatest("chunk", "other").alias("high")))
-    full = dealt.join(sets.withColumnRenamed("node", "s_node"), F.col("node") == F.col("s_node")).drop("s_node")
+    full = (dealt.join(sets.withColumnRenamed("node", "s_node"), F.col("node") == F.col("s_node")).drop("s_node")
+                 .withColumn("slot", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(slots))))
 
     def compare(key: tuple, t: pa.Table) -> pa.Table:
-        t = t.sort_by("node")
-        sets_ = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
-        tokens = [np.array(x, np.int64) for x in t.column("tokens").to_pylist()]
-        node, size, posted, chunk = (t.column(c).to_numpy().astype(np.int64) for c in ("node", "size", "posted", "chunk"))
-        low, high = key[1].as_py(), key[2].as_py()
-        edges = _forest(key[0].as_py(), node, size, tokens, posted, sets_, chunk, low != high, least, num, den) if len(node) > 1 else []
+        t = t.sort_by([("bucket", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")])
+        bucket, low, high, node, size, posted, chunk = (
+            t.column(c).to_numpy().astype(np.int64) for c in ("bucket", "low", "high", "node", "size", "posted", "chunk"))
+        listed, shingles = t.column("tokens").combine_chunks(), t.column("shingles")
+        flat, at = listed.values.to_numpy(zero_copy_only=False), listed.offsets.to_numpy()
+        new = (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        edge = np.concatenate([[0], np.flatnonzero(new) + 1, [len(bucket)]]).tolist()
+        edges = []
+        for i, j in zip(edge[:-1], edge[1:]):
+            if j - i < 2 or (low[i] != high[i] and (chunk[i:j] == chunk[i]).all()):
+                continue
+            tokens = [flat[at[k]:at[k + 1]].astype(np.int64) for k in range(i, j)]
+            sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in shingles.slice(i, j - i)]
+            if j - i == 2:
+                if _pair(int(bucket[i]), tokens, posted[i:j], sets_, least, num, den):
+                    edges.append((int(node[i]), int(node[i + 1])))
+            else:
+                edges += _forest(int(bucket[i]), node[i:j], size[i:j], tokens, posted[i:j], sets_, chunk[i:j], low[i] != high[i], least, num, den)
         return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
 
-    return full.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")
+    return full.groupBy("slot").applyInArrow(compare, "a long, b long")
