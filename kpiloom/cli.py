@@ -13,20 +13,40 @@ fails; failing *warn* tests are reported but do not fail the run.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
+from pyspark.sql import functions as F
+
 from kpiloom.params import REPORT_YEAR, KpiParams
 from kpiloom.plans.models import MODEL_NAMES, KpiWarehouse
 from kpiloom.plans.quality_suite import DECLARED_TESTS, TEST_TYPES
 from kpiloom.session import cluster_conf, get_session
-from kpiloom.sources.raw import read_raw_dir
+from kpiloom.sources.raw import BAD_ROWS, read_raw_dir, rejected_counts
+from kpiloom.sources.sink import read_table, replace_table
+
+REJECTED = "rejected_rows"
 
 
 def _warehouse(spark, args) -> KpiWarehouse:
     params = KpiParams(report_year=args.report_year, rate_scale=args.rate_scale)
     if args.tpch:
         return KpiWarehouse.from_tpch(spark, args.tpch, params)
-    return KpiWarehouse(read_raw_dir(spark, args.raw, args.raw_format), params)
+    return KpiWarehouse(read_raw_dir(spark, args.raw, args.raw_format, args.bad_rows), params)
+
+
+def _report_rejected(wh: KpiWarehouse, out: str, fmt: str) -> None:
+    """Write the malformed rows beside the models and print their number by table and file."""
+    rejected = getattr(wh.raw, "rejected", None)
+    if rejected is None:
+        return
+    path = os.path.join(out, REJECTED)
+    replace_table(rejected, path, fmt)
+    counts = rejected_counts(read_table(rejected.sparkSession, path, fmt))
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    print(f"REJECTED {total} rows -> {path}")
+    for r in counts.orderBy(F.desc("rows"), "table", "file").limit(50).collect():      # a report of the worst files
+        print(f"REJECTED {r['rows']:>8d}  {r['table']}  {r['file']}")
 
 
 def _report_tests(wh: KpiWarehouse, kinds, models=None) -> int:
@@ -54,6 +74,7 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--tpch", help="derive the raw tables from TPC-H parquet in this folder")
     src.add_argument("--raw", help="folder with the four raw tables")
     ap.add_argument("--raw-format", default="csv")
+    ap.add_argument("--bad-rows", default="fail", choices=BAD_ROWS, help="malformed CSV or JSON rows: fail, or write them apart")
     ap.add_argument("--out", help="warehouse folder for the written models")
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--master", default=None, help="Spark master (default: spark-submit's, else local)")
@@ -75,6 +96,7 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("--out is required for run/build")
         for name, path in wh.materialize(args.out, args.format, args.select).items():
             print(f"OK {name} -> {path}")
+        _report_rejected(wh, args.out, args.format)
     if args.command in ("test", "failing") and args.out:
         wh.attach(args.out, args.format)
     if args.command in ("test", "build"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,15 +15,12 @@ NO_DATES_MESSAGE = "the date spine needs at least one dated claim, available or
 def date_bounds(*dated: tuple[DataFrame, str]) -> DataFrame:
     """One row (lo, hi): min and max over several date columns, nulls skipped.
 
-    A union of one-column projections feeding a global min/max: each scan is
-    reduced by a partial aggregate, so one row per task reaches the final
-    aggregate and nothing is collected to the driver.
+    Each source is reduced to its own bounds first (over a ``footer_scan`` of
+    Parquet files by their footers alone, else by a partial aggregate), so a row
+    for each source meets the others and nothing is collected to the driver.
     """
-    frames = [df.select(F.col(col).alias("d")) for df, col in dated]
-    dates = frames[0]
-    for f in frames[1:]:
-        dates = dates.unionByName(f)
-    return dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    bounds = [df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")) for df, col in dated]
+    return reduce(DataFrame.unionByName, bounds).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 def date_spine(available: DataFrame, attested: DataFrame, claims: DataFrame) -> DataFrame:

@@ -31,8 +31,8 @@ from kpiloom.params import KpiParams
 from kpiloom.plans.quality_suite import (DECLARED_TESTS, ROW_TYPES, TEST_TYPES, DataTest, failing_rows, row_checks,
                                          run_suite, unique_key)
 from kpiloom.session import store
-from kpiloom.sources.raw import RawTables
-from kpiloom.sources.sink import current_notes, path_exists, read_table, replace_table
+from kpiloom.sources.raw import RawTables, footer_scan
+from kpiloom.sources.sink import current_notes, current_path, path_exists, read_table, replace_table
 from kpiloom.sources.tpch_fixture import derive_raw
 
 Builder = Callable[["KpiWarehouse"], DataFrame]
@@ -44,7 +44,7 @@ BUILDERS: dict[str, Builder] = {
     "stg_actions_available": lambda w: ST.stage_actions_available(w.raw.actions_available),
     "stg_actions_attested_as_complete": lambda w: ST.stage_actions_attested(w.raw.actions_attested),
     "dim_date_spine_day": lambda w: DM.date_spine(
-        w["stg_actions_available"], w["stg_actions_attested_as_complete"], w["stg_claims_awv"]),
+        *map(w.for_bounds, ("stg_actions_available", "stg_actions_attested_as_complete", "stg_claims_awv"))),
     "dim_medical_group": lambda w: DM.dim_medical_group(w["stg_plan_medical_group"]),
     "dim_medical_group_plan": lambda w: DM.dim_medical_group_plan(w["stg_plan_medical_group"]),
     "dim_patient": lambda w: DM.dim_patient(w["stg_claims_awv"]),
@@ -71,18 +71,25 @@ BUILDERS: dict[str, Builder] = {
     "rpt_medical_group_performance_annual": lambda w: RP.group_annual_report(
         w["dim_medical_group"], w["dim_date_spine_day"], w["int_medical_group_awv_summary_annual"], w.params),
     "rpt_medical_group_performance_monthly": lambda w: RP.group_monthly_report(
-        w["dim_medical_group"], w["dim_date_spine_day"], w["int_medical_group_action_summary_monthly"],
+        w["dim_medical_group"], w.for_bounds("dim_date_spine_day"), w["int_medical_group_action_summary_monthly"],
         w["int_medical_group_awv_summary_monthly"]),
     "rpt_medical_group_plan_performance_annual": lambda w: RP.plan_annual_report(
         w["dim_medical_group_plan"], w["dim_date_spine_day"], w["int_medical_group_plan_awv_summary_annual"],
         w["int_medical_group_awv_summary_annual"], w.params),
     "rpt_medical_group_plan_performance_monthly": lambda w: RP.plan_monthly_report(
-        w["dim_medical_group_plan"], w["dim_date_spine_day"], w["int_medical_group_plan_action_summary_monthly"],
+        w["dim_medical_group_plan"], w.for_bounds("dim_date_spine_day"), w["int_medical_group_plan_action_summary_monthly"],
         w["int_medical_group_plan_awv_summary_monthly"]),
 }
 
 MODEL_NAMES: list[str] = list(BUILDERS)
 
+# The dated staging models, each a projection of one raw table.
+RAW_STAGES = {
+    "stg_claims_awv": (ST.stage_claims, "claims"),
+    "stg_actions_available": (ST.stage_actions_available, "actions_available"),
+    "stg_actions_attested_as_complete": (ST.stage_actions_attested, "actions_attested"),
+}
+
 # The reference ends these models with an ORDER BY.  A stored table keeps no
 # order (and the sort would cost a range shuffle), so the order is applied only
 # when presenting: ``KpiWarehouse.presented``.
@@ -115,6 +122,7 @@ class KpiWarehouse:
         self._stored: dict[str, DataFrame] = {}
         self._written: set[str] = set()
         self._noted: dict[str, dict[str, list]] = {}  # by model and test: its condition and failures, counted while it was written
+        self._footers: dict[str, DataFrame] = {}      # written Parquet tables as scans that know their bounds
         self._rollup: tuple[DataFrame, DataFrame] | None = None
         self.build_seconds: dict[str, float] = {}     # filled by materialize
 
@@ -135,6 +143,14 @@ class KpiWarehouse:
         df = self[name]
         return df.orderBy(*PRESENTATION_ORDER[name]) if name in PRESENTATION_ORDER else df
 
+    def for_bounds(self, name: str) -> DataFrame:
+        """The model as a source of global bounds: over Parquet a scan that answers from the file footers."""
+        if name in self._footers:
+            return self._footers[name]
+        stage, raw = RAW_STAGES.get(name, (None, ""))
+        footers = getattr(self.raw, "footers", None) or {}
+        return stage(footers[raw]) if raw in footers and name not in self._written else self[name]
+
     @property
     def visit_rollup(self) -> DataFrame:
         """Claims per (group, plan, month), from which all four AWV summaries are rolled up.
@@ -224,6 +240,7 @@ class KpiWarehouse:
             path = os.path.join(out_dir, name)
             if path_exists(spark, path):
                 self._use_written(name, read_table(spark, path, fmt), current_notes(spark, path).get("failures", {}))
+                self._know_bounds(name, path, fmt)
                 found.append(name)
         return found
 
@@ -235,6 +252,11 @@ class KpiWarehouse:
         self._models[name] = df
         self._written.add(name)
 
+    def _know_bounds(self, name: str, path: str, fmt: str) -> None:
+        if fmt == "parquet":
+            df = self._models[name]
+            self._footers[name] = footer_scan(df.sparkSession, current_path(df.sparkSession, path), df.schema)
+
     def materialize(self, out_dir: str, fmt: str = "parquet", models: list[str] | None = None,
                     partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
         """Write every non-ephemeral model (in dependency order) under ``out_dir``.
@@ -258,5 +280,6 @@ class KpiWarehouse:
             replace_table(observed, path, fmt, (partition_by or {}).get(name), notes=lambda f=failures: {"failures": f()})
             self.build_seconds[name] = round(time.perf_counter() - t0, 3)
             self._use_written(name, read_table(spark, path, fmt), failures())
+            self._know_bounds(name, path, fmt)
             written[name] = path
         return written

@@ -50,3 +50,15 @@ def test_show_with_report_year(spark, capsys):
 def test_select_models_for_tests(spark, capsys):
     assert main(["test", "--tpch", SF_SMALL, "--select", "dim_plan", "dim_patient"]) == 0
     assert "TOTAL=5" in capsys.readouterr().out          # dim_plan: 3 tests, dim_patient: 2
+
+
+def test_build_with_malformed_rows_apart(spark, capsys):
+    from kpiloom.sources.sink import read_table
+    folder, out = tempfile.mkdtemp(prefix="kpiloom-cli-"), tempfile.mkdtemp(prefix="kpiloom-wh-")
+    _write_raw(spark, folder, [(1, 10, dt.date(2024, 1, 1), 5)])
+    with open(f"{folder}/claims/part-bad.csv", "w") as f:
+        f.write("awv_date_of_service,medical_group_id,patient_id,plan_id\n2024-01-03,10,x,1\n")
+    assert main(["run", "--raw", folder, "--out", out, "--bad-rows", "apart", "--select", "fct_awv_claim"]) == 0
+    assert "REJECTED 1 rows" in capsys.readouterr().out
+    assert read_table(spark, f"{out}/fct_awv_claim").count() == 1
+    assert [r.record for r in read_table(spark, f"{out}/rejected_rows").collect()] == ["2024-01-03,10,x,1"]
