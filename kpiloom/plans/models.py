@@ -115,8 +115,9 @@ TESTED_OFTEN = ["stg_plan_medical_group", "stg_claims_awv", "stg_actions_availab
 class KpiWarehouse:
     """Lazily built models over four raw tables."""
 
-    def __init__(self, raw: RawTables, params: KpiParams = KpiParams()):
+    def __init__(self, raw: RawTables, params: KpiParams = KpiParams(), footer_bounds: bool = False):
         self.raw = raw
+        self.footer_bounds = footer_bounds            # see ``for_bounds``
         self.params = params
         self._models: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
@@ -144,7 +145,11 @@ class KpiWarehouse:
         return df.orderBy(*PRESENTATION_ORDER[name]) if name in PRESENTATION_ORDER else df
 
     def for_bounds(self, name: str) -> DataFrame:
-        """The model as a source of global bounds: over Parquet a scan that answers from the file footers."""
+        """The model as a source of global bounds: over Parquet, if ``footer_bounds`` is set, a scan that answers from the
+        file footers.  Spark raises there if some file has only nulls in the column, so it is off unless asked for.
+        """
+        if not self.footer_bounds:
+            return self[name]
         if name in self._footers:
             return self._footers[name]
         stage, raw = RAW_STAGES.get(name, (None, ""))
@@ -253,7 +258,7 @@ class KpiWarehouse:
         self._written.add(name)
 
     def _know_bounds(self, name: str, path: str, fmt: str) -> None:
-        if fmt == "parquet":
+        if fmt == "parquet" and self.footer_bounds:
             df = self._models[name]
             self._footers[name] = footer_scan(df.sparkSession, current_path(df.sparkSession, path), df.schema)
 

@@ -122,6 +122,7 @@ def rejected_counts(rejected: DataFrame) -> DataFrame:
 def footer_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet scan that answers a global min, max or count from the file footers, without reading rows.
 
+    Every file must have a value in the column: Spark raises on one with nulls alone.
     Only the newer scan of Spark does so, and only for Parquet in general if the
     session says so; here it is asked for while this one table is opened.
     """
@@ -135,11 +136,12 @@ def footer_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         spark.conf.set(listed, before)
 
 
-def read_raw_dir(spark: SparkSession, directory: str, fmt: str = "csv", bad_rows: str = "fail") -> RawTables:
+def read_raw_dir(spark: SparkSession, directory: str, fmt: str = "csv", bad_rows: str = "fail",
+                 footers: bool = False) -> RawTables:
     """Read the four raw tables stored as ``<directory>/<name>`` (file or folder) or ``<name>.<fmt>``.
 
     ``bad_rows``: ``fail`` raises on a malformed row, ``apart`` reads on and keeps
-    those rows in ``rejected``.
+    those rows in ``rejected``.  ``footers`` opens Parquet tables as ``footer_scan`` too.
     """
     if bad_rows not in BAD_ROWS:
         raise ValueError(f"bad_rows is one of {BAD_ROWS}")
@@ -153,8 +155,8 @@ def read_raw_dir(spark: SparkSession, directory: str, fmt: str = "csv", bad_rows
         split = {n: read_raw_split(spark, p, n, fmt) for n, p in paths.items()}
         rejected = reduce(DataFrame.unionByName, (x.rejected for x in split.values()))
         return RawTables(*(x.good for x in split.values()), rejected=rejected)
-    footers = {n: footer_scan(spark, p, RAW_SCHEMAS[n]) for n, p in paths.items()} if fmt == "parquet" else None
-    return RawTables(*(read_raw(spark, p, n, fmt) for n, p in paths.items()), columnar=fmt in COLUMNAR_FORMATS, footers=footers)
+    scans = {n: footer_scan(spark, p, RAW_SCHEMAS[n]) for n, p in paths.items()} if footers and fmt == "parquet" else None
+    return RawTables(*(read_raw(spark, p, n, fmt) for n, p in paths.items()), columnar=fmt in COLUMNAR_FORMATS, footers=scans)
 
 
 def write_raw_dir(raw: RawTables, directory: str, fmt: str = "csv") -> None:

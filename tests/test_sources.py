@@ -4,7 +4,7 @@ import os
 import tempfile
 
 from kpiloom import KpiWarehouse, read_raw_dir
-from kpiloom.sources.raw import write_raw_dir
+from kpiloom.sources.raw import RawTables, write_raw_dir
 
 
 def _same(a, b):
@@ -114,8 +114,8 @@ def test_spine_bounds_come_from_parquet_footers(spark, tpch_wh):
     """Over raw Parquet and over written tables: least and greatest dates are pushed into all three scans."""
     from kpiloom.plans.models import BUILDERS
     folder, out = (tempfile.mkdtemp(prefix=f"kpiloom-{x}-") for x in ("raw", "wh"))
-    write_raw_dir(tpch_wh.raw, folder, "parquet")
-    wh = KpiWarehouse(read_raw_dir(spark, folder, "parquet"))
+    write_raw_dir(RawTables(*(t.coalesce(1) for t in tpch_wh.raw.tables())), folder, "parquet")
+    wh = KpiWarehouse(read_raw_dir(spark, folder, "parquet", footers=True), footer_bounds=True)
     lazy = wh["dim_date_spine_day"]
     assert _same(lazy, tpch_wh["dim_date_spine_day"])
     wh.materialize(out, models=["stg_actions_available", "stg_actions_attested_as_complete", "stg_claims_awv", "dim_date_spine_day"])
