@@ -1,7 +1,9 @@
 import hashlib
+import random
 import re
+import time
 
-from kpiloom.llm.secret_scan import SCOPE, digest, scan_secrets
+from kpiloom.llm.secret_scan import ROLE, SCOPE, WEAK, digest, scan_secrets
 
 PATTERNS = (
     ("assign", re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII),
@@ -55,3 +57,42 @@ def test_empty_and_native(make_docs):
     out = digest(scan_secrets(make_docs([])))
     assert out.count() == 0
     assert "Python" not in out._jdf.queryExecution().toString()
+
+
+def brute_links(text):
+    """Weak parts by the definition: clear of base spans, with a complementary clear part within the scope."""
+    found = [(m.start(), m.end(), k) for k, p, ok in PATTERNS for m in p.finditer(text) if ok(m)]
+    weak = [(m.start(), m.end(), k) for k, p, _ in WEAK for m in re.compile(p, re.ASCII).finditer(text)]
+    weak = [w for w in weak if not any(b[0] < w[1] and w[0] < b[1] for b in found)]
+    every = found + weak
+    return sorted((a, e, k) for a, e, k in weak
+                  if any(ROLE[k] != ROLE[o] and "secret" in (ROLE[k], ROLE[o]) and max(a, s) - min(e, t) <= SCOPE for s, t, o in every))
+
+
+def test_interval_join_against_brute_force_on_planted_credentials(make_docs, prose):
+    r = random.Random(8)
+    parts = [lambda: "AKIA" + "".join(r.choices("ABCDEFGH0123", k=16)), lambda: "".join(r.choices("abcXYZ0189", k=40)) + "q7Z",
+             lambda: f"client_id={r.choice(['svc', 'user'])}{r.randrange(999)}", lambda: f"https://db{r.randrange(9)}.example.com/x",
+             lambda: f"token={r.choice(['abcdef12', 'https://in.example.com', 'ab'])}", lambda: "".join(r.choices("0123456789abcdef", k=30)),
+             lambda: "0123456789abcdef" * 60]
+    texts = []
+    for i in range(60):
+        words = prose(900 + i, r.choice([20, 120, 400])).split()
+        for _ in range(r.randrange(8)):
+            words.insert(r.randrange(len(words)), r.choice(parts)())
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts)) + [(3, texts[3]), (None, texts[4])]
+    out = scan_secrets(make_docs(rows)).collect()
+    assert len(out) == len(rows)
+    for row in out:
+        want = brute_links(texts[4 if row.doc_id is None else row.doc_id])
+        assert sorted((s.start, s.end, s.kind) for s in row.linked) == want
+    assert sum(len(brute_links(t)) for t in texts) > 20
+
+
+def test_very_many_matches_in_one_text(make_docs):
+    text = "token=abcdefgh x " * 200_000
+    began = time.monotonic()
+    row = scan_secrets(make_docs([(1, text)])).selectExpr("size(base) n", "base[199999].start s", "base[123456].end e").first()
+    assert (row.n, row.s, row.e) == (200_000, 199_999 * 17, 123_456 * 17 + 14)
+    assert time.monotonic() - began < 120
