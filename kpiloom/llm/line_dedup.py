@@ -19,7 +19,8 @@ without any order inside the key.
 
 Defined results: a null or empty text, or one with a single line that is not long, is
 left as it is; rows with the same id and text are one document and get the same result; an
-empty table gives no rows; blank lines stay; other columns are kept as they are.
+empty table gives no rows; lines of white space alone are blank and stay; lines are the same if they
+differ in white space at their ends only (so CRLF texts match LF texts); other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from kpiloom.llm.common import KEY, saved, text_key
 from kpiloom.llm.similar import small_side
 
 GRAM, WINDOW = 2, 2
+BLANK = " \t\r\f\v"         # lines are compared without these at their ends
 LONG_WORDS = 25
 _LONG = r"^\s*+(?:\S++\s++){%d}\S" % (LONG_WORDS - 1)
 REMOVED = "__kpl_removed"    # column of removed line places
@@ -39,7 +41,7 @@ REMOVED = "__kpl_removed"    # column of removed line places
 def line_table(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, text key, number, hashes and places of its lines that are not blank, and which are long."""
     rows = docs.select("doc_id", *text_key(F.col("text")), F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
-    solid = F.filter(F.transform("lines", lambda x, i: F.struct(F.trim(x).alias("x"), i.alias("i"))), lambda s: s["x"] != "")
+    solid = F.filter(F.transform("lines", lambda x, i: F.struct(F.btrim(x, F.lit(BLANK)).alias("x"), i.alias("i"))), lambda s: s["x"] != "")
     rows = rows.select("doc_id", *KEY, solid.alias("solid"))
     rows = rows.select("doc_id", *KEY, F.transform("solid", lambda s: F.xxhash64(s["x"])).alias("hashes"),
                        F.col("solid.i").alias("places"), F.transform("solid", lambda s: s["x"].rlike(_LONG)).alias("long"))

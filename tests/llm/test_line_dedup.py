@@ -4,7 +4,7 @@ from kpiloom.llm.line_dedup import REMOVED, dedup_lines
 
 
 def solid(text):
-    return [(i, x.strip(" ")) for i, x in enumerate((text or "").split("\n")) if x.strip(" ")]
+    return [(i, x.strip(" \t\r\f\v")) for i, x in enumerate((text or "").split("\n")) if x.strip(" \t\r\f\v")]
 
 
 def run(docs):
@@ -97,3 +97,12 @@ def test_native_and_empty(make_docs):
     assert df.count() == 0
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_blank_lines_of_any_white_space_stay_and_crlf_matches_lf(make_docs, prose):
+    tabs = "gamma\n\t\n\t\ndelta"
+    run3 = [f"line {k} " + prose(70 + k, 5) for k in range(3)]
+    rows = [(1, "alpha\n\t\n\t\nbeta"), (2, tabs), (3, "\n".join(["one", *run3])), (4, "\r\n".join(["two", *run3, "three"]))]
+    got = run(make_docs(rows))
+    assert got[(2, tabs)] == (tabs, [])
+    assert got[(4, rows[3][1])] == ("two\r\nthree", [1, 2, 3])
