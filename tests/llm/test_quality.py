@@ -1,4 +1,5 @@
 import collections
+import itertools
 import re
 
 import numpy as np
@@ -114,3 +115,70 @@ def test_viterbi_finds_the_best_path():
         best = max((tuple(int(c) for c in f"{k:0{n}b}") for k in range(2 ** n)), key=value)
         assert tuple(C.viterbi(x, model)) == best
     assert len(C.viterbi(np.zeros((0, C.FEATURES)), model)) == 0
+
+
+def test_gradient_is_that_of_the_conditional_log_likelihood():
+    r = np.random.default_rng(1)
+    states = len(C.STATES)
+    samples = [(r.normal(size=(n, C.FEATURES)), r.integers(0, states, n), q) for n, q in ((6, 1), (4, 1), (3, 0), (1, 0))]
+    x, live, truth, weight = C.laid_out(samples)
+    emit, move = r.normal(size=(states, C.FEATURES)), r.normal(size=(states, states))
+
+    def log_sum(f, emit, move):
+        return np.logaddexp.reduce([sum(f[i] @ emit[q] for i, q in enumerate(y)) + sum(move[a, b] for a, b in zip(y, y[1:]))
+                                    for y in itertools.product(range(states), repeat=len(f))])
+
+    def value(emit, move):
+        paths = [sum(f[i] @ emit[q] for i, q in enumerate(y)) + sum(move[a, b] for a, b in zip(y, y[1:])) for f, y, _ in samples]
+        return (weight * (np.array(paths) - C.expected(x, live, emit, move)[0])).sum()
+
+    whole = C.expected(x, live, emit, move)[0]
+    assert np.allclose(whole, [log_sum(f, emit, move) for f, _, _ in samples])
+    got = C.gradient(x, live, truth, weight, emit, move)
+    for k, target in enumerate((emit, move)):
+        for at in np.ndindex(target.shape):
+            up, down = target.copy(), target.copy()
+            up[at] += 1e-5
+            down[at] -= 1e-5
+            args = ((up, move), (down, move)) if k == 0 else ((emit, up), (emit, down))
+            assert abs((value(*args[0]) - value(*args[1])) / 2e-5 - got[k][at]) < 1e-6
+
+
+def brute_furniture(texts):
+    places = collections.defaultdict(list)
+    for t in set(texts):
+        lines = [x.strip(" \t\n\v\f\r") for x in (t or "").split("\n")]
+        lines = [x for x in lines if x]
+        for i, x in enumerate(lines):
+            places[x].append((t, lines[i - 1] if i else None, lines[i + 1] if i + 1 < len(lines) else None))
+    return {x for x, p in places.items() if len({t for t, _, _ in p}) >= C.TEXTS
+            and max(len({b for _, b, _ in p}), len({a for _, _, a in p})) >= C.VARIETY * len(p)}
+
+
+def test_planted_boilerplate_is_labelled_among_content(spark, make_docs, prose, hard_rows):
+    notes = ["Share this page with a friend", "Sign up for our letter", "All rights reserved by the owner"]
+    rows, planted = [], {}
+    for d in range(90):
+        lines = [prose(10_000 + 50 * d + k, 14) for k in range(6)]
+        mine = [n for k, n in enumerate(notes) if (d + k) % 3 != 0]
+        for k, n in enumerate(mine):
+            lines.insert((d * 3 + 2 * k) % (len(lines) + 1), n)
+        planted[d] = {i for i, x in enumerate(lines) if x in notes}
+        rows.append((d, "\n\n".join(lines)))
+    copied = [prose(99_000 + k, 14) for k in range(8)]
+    near = [(2000 + d, "\n".join([*copied[:7], prose(98_000 + d, 14)])) for d in range(30)]      # near copies are content
+    bad = [(1000 + d, "\n".join(junk(prose(20_000 + 9 * d + k, 10)) for k in range(5))) for d in range(60)]
+    every = rows + near + bad + hard_rows
+    docs = make_docs(every + rows[:20])
+    want = {spark.createDataFrame([(x,)], "x string").select(F.xxhash64("x")).first()[0] for x in brute_furniture([t for _, t in every])}
+    assert {r.line for r in C.furniture(docs).collect()} == want and len(want) == 4    # notes, and the line beside the changed one of the near copies
+    labels = spark.createDataFrame([(d, 1, 0) for d in range(90)] + [(1000 + d, 0, 0) for d in range(60)], LABELS)
+    out = [r for r in C.label_lines(docs, labels).collect() if r.doc_id is not None]
+    assert len(out) == len(every) + 20 - 2
+    mixed = [r for r in out if r.doc_id in planted and r.n_lines > 5 and r.doc_id > 9]
+    hits = sum(len(planted[r.doc_id] & set(r.boilerplate)) for r in mixed)
+    assert hits >= 0.95 * sum(len(planted[r.doc_id]) for r in mixed)
+    assert sum(len(r.boilerplate) for r in mixed) <= 1.05 * hits                       # and little else
+    assert all(0 < r.content_lines < r.n_lines and r.kept for r in mixed)
+    assert all(r.kept and set(r.boilerplate) <= {6} for r in out if 2000 <= r.doc_id < 3000)
+    assert not any(r.kept for r in out if 1000 <= r.doc_id < 2000)
