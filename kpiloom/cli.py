@@ -24,6 +24,7 @@ from kpiloom.plans.quality_suite import DECLARED_TESTS, TEST_TYPES
 from kpiloom.session import cluster_conf, get_session
 from kpiloom.sources.raw import BAD_ROWS, read_raw_dir, rejected_counts
 from kpiloom.sources.sink import read_table, replace_table
+from kpiloom.sources.tpch_fixture import derive_raw
 
 REJECTED = "rejected_rows"
 
@@ -31,8 +32,8 @@ REJECTED = "rejected_rows"
 def _warehouse(spark, args) -> KpiWarehouse:
     params = KpiParams(report_year=args.report_year, rate_scale=args.rate_scale)
     if args.tpch:
-        return KpiWarehouse.from_tpch(spark, args.tpch, params)
-    return KpiWarehouse(read_raw_dir(spark, args.raw, args.raw_format, args.bad_rows), params)
+        return KpiWarehouse(derive_raw(spark, args.tpch), params, buckets=args.buckets)
+    return KpiWarehouse(read_raw_dir(spark, args.raw, args.raw_format, args.bad_rows), params, buckets=args.buckets)
 
 
 def _report_rejected(wh: KpiWarehouse, out: str, fmt: str) -> None:
@@ -77,6 +78,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--bad-rows", default="fail", choices=BAD_ROWS, help="malformed CSV or JSON rows: fail, or write them apart")
     ap.add_argument("--out", help="warehouse folder for the written models")
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--buckets", type=int, default=None, help="buckets of the stored daily tables (Parquet), so monthly summaries need no shuffle")
     ap.add_argument("--master", default=None, help="Spark master (default: spark-submit's, else local)")
     ap.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="extra Spark setting")
     ap.add_argument("--cluster", metavar="EXECUTORS,CORES", help="size the shuffle for so many executors and cores of each")

@@ -32,7 +32,8 @@ from kpiloom.plans.quality_suite import (DECLARED_TESTS, ROW_TYPES, TEST_TYPES,
                                          run_suite, unique_key)
 from kpiloom.session import store
 from kpiloom.sources.raw import RawTables, footer_scan
-from kpiloom.sources.sink import current_notes, current_path, path_exists, read_table, replace_table
+from kpiloom.sources.sink import (Buckets, current_notes, current_path, path_exists, read_table, replace_table,
+                                  store_bucketed)
 from kpiloom.sources.tpch_fixture import derive_raw
 
 Builder = Callable[["KpiWarehouse"], DataFrame]
@@ -112,11 +113,24 @@ TESTED_OFTEN = ["stg_plan_medical_group", "stg_claims_awv", "stg_actions_availab
                 "dim_date_spine_day", "dim_medical_group", "dim_plan", "int_daily_action_decomposition"]
 
 
+# Stored models with a summary by entity and month, and the keys of its window; see ``KpiWarehouse.buckets``.
+BUCKETED: dict[str, tuple[tuple[str, ...], bool]] = {
+    "int_daily_action_decomposition": (("medical_group_id", "plan_id"), False),
+    "int_medical_group_action_decomposition_daily": (("medical_group_id",), True),       # ends in a window by group
+}
+
+
 class KpiWarehouse:
-    """Lazily built models over four raw tables."""
+    """Lazily built models over four raw tables.
+
+    ``buckets``: so many buckets for the daily decompositions and the roll-up of the claims in a
+    build over Parquet.  The monthly summaries over them (#14, #15, #17, #19) then need no exchange.
+    It should be the session's shuffle partitions, or a divisor of them.
+    """
 
-    def __init__(self, raw: RawTables, params: KpiParams = KpiParams(), footer_bounds: bool = False):
+    def __init__(self, raw: RawTables, params: KpiParams = KpiParams(), footer_bounds: bool = False, buckets: int | None = None):
         self.raw = raw
+        self.buckets = buckets
         self.footer_bounds = footer_bounds            # see ``for_bounds``
         self.params = params
         self._models: dict[str, DataFrame] = {}
@@ -165,7 +179,10 @@ class KpiWarehouse:
         claims = self["fct_awv_claim"]
         if not self._rollup or self._rollup[0] is not claims:
             rollup = AW.visit_rollup(claims)
-            self._rollup = claims, store(rollup) if "fct_awv_claim" in self._written else rollup
+            if "fct_awv_claim" in self._written:
+                by_group = self.buckets and Buckets(self.buckets, ("medical_group_id",), ("plan_id", "date_month"))
+                rollup = store_bucketed(rollup, by_group) if by_group else store(rollup)
+            self._rollup = claims, rollup
         return self._rollup[1]
 
     # -- data quality ------------------------------------------------------
@@ -282,7 +299,11 @@ class KpiWarehouse:
             path = os.path.join(out_dir, name)
             t0 = time.perf_counter()
             observed, failures = self._observed(name, BUILDERS[name](self))
-            replace_table(observed, path, fmt, (partition_by or {}).get(name), notes=lambda f=failures: {"failures": f()})
+            columns, buckets = (partition_by or {}).get(name), None
+            if self.buckets and fmt == "parquet" and name in BUCKETED and not columns:
+                by, dealt = BUCKETED[name]
+                buckets = Buckets(self.buckets, by, ("date_day",), dealt)
+            replace_table(observed, path, fmt, columns, notes=lambda f=failures: {"failures": f()}, buckets=buckets)
             self.build_seconds[name] = round(time.perf_counter() - t0, 3)
             self._use_written(name, read_table(spark, path, fmt), failures())
             self._know_bounds(name, path, fmt)

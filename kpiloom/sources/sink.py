@@ -13,22 +13,47 @@ commit is never looked at, a commit file cut short does not count.  A reader
 holds on to the version that it resolved; ``keep`` versions stay after a commit.
 This needs no more of a store than that a closed file is visible and listed.
 
+A Parquet table can be bucketed (``Buckets``): its files are dealt by a hash of key columns,
+so aggregates and windows by these keys need no exchange when they read it.  The commit keeps the buckets,
+and a reader names the version's folder in its session's catalog under them, as Spark takes buckets from
+there only; the catalog entry holds no data.
+
 Two writers at once: the commit file is created exclusively, so on stores that
 have exclusive creation the second one fails and leaves the first one's table.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import uuid
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.session import checkpoint_dir
+
 COMMITS = "_commits"
 KEEP = 2
 
 
+@dataclasses.dataclass(frozen=True)
+class Buckets:
+    """``number`` buckets by a hash of the columns ``by``, each sorted by them and ``sort``.
+
+    ``dealt``: the rows come out of a shuffle by these columns already (a window or
+    aggregate); otherwise they are dealt before the write, so that a bucket is one file.
+    """
+
+    number: int
+    by: tuple[str, ...]
+    sort: tuple[str, ...] = ()
+    dealt: bool = False
+
+    def noted(self) -> dict:
+        return {"number": self.number, "by": list(self.by), "sort": list(self.sort)}
+
+
 def _file_system(spark: SparkSession, path: str):
     """(Hadoop path, its file system): whatever store the path names."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -51,6 +76,40 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     writer.save(path)
 
 
+def _entry(path: str) -> str:
+    """The catalog name of a version's folder."""
+    return f"kpiloom_{zlib.crc32(path.encode()):08x}_{path.rstrip('/').rsplit('-', 1)[-1]}"
+
+
+def write_bucketed(df: DataFrame, path: str, buckets: Buckets) -> None:
+    """Write one folder of bucketed Parquet files."""
+    if not buckets.dealt:
+        df = df.repartition(buckets.number, *buckets.by)
+    (df.write.mode("overwrite").format("parquet").option("path", path)
+       .bucketBy(buckets.number, *buckets.by).sortBy(*buckets.by, *buckets.sort).saveAsTable(_entry(path)))
+
+
+def read_bucketed(spark: SparkSession, path: str, noted: dict) -> DataFrame:
+    """A folder of bucketed files, with the buckets known to the planner."""
+    def listed(columns: list[str]) -> str:
+        return ", ".join(f"`{c}`" for c in columns)
+
+    if not spark.catalog.tableExists(_entry(path)):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_entry(path)} ({columns}) USING parquet "
+                  f"CLUSTERED BY ({listed(noted['by'])}) SORTED BY ({listed(noted['by'] + noted['sort'])}) "
+                  f"INTO {int(noted['number'])} BUCKETS LOCATION '{place}'")
+    return spark.table(_entry(path))
+
+
+def store_bucketed(df: DataFrame, buckets: Buckets) -> DataFrame:
+    """Write ``df`` bucketed under the session's checkpoint folder and read it back."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/kpiloom-{uuid.uuid4().hex}"
+    write_bucketed(df, path, buckets)
+    return read_bucketed(df.sparkSession, path, buckets.noted())
+
+
 def _line(commit: dict) -> str:
     body = json.dumps(commit, sort_keys=True)
     return f"{zlib.crc32(body.encode()):08x} {body}\n"
@@ -102,32 +161,46 @@ def current_notes(spark: SparkSession, path: str) -> dict:
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The current version of a table."""
+    found = commits(spark, path)
+    if found and found[0][1].get("buckets"):
+        return read_bucketed(spark, f"{path}/{found[0][1]['data']}", found[0][1]["buckets"])
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true").option("inferSchema", "true")
-    return reader.load(current_path(spark, path))
+    return reader.load(f"{path}/{found[0][1]['data']}" if found else path)
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-                  keep: int = KEEP, notes=None) -> str:
+                  keep: int = KEEP, notes=None, buckets: Buckets | None = None) -> str:
     """Write ``df`` as the new version of the table at ``path``; gives the version's folder.
 
     ``notes`` is called after the write; what it returns (plain values) is kept
-    with the commit.  Versions before the last ``keep`` are removed.
+    with the commit.  Versions before the last ``keep`` are removed.  ``buckets``: for
+    Parquet without partition columns.
     """
+    if buckets and (fmt != "parquet" or partition_by):
+        raise ValueError("buckets need Parquet without partition columns")
     spark = df.sparkSession
     version = f"data-{uuid.uuid4().hex}"
     data, fs = _file_system(spark, f"{path}/{version}")
     number = _last_number(spark, path) + 1
     try:
-        write_table(df, f"{path}/{version}", fmt, partition_by)
+        if buckets:
+            write_bucketed(df, f"{path}/{version}", buckets)
+        else:
+            write_table(df, f"{path}/{version}", fmt, partition_by)
         commit = {"data": version, "format": fmt, "notes": notes() if notes else {}}
+        if buckets:
+            commit["buckets"] = buckets.noted()
         _commit(spark, path, number, commit)
     except Exception:
         fs.delete(data, True)
+        spark.sql(f"DROP TABLE IF EXISTS {_entry(f'{path}/{version}')}")
         raise
     for _, old in commits(spark, path)[keep:]:
         fs.delete(_file_system(spark, f"{path}/{old['data']}")[0], True)
+        if old.get("buckets"):
+            spark.sql(f"DROP TABLE IF EXISTS {_entry(f'{path}/{old['data']}')}")
     for old_number, _ in commits(spark, path)[keep:]:
         fs.delete(_file_system(spark, f"{path}/{COMMITS}/{old_number:020d}")[0], False)
     return f"{path}/{version}"

@@ -185,3 +185,55 @@ def test_cluster_conf_sizes_the_shuffle():
     from kpiloom.session import cluster_conf
     conf = cluster_conf(1000, 4)
     assert conf["spark.sql.shuffle.partitions"] == "16000"
+
+
+MONTHLY = ["int_medical_group_action_summary_monthly", "int_medical_group_plan_action_summary_monthly",
+           "int_medical_group_awv_summary_monthly", "int_medical_group_plan_awv_summary_monthly"]
+
+
+def hash_exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning")
+
+
+def test_windows_over_bucketed_tables_need_no_exchange(spark, tpch_wh, tmp_path):
+    from kpiloom.plans.models import BUILDERS, KpiWarehouse
+    plain, bucketed = str(tmp_path / "plain"), str(tmp_path / "it's bucketed")
+    tpch_wh_plain = KpiWarehouse(tpch_wh.raw, tpch_wh.params)
+    tpch_wh_plain.materialize(plain)
+    wh = KpiWarehouse(tpch_wh.raw, tpch_wh.params, buckets=4)
+    wh.materialize(bucketed)
+    assert content(spark, bucketed) == content(spark, plain)
+    daily = os.path.join(bucketed, "int_medical_group_action_decomposition_daily")
+    files = [f for f in os.listdir(current_path(spark, daily)) if f.endswith(".parquet")]
+    assert 1 < len(files) <= 4                                    # one file a bucket
+    for name in MONTHLY:
+        assert hash_exchanges(BUILDERS[name](tpch_wh_plain)) > 0
+        rebuilt = BUILDERS[name](wh)
+        assert hash_exchanges(rebuilt) == 0, name
+        assert sorted(map(str, rebuilt.collect())) == sorted(map(str, BUILDERS[name](tpch_wh_plain).collect()))
+    old = current_path(spark, daily)
+    other = KpiWarehouse(tpch_wh.raw, tpch_wh.params, buckets=4)     # of another session: only the commits are known
+    for t in spark.catalog.listTables():
+        if t.name.startswith("kpiloom_"):
+            spark.sql(f"DROP TABLE {t.name}")
+    assert path_exists(spark, old)                               # the catalog's entries own no data
+    assert other.attach(bucketed) == STORED
+    for name in MONTHLY:
+        assert hash_exchanges(BUILDERS[name](other)) == 0, name
+    assert [str(r) for r in other.data_tests().orderBy("test_name").collect()] == [str(r) for r in wh.data_tests().orderBy("test_name").collect()]
+
+
+def test_bucketed_versions_are_replaced_and_removed(spark, tmp_path):
+    path, cut = str(tmp_path / "t"), sink.Buckets(3, ("k",), ("id",))
+    for n in (5, 50, 0, 7):
+        replace_table(spark.range(n).selectExpr("id", "id % 4 AS k", "date'2024-01-01' AS `a day`"), path, buckets=cut)
+        assert read_table(spark, path).count() == n
+        assert hash_exchanges(read_table(spark, path).groupBy("k").count()) == 0
+    assert len(versions(path)) == sink.KEEP
+    with pytest.raises(Exception):
+        replace_table(spark.range(3).selectExpr("assert_true(id < 2) AS x", "id AS k", "id"), path, buckets=cut)
+    assert read_table(spark, path).count() == 7 and len(versions(path)) == sink.KEEP
+    replace_table(spark.range(2).toDF("id"), path)               # a plain version after bucketed ones
+    assert read_table(spark, path).count() == 2
+    with pytest.raises(ValueError):
+        replace_table(spark.range(2).toDF("id"), path, fmt="csv", buckets=cut)
