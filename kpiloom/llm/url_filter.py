@@ -32,14 +32,31 @@ RULES = (
 # Vocabulary. One strict term blocks; soft terms add their weights.
 STRICT = ("casino", "porn", "porno", "xxx", "viagra", "cialis", "escort", "escorts", "warez", "jackpot", "malware")
 SOFT = {
-    "bet": 1, "bets": 1, "betting": 1, "bonus": 1, "cheap": 1, "crack": 1, "dating": 1, "deal": 1, "deals": 1,
-    "free": 1, "gratis": 1, "hot": 1, "loan": 1, "loans": 1, "lottery": 1, "nude": 1, "pill": 1, "pills": 1,
-    "poker": 1, "prize": 1, "sex": 1, "sexy": 1, "slot": 1, "slots": 1, "torrent": 1, "win": 1, "winner": 1,
+    "bet": 2, "bets": 2, "betting": 2, "bonus": 1, "cheap": 1, "crack": 2, "dating": 2, "deal": 1, "deals": 1,
+    "free": 1, "gratis": 1, "hot": 1, "loan": 1, "loans": 1, "lottery": 2, "nude": 2, "pill": 2, "pills": 2,
+    "poker": 2, "prize": 1, "sex": 2, "sexy": 2, "slot": 2, "slots": 2, "torrent": 2, "win": 1, "winner": 1,
 }
-SOFT_LIMIT = 2
+SOFT_LIMIT = 3          # above any single weight: two telling terms, or one and a common word, or three common words
+MAX_TERMS = 100_000     # of a vocabulary read from a table
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def read_vocabulary(terms: DataFrame, most: int = MAX_TERMS) -> tuple[tuple[str, ...], dict[str, int]]:
+    """(strict terms, soft terms with weights) of a table (term, weight); a null weight marks a strict term.
+
+    Terms are lower-cased (A-Z); empty and null ones, and weights below 1, are
+    left out; of repeated terms the strict one, else the greatest weight, holds.
+    More than ``most`` terms raise, as every task holds them all.
+    """
+    term = F.translate(F.col("term"), UPPER, LOWER)
+    rows = (terms.where("term <> '' AND (weight IS NULL OR weight >= 1)")
+                 .groupBy(term.alias("term")).agg(F.max(F.col("weight").isNull()).alias("strict"), F.max("weight").cast("long").alias("weight"))
+                 .limit(most + 1).collect())                                   # at most ``most`` + 1 rows
+    if len(rows) > most:
+        raise ValueError(f"a vocabulary has at most {most} terms")
+    return tuple(sorted(r["term"] for r in rows if r["strict"])), {r["term"]: r["weight"] for r in sorted(rows) if not r["strict"]}
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path; empty for null and where there is no ``://``."""
     url = F.coalesce(url, F.lit(""))
@@ -62,8 +79,9 @@ def term_hits(urls: DataFrame, strict=STRICT, soft=SOFT) -> DataFrame:
     def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
         found = ahocorasick.Automaton()
+        hard_terms = frozenset(strict)
         for t in (*strict, *soft):
-            found.add_word(t, (t, t in strict))
+            found.add_word(t, (t, t in hard_terms))
         found.make_automaton()
         solid = set("abcdefghijklmnopqrstuvwxyz0123456789")
         fold = str.maketrans(UPPER, LOWER)
@@ -72,7 +90,7 @@ def term_hits(urls: DataFrame, strict=STRICT, soft=SOFT) -> DataFrame:
             for url in b.column(b.schema.get_field_index("url")).to_pylist():
                 hard, mild = 0, set()
                 url = (url or "").translate(fold)
-                for end, (term, is_strict) in found.iter(url):
+                for end, (term, is_strict) in found.iter(url) if len(found) else ():      # an automaton without words is none
                     start = end - len(term)
                     if (start >= 0 and url[start] in solid) or (end + 1 < len(url) and url[end + 1] in solid):
                         continue

@@ -1,6 +1,8 @@
 import re
 
-from kpiloom.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, filter_urls
+import pytest
+
+from kpiloom.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, filter_urls, read_vocabulary
 
 SCHEMA = "page_id long, url string, host string, rule string, n_soft string"
 
@@ -31,3 +33,27 @@ def test_rules_and_terms_against_brute_force(spark):
     for r in out:
         assert (r.host, r.path, r.rule, r.verdict) == brute(r.url), r.url
     assert filter_urls(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_weights_decide_and_no_soft_term_does_alone(spark):
+    assert max(SOFT.values()) < SOFT_LIMIT and len(set(SOFT.values())) > 1
+    urls = ["http://a.net/poker", "http://a.net/poker/free", "http://a.net/free/cheap", "http://a.net/free/cheap/win", "http://a.net/poker-slots"]
+    out = {r.url: r.verdict for r in filter_urls(spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")).collect()}
+    assert [out[u] for u in urls] == ["allow", "block", "allow", "block", "block"]
+
+
+def test_vocabulary_from_a_table(spark):
+    rows = [("Casino", None, "x"), ("casino", 2, "x"), ("bet", 1, "y"), ("BET", 3, "y"), ("", 1, "z"), (None, None, "z"), ("low", 0, "z"), ("é", 1, None)]
+    terms = spark.createDataFrame(rows, "term string, weight int, strict string")
+    strict, soft = read_vocabulary(terms)
+    assert (strict, soft) == (("casino",), {"bet": 3, "é": 1})
+    pages = spark.createDataFrame([(1, "http://a.net/CASINO"), (2, "http://a.net/bet"), (3, "http://a.net/porn")], "page_id long, url string")
+    assert [r.verdict for r in filter_urls(pages, strict=strict, soft=soft, limit=3).orderBy("page_id").collect()] == ["block", "block", "allow"]
+    assert read_vocabulary(terms.where("false")) == ((), {})
+    with pytest.raises(ValueError):
+        read_vocabulary(terms, most=2)
+
+
+def test_no_terms_at_all(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/casino"), (2, None)], "page_id long, url string")
+    assert {r.verdict for r in filter_urls(pages, strict=(), soft={}).collect()} == {"allow"}
