@@ -58,5 +58,5 @@ def test_near_stage_links_from_four_fifths_on(spark, make_docs, prose):
 
 def test_query_names():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(oracle.oracle_sql()) <= set(names)
