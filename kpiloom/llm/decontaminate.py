@@ -7,16 +7,20 @@ longest non-overlapping word matches, longest first, until none of ``MIN_MATCH``
 words is left.  A pair is contaminated if the tiles cover at least ``COVERAGE``
 of the item's words: order does not count, so reordered passages are caught.
 
-Items are taken in blocks of at most ``BLOCK_WORDS`` words, whatever the size of
-the benchmark; only one block is broadcast at a time.
-
-Defined results: null texts are empty; an item of fewer than ``MIN_MATCH`` words
-can't be matched; repeated documents or items give a row each; an empty table on
+Distinct item texts are taken in blocks of about ``BLOCK_WORDS`` words, whatever the
+size of the benchmark (a longer item is a block of its own); only one block is
+broadcast at a time.  Tiling takes memory in proportion to the two texts and to the
+number of their maximal matches.
+
+Defined results: null texts are empty, and no item without words is matched; an item of
+fewer than ``MIN_MATCH`` words is matched where all its words stand in a row (so an item
+of one or two common words meets many documents); repeated documents or items give a row each; an empty table on
 either side gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from functools import reduce
 
@@ -51,79 +55,128 @@ class _Rolling:
         self.up, self.down = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words) * self.up[:n], dtype=np.uint64)])
 
-    def windows(self, n: int, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, hashes) of the windows of n words without a marked one."""
-        taken = np.concatenate([[0], np.cumsum(marked)])
-        at = np.flatnonzero(taken[n:] == taken[:len(taken) - n])
-        return at, (self.sums[at + n] - self.sums[at]) * self.down[at]
-
+    def of(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Hashes of the windows of ``n`` words at ``at``."""
+        return (self.sums[at + n] - self.sums[at]) * self.down[at]
 
-def _matches(item: tuple[np.ndarray, np.ndarray], doc: tuple[np.ndarray, np.ndarray], n: int) -> list[tuple[int, int, int]]:
-    """(length, item start, document start) of the maximal unmarked matches of at least n words, longest first."""
-    (ia, ih), (da, dh) = item, doc
-    order = np.argsort(ih, kind="stable")
-    low, high = np.searchsorted(ih[order], dh, "left"), np.searchsorted(ih[order], dh, "right")
-    count = high - low
-    if not count.any():
-        return []
-    d = np.repeat(da, count)
-    first = np.concatenate([[0], np.cumsum(count)])[:-1]
-    i = ia[order][np.repeat(low - first, count) + np.arange(count.sum())]
-    line = np.lexsort((i, d - i))                     # along diagonals, consecutive windows are one match
-    i, d = i[line], d[line]
-    new = np.append(True, (np.diff(i) != 1) | (np.diff(d) != 1))
-    heads = np.flatnonzero(new)
-    length = np.diff(np.append(heads, len(i))) + n - 1
-    best = np.lexsort((d[heads], i[heads], -length))
-    return list(zip(length[best].tolist(), i[heads][best].tolist(), d[heads][best].tolist()))
+    def free(self, n: int, marked: np.ndarray) -> np.ndarray:
+        """Starts of the windows of n words without a marked one."""
+        taken = np.concatenate([[0], np.cumsum(marked)])
+        return np.flatnonzero(taken[n:] == taken[:len(taken) - n])
+
+
+def _room(marked: np.ndarray) -> np.ndarray:
+    """Unmarked words from every position on."""
+    at = np.where(marked, np.arange(len(marked)), len(marked))
+    return np.minimum.accumulate(at[::-1])[::-1] - np.arange(len(marked))
+
+
+def _matches(item: np.ndarray, doc: np.ndarray, a: _Rolling, b: _Rolling, in_item: np.ndarray, in_doc: np.ndarray,
+             n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lengths, item starts, document starts) of the maximal unmarked matches of at least n words, longest first.
+
+    A match begins where its windows agree and the words before them don't, so equal windows inside a longer
+    match are never paired: a repetitive text costs as many pairs as it has matches.
+    """
+    ia, da = a.free(n, in_item), b.free(n, in_doc)
+    known, group = np.unique(a.of(ia, n), return_inverse=True)
+    hashes = b.of(da, n)
+    at = np.searchsorted(known, hashes)
+    met = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == hashes) if len(known) else np.zeros(0, np.int64)
+    if not len(met):
+        return (np.zeros(0, np.int64),) * 3
+    da, at = da[met], at[met]
+    # the word before a window; 0 where there is none or it is marked (such windows begin a match with any)
+    before, which = np.unique(item[ia - 1], return_inverse=True)
+    left = np.where((ia > 0) & ~in_item[ia - 1], which + 1, 0)
+    place = np.searchsorted(before, doc[da - 1])
+    same = (da > 0) & ~in_doc[da - 1] & (before[np.minimum(place, len(before) - 1)] == doc[da - 1])
+    step = len(before) + 1
+    order = np.argsort(group * step + left, kind="stable")
+    code = (group * step + left)[order]
+    low, high = np.searchsorted(code, at * step), np.searchsorted(code, (at + 1) * step)
+    skip = at * step + np.where(same, place + 1, 0)
+    from_, to = np.where(same, np.searchsorted(code, skip), high), np.where(same, np.searchsorted(code, skip, "right"), high)
+    count = (from_ - low) + (high - to)
+    d, step_in = np.repeat(da, count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    head = np.repeat(from_ - low, count)
+    i = ia[order][np.where(step_in < head, np.repeat(low, count) + step_in, np.repeat(to, count) + step_in - head)]
+    least, most = np.full(len(i), n), np.minimum(_room(in_item)[i], _room(in_doc)[d])
+    while (least < most).any():                       # the longest equal stretch, by halving
+        mid = (least + most + 1) // 2
+        equal = a.of(i, mid) == b.of(d, mid)
+        least, most = np.where(equal, mid, least), np.where(equal, most, mid - 1)
+    best = np.lexsort((d, i, -least))
+    return least[best], i[best], d[best]
 
 
 def greedy_tiles(item: np.ndarray, doc: np.ndarray, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
-    """Tiles (item start, document start, length) over word hashes, longest first."""
+    """Tiles (item start, document start, length) over word hashes, the longest first (ties: first in the item, then in the document).
+
+    What marked words leave of a match goes back among the matches at its own length; matches with too little left are dropped at once.
+    """
     in_item, in_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
-    a, b = _Rolling(item), _Rolling(doc)
-    tiles = []
     n = min(len(item), len(doc))
-    while n >= least:
-        found = _matches(a.windows(n, in_item), b.windows(n, in_doc), n)
-        for length, i, d in found:
-            if not (in_item[i:i + length].any() or in_doc[d:d + length].any()):
-                in_item[i:i + length] = in_doc[d:d + length] = True
-                tiles.append((i, d, length))
-        if not found:                                 # else look again: what is left of an overlapped match
-            if n == least:
-                break
-            n = max(least, n // 2)
-    return tiles
-
-
-def _item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[tuple[list, DataFrame]]:
-    """Blocks of items: on the driver as (item_id, words) and as a table (item_id, item_words)."""
-    rough = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"), rough.alias("n"))
-    total = items.agg(F.sum("n")).first()[0] or 0
+    if n < least:
+        return []
+    a, b = _Rolling(item), _Rolling(doc)
+    tiles: list[tuple[int, int, int]] = []
+    while True:
+        length, i_at, d_at = _matches(item, doc, a, b, in_item, in_doc, n)
+        rest: list[tuple[int, int, int]] = []         # heap of (-length, item start, document start)
+        k = 0
+        while (k < len(length) or rest) and not in_item.all():
+            now = (-int(length[k]), int(i_at[k]), int(d_at[k])) if k < len(length) else None
+            if rest and (now is None or rest[0] < now):
+                now = heapq.heappop(rest)
+            else:
+                k += 1
+            m, i, d = -now[0], now[1], now[2]
+            marked = in_item[i:i + m] | in_doc[d:d + m]
+            if not marked.any():
+                in_item[i:i + m] = in_doc[d:d + m] = True
+                tiles.append((i, d, m))
+                length, i_at, d_at = (x[k:] for x in (length, i_at, d_at))
+                used_i, used_d = (np.concatenate([[0], np.cumsum(x)]) for x in (in_item, in_doc))
+                left = length - np.maximum(used_i[i_at + length] - used_i[i_at], used_d[d_at + length] - used_d[d_at])
+                length, i_at, d_at, k = length[left >= n], i_at[left >= n], d_at[left >= n], 0
+                continue
+            edge = np.flatnonzero(np.diff(np.concatenate([[True], marked, [True]]).astype(np.int8)))
+            for low, high in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                if high - low >= n:
+                    heapq.heappush(rest, (low - high, i + low, d + low))
+        if n == least or in_item.all():
+            return tiles
+        n = max(least, n // 2)
+
+
+def _item_blocks(texts: DataFrame, block_words: int) -> Iterator[tuple[list[np.ndarray], DataFrame]]:
+    """Blocks of distinct item texts: their words on the driver and as a table (number, item_key, item_words)."""
+    total = texts.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // block_words)
     for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).select("item_id", "text")
-        rows = part.collect()                         # about ``block_words`` words
-        words = dict(row_words(pa.array([r[1] for r in rows], pa.string())))
-        kept = [(r[0], w) for (i, w), r in zip(sorted(words.items()), rows)]
+        part = texts.where(F.pmod(F.xxhash64("item_key", F.lit(3)), F.lit(blocks)) == k).select("item_key", "text")
+        rows = part.collect()                         # about ``block_words`` words, or one longer item
+        words = dict(row_words(pa.array([r.text for r in rows], pa.string())))
+        kept = [(tuple(r.item_key), words[i]) for i, r in enumerate(rows) if len(words[i])]
         if kept:
-            schema = f"number long, item_id {dict(part.dtypes)['item_id']}, item_words binary"
-            yield kept, benchmark.sparkSession.createDataFrame([(n, i, bytearray(w.tobytes())) for n, (i, w) in enumerate(kept)], schema)
+            schema = f"number long, item_key {part.schema['item_key'].dataType.simpleString()}, item_words binary"
+            yield [w for _, w in kept], texts.sparkSession.createDataFrame(
+                [(n, key, bytearray(w.tobytes())) for n, (key, w) in enumerate(kept)], schema)
 
 
-def _seed_hits(docs: DataFrame, items: list, least: int) -> DataFrame:
+def _seed_hits(docs: DataFrame, items: list[np.ndarray], least: int) -> DataFrame:
     """(row, doc_id, words, seeds) of the documents that share a seed: their word hashes and distinct shared seeds."""
-    seeds = docs.sparkSession.sparkContext.broadcast(np.unique(np.concatenate([windows(w, least) for _, w in items])))
+    seeds = docs.sparkSession.sparkContext.broadcast(np.unique(np.concatenate([windows(w, min(least, len(w))) for w in items])))
+    lengths = sorted({min(least, len(w)) for w in items})
 
     def look(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = seeds.value
         for b in it:
             row, words, shared = [], [], []
             for i, w in row_words(b.column(2)):
-                own = np.unique(windows(w, least))
-                if len(own) and len(known):
+                own = np.unique(np.concatenate([windows(w, n) for n in lengths]))
+                if len(own):
                     own = own[known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own]
                     if len(own):
                         row.append(i)
@@ -138,46 +191,53 @@ def _seed_hits(docs: DataFrame, items: list, least: int) -> DataFrame:
 
 def _seed_words(item: np.ndarray, least: int) -> list[tuple[int, int]]:
     """(seed, item words under it at any of its places) of every distinct seed: the sum over seeds bounds the coverage."""
+    least = min(least, len(item))
     seeds, which = np.unique(windows(item, least), return_inverse=True)
     at = np.unique((which[:, None] * len(item) + np.arange(len(which))[:, None] + np.arange(least)).ravel())
-    return list(zip(seeds.view(np.int64).tolist(), np.bincount(at // len(item), minlength=len(seeds)).tolist())) if len(seeds) else []
+    return list(zip(seeds.view(np.int64).tolist(), np.bincount(at // len(item), minlength=len(seeds)).tolist()))
 
 
-def _tiled(docs: DataFrame, items: list, table: DataFrame, least: int, coverage: float) -> DataFrame:
+def _tiled(docs: DataFrame, items: list[np.ndarray], table: DataFrame, least: int, coverage: float) -> DataFrame:
     spark = docs.sparkSession
     hits = saved(_seed_hits(docs, items, least))
-    seeds = [(s, n, under, int(np.ceil(coverage * len(w) - 1e-9))) for n, (_, w) in enumerate(items) for s, under in _seed_words(w, least)]
+    seeds = [(s, n, under, int(np.ceil(coverage * len(w) - 1e-9))) for n, w in enumerate(items) for s, under in _seed_words(w, least)]
     seeds = spark.createDataFrame(seeds, "seed long, number long, under long, enough long")     # bounded by the block
     pairs = (hits.select("row", F.explode("seeds").alias("h_seed"))
                  .join(F.broadcast(seeds), F.col("h_seed") == F.col("seed"))
                  .groupBy("row", "number", "enough").agg(F.sum("under").alias("most")).where("most >= enough"))
     full = (hits.select(F.col("row").alias("h_row"), "doc_id", "words").join(pairs, F.col("h_row") == F.col("row"))
-                .join(F.broadcast(table), "number").select("doc_id", "item_id", "words", "item_words"))
+                .join(F.broadcast(table), "number").select("doc_id", "item_key", "words", "item_words"))
 
     def tile(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             n, covered, longest, size = [], [], [], []
             for doc, item in zip(b.column(2), b.column(3), strict=True):
                 item = np.frombuffer(item.as_py(), np.uint64)
-                tiles = greedy_tiles(item, np.frombuffer(doc.as_py(), np.uint64), least)
+                tiles = greedy_tiles(item, np.frombuffer(doc.as_py(), np.uint64), min(least, len(item)))
                 n.append(len(tiles))
                 covered.append(sum(t[2] for t in tiles))
                 longest.append(max((t[2] for t in tiles), default=0))
                 size.append(len(item))
             yield pa.record_batch([b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in (size, n, longest, covered))],
-                                  ["doc_id", "item_id", "item_length", "n_tiles", "longest_tile", "covered"])
+                                  ["doc_id", "item_key", "item_length", "n_tiles", "longest_tile", "covered"])
     kinds = dict(full.dtypes)
-    out = mapped(full, tile, f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, item_length long, n_tiles long, longest_tile long, covered long")
+    out = mapped(full, tile, f"doc_id {kinds['doc_id']}, item_key {kinds['item_key']}, item_length long, n_tiles long, longest_tile long, covered long")
     return out.withColumn("coverage", F.col("covered") / F.col("item_length")).where(F.col("coverage") >= coverage)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, coverage: float = COVERAGE,
                  block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, item_length, n_tiles, longest_tile, covered, coverage) of the contaminated pairs."""
-    parts = [_tiled(docs, items, table, least, coverage) for items, table in _item_blocks(benchmark, block_words)
-             if any(len(w) >= least for _, w in items)]
+    rough = F.size(F.split("text", r"\s+"))
+    named = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    named = saved(named.select("item_id", F.struct(*text_key(F.col("text"))).alias("item_key"), "text", rough.alias("n")))
+    texts = named.groupBy("item_key").agg(F.min("text").alias("text"), F.min("n").alias("n"))
+    parts = [_tiled(docs, items, table, least, coverage) for items, table in _item_blocks(texts, block_words)]
     if parts:
-        return reduce(DataFrame.unionByName, parts)
+        ids = named.select("item_id", F.col("item_key").alias("i_key"))
+        found = reduce(DataFrame.unionByName, parts)
+        return (found.join(ids, F.col("item_key") == F.col("i_key"))
+                     .select("doc_id", "item_id", "item_length", "n_tiles", "longest_tile", "covered", "coverage"))
     kinds = (dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"])
     return docs.sparkSession.createDataFrame([], "doc_id {}, item_id {}, item_length long, n_tiles long, longest_tile long, "
                                                  "covered long, coverage double".format(*kinds))

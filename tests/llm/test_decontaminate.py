@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -49,6 +50,38 @@ def test_tiles_against_brute_force():
         assert not brute_tiles(left_a, left_b, least)            # nothing of that length is left
 
 
+def test_tiles_are_the_longest_first():
+    """The tiles of random and repetitive sequences are those of the greedy search over all positions, length by length."""
+    r = random.Random(14)
+    for _ in range(200):
+        words = range(1, r.choice([2, 3, 6, 30]))
+        a, b = ([r.choice(words) for _ in range(r.randint(0, 30))] for _ in range(2))
+        least = r.randint(1, 5)
+        got = greedy_tiles(np.array(a, np.uint64), np.array(b, np.uint64), least)
+        assert [t[2] for t in got] == brute_tiles(a, b, least)
+
+
+def test_long_repetitive_text_takes_bounded_memory():
+    item = np.concatenate([np.full(700, 7), np.arange(1000, 1300)]).astype(np.uint64)
+    doc = np.concatenate([np.arange(5000, 5100), np.full(1_000_000, 7)]).astype(np.uint64)
+    tracemalloc.start()
+    assert greedy_tiles(item, doc) == [(0, 100, 700)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * len(doc)                                  # bytes; all pairs of equal windows would be 200 times as many
+
+
+def test_items_of_few_words(spark, make_docs):
+    items = [(1, "Alpha beta gamma delta"), (2, "omega."), (3, "beta gamma"), (4, "Alpha beta gamma delta"), (5, " "), (6, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "so alpha beta gamma delta it is"), (2, "alpha beta delta gamma"), (3, "beta  Gamma"), (4, "omega"), (5, "the omega."),
+            (6, ""), (7, None), (8, "delta gamma beta alpha")]
+    for block in (1 << 20, 2):
+        out = contaminated(make_docs(rows), bench, block_words=block).collect()
+        assert sorted((r.doc_id, r.item_id) for r in out) == [(1, 1), (1, 3), (1, 4), (3, 3), (5, 2)]
+        assert all(r.coverage == 1 and r.n_tiles == 1 for r in out)
+
+
 def test_reordered_and_partial_passages(spark, make_docs, prose, hard_rows):
     items = [prose(500 + i, 40) for i in range(12)]
     w = items[3].split(" ")
