@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kpiloom.operators.copies import count_copies, lay_out
 
 ACTION_KEYS = ["date_day", "medical_group_id", "plan_id"]
+JOIN_ORDER = ["medical_group_id", "plan_id", "date_day"]        # as the daily tables are written: sorted runs sort faster
 
 
 def action_fact(available: DataFrame, attested: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def action_fact(available: DataFrame, attested: DataFrame) -> DataFrame:
     """
     a = available.select(*ACTION_KEYS, "count_actions_available").withColumn("__available", F.lit(True))
     c = count_copies(attested.select(*[F.col(k).alias(f"__{k}") for k in ACTION_KEYS], "count_actions_attested_as_complete"), "__n")
-    same = [a[k] == c[f"__{k}"] for k in ACTION_KEYS]
+    same = [a[k] == c[f"__{k}"] for k in JOIN_ORDER]
     joined = a.join(c, same[0] & same[1] & same[2], "full_outer").select(
         *[F.when(F.col("__available"), a[k]).otherwise(F.col(f"__{k}")).alias(k) for k in ACTION_KEYS],
         "count_actions_available", "count_actions_attested_as_complete", F.coalesce("__n", F.lit(1)).alias("__n"))

@@ -12,6 +12,8 @@ picks broadcast or shuffle from runtime sizes (AQE).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,18 @@ def year_scaffold(dim: DataFrame, spine: DataFrame, year: int) -> DataFrame:
     return _periods(dim, spine.filter(F.col("year") == year), "date_year", "YEAR")
 
 
+def _attach(rows: DataFrame, kpis: DataFrame, keys: list[str]) -> DataFrame:
+    """Equi left join on ``keys``; a null key meets nothing.
+
+    The nulls are named on the left side only.  With plain equality the optimizer
+    takes rows with null keys out of ``kpis``, down to the daily rows, which then are no
+    longer those that its global maximum is taken from and are computed twice.
+    """
+    other = kpis.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = reduce(Column.__and__, [rows[k].isNotNull() & rows[k].eqNullSafe(other[f"__{k}"]) for k in keys])
+    return rows.join(other, same, "left").drop(*[f"__{k}" for k in keys])
+
+
 def _zero(name: str, alias: str | None = None) -> Column:
     return F.coalesce(F.col(name), F.lit(0)).alias(alias or name)
 
@@ -143,6 +157,6 @@ def plan_monthly_report(dim_mgp: DataFrame, spine: DataFrame, mgp_actions: DataF
     """#23: group-plan x month; like #21 with 'mg_' status names and no net-new column."""
     keys = ["medical_group_id", "plan_id", "date_month"]
     scaffold = month_scaffold(dim_mgp, spine)
-    joined = scaffold.join(mgp_actions, keys, "left").join(mgp_visits, keys, "left")
+    joined = _attach(_attach(scaffold, mgp_actions, keys), mgp_visits, keys)
     return joined.select("medical_group_id", "medical_group_name", "plan_id", "plan_name", "date_month",
                          *_monthly_measures("mg_", with_net_new=False))

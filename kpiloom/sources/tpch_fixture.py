@@ -92,15 +92,16 @@ def claims(tables: dict[str, DataFrame]) -> DataFrame:
 def line_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """All lines aggregated to (g, p, day, flag) -> n.
 
-    lineitem joins orders on the order key and customers on the customer key;
-    both are inner joins, so AQE splits a skewed key (a customer with a large
-    share of the orders).  The aggregate combines map-side before its shuffle.
+    orders join customers on the customer key first, so that the lines, the
+    largest table, are joined once, on the order key; both are inner joins, so AQE
+    splits a skewed key (a customer with a large share of the orders).  The
+    aggregate combines map-side before its shuffle.
     """
     lines = tables["lineitem"].select("l_orderkey", F.to_date("l_shipdate").alias("day"), F.col("l_returnflag").alias("flag"))
     orders = tables["orders"].select("o_orderkey", "o_custkey")
     cust = _customers(tables).select("custkey", "g", "p")
-    joined = (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-              .join(cust, F.col("o_custkey") == cust["custkey"]))
+    owned = orders.join(cust, orders["o_custkey"] == cust["custkey"]).select("o_orderkey", "g", "p")
+    joined = lines.join(owned, lines["l_orderkey"] == owned["o_orderkey"])
     return (joined.groupBy("g", "p", _shift(F.col("day")).alias("day"), "flag")
             .agg(F.count(F.lit(1)).alias("n")))
 
@@ -118,6 +119,7 @@ def actions_available(counts: DataFrame) -> DataFrame:
     """Inventory snapshot on every day with an 'N' or 'A' line: base + running sum of the days' deltas.
 
     A window partition is one (g, p) and holds at most one row per calendar day.
+    The sum by day comes first: its order serves the total over the pair too.
     """
     region = F.col("g") % REGIONS
     daily = (counts.filter(F.col("flag").isin("N", "A")).groupBy("g", "p", "day").agg(
@@ -127,7 +129,8 @@ def actions_available(counts: DataFrame) -> DataFrame:
     so_far = pair.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = F.expr("2 * n_new * (101 + 40 * (g % 7)) div 100")
     delta = F.col("kept") * (region % 2) - 2 * F.col("new")
-    snap = daily.select("g", "p", "day", F.sum("new").over(pair).alias("n_new"), F.sum(delta).over(so_far).alias("moved"))
+    snap = (daily.select("g", "p", "day", "new", F.sum(delta).over(so_far).alias("moved"))
+            .select("g", "p", "day", "moved", F.sum("new").over(pair).alias("n_new")))
     return snap.select(
         F.col("p").alias("plan_id"),
         F.col("g").alias("medical_group_id"),

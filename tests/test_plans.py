@@ -1,12 +1,14 @@
 """Physical-plan properties that matter at scale (checked with explain)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
 from kpiloom.plans.models import MODEL_NAMES
 from kpiloom.plans.quality_suite import TEST_TYPES
 
-from conftest import SF_SMALL
+from conftest import D, SF_SMALL
 
 #: The warehouse's own queries; those of the optional training-data part have their tests beside it.
 QUERIES = {k: q for k, q in E.queries().items() if k in (*MODEL_NAMES, "dq_suite", *(f"dq_{t}" for t in TEST_TYPES)) or k.startswith("orphan_")}
@@ -112,3 +114,33 @@ def test_claims_are_reduced_map_side(spark):
     text = wh["int_medical_group_awv_summary_monthly"]._jdf.queryExecution().executedPlan().toString()
     # totals and monthly visits come from one read of claims (no self-join)
     assert text.count("Scan ExistingRDD") == 1 and "Join" not in text
+
+
+def _final_text(df) -> str:
+    """The executed plan with its subqueries."""
+    df.collect()
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return "".join(x.split("+- == Initial Plan ==")[0] for x in text.split("== Final Plan ==")[1:])
+
+
+def test_monthly_plan_report_computes_the_daily_rows_once(spark):
+    """Its joins leave the monthly rows as they are, so the global maximum shares their exchange."""
+    final = _final_text(_hand_warehouse(spark)["rpt_medical_group_plan_performance_monthly"])
+    assert final.count("SortMergeJoin FullOuter") == 1 and "ReusedExchange" in final
+
+
+def test_lines_are_joined_once(spark):
+    """Customers are joined to the orders, not to the lines, and the windows over the lines' counts sort once."""
+    from kpiloom.sources.tpch_fixture import actions_available, line_counts, load_tpch
+    text = line_counts(load_tpch(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    upper, lower = [x for x in text.splitlines() if "Join Inner" in x]
+    assert "l_orderkey" in upper and "o_custkey" in lower
+    counts = spark.createDataFrame([(1, 1, D("2024-01-01"), "N", 2)], "g long, p long, day date, flag string, n long")
+    assert plan_text(actions_available(counts)).count("Sort [") == 1
+
+
+@pytest.mark.parametrize("model", ["int_daily_action_decomposition", "fct_awv_action"])
+def test_joins_of_the_snapshots_sort_as_the_windows_do(spark, model):
+    join = next(x for x in plan_text(_hand_warehouse(spark)[model]).splitlines() if "SortMergeJoin" in x)
+    assert re.match(r".*SortMergeJoin \[medical_group_id#\d+L, plan_id#\d+L, date_day#\d+\]", join)
