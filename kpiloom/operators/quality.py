@@ -16,12 +16,14 @@ Counting without the rows themselves:
 * ``relationship_counts`` reduces the child to (check, key) with counts and looks
   the keys up in the parents' key sets, kept as exact bitmaps of 32,768 keys;
 * ``unique_candidates`` finds the hashes that occur more than once; only their rows
-  are grouped by the key itself.
+  are grouped by the key itself.  Keys of whole numbers and dates are hashed as they
+  are, without the text that joins them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -194,23 +196,40 @@ def relationship_counts(child: DataFrame, checks: Sequence[tuple[str, str, DataF
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def unique_candidates(checks: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
+def _hashed_keys(df: DataFrame, key: Column | Sequence[str]) -> DataFrame:
+    """(key, hash) of the rows with a key: an expression, or the columns of a ``concat_key``.
+
+    Joined texts of whole numbers and dates are equal only if all parts are, so those parts are hashed themselves.
+    """
+    if isinstance(key, Column):
+        text, parts = key, ()
+    else:
+        text = concat_key(*key)
+        plain = all(isinstance(df.schema[c].dataType, (T.IntegralType, T.DateType)) for c in key)
+        parts = tuple(key) if plain else ()
+    if not parts:
+        return df.select(text.alias("key")).filter(F.col("key").isNotNull()).withColumn("hash", F.xxhash64("key"))
+    return df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in parts])).select(
+        text.alias("key"), F.xxhash64(*parts).alias("hash"))
+
+
+def unique_candidates(checks: Sequence[tuple[str, DataFrame, Column | Sequence[str]]]) -> DataFrame:
     """(name, hash) of the 64-bit key hashes that more than one row of a table has, for checks (name, table, key).
 
     Hashes are shuffled, not keys: a table without repeats has no candidates and
     is done; otherwise ``repeated_keys`` groups the candidates' rows exactly.
     """
     hashes = None
-    for name, df, key in checks:
-        own = df.select(key.alias("key")).filter(F.col("key").isNotNull()).select(F.lit(name).alias("name"), F.xxhash64("key").alias("hash"))
+    for i, (_, df, key) in enumerate(checks):
+        own = _hashed_keys(df, key).select(F.lit(i).alias("check"), "hash")
         hashes = own if hashes is None else hashes.unionByName(own)
-    return hashes.groupBy("name", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("name", "hash")
+    repeated = hashes.groupBy("check", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return repeated.select(F.array(*[F.lit(name) for name, *_ in checks])[F.col("check")].alias("name"), "hash")
 
 
-def repeated_keys(df: DataFrame, key: Column, hashes: DataFrame) -> DataFrame:
+def repeated_keys(df: DataFrame, key: Column | Sequence[str], hashes: DataFrame) -> DataFrame:
     """``unique_failures`` of the rows whose key hash is among ``hashes``."""
-    rows = df.select(key.alias("key")).filter(F.col("key").isNotNull()).withColumn("hash", F.xxhash64("key"))
-    return unique_failures(rows.join(hashes.select("hash"), "hash", "left_semi"), "key")
+    return unique_failures(_hashed_keys(df, key).join(hashes.select("hash"), "hash", "left_semi"), "key")
 
 
 def _not_in(keys: DataFrame, column: str, other: DataFrame) -> DataFrame:

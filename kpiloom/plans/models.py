@@ -29,7 +29,7 @@ from kpiloom.operators import reports as RP
 from kpiloom.operators import staging as ST
 from kpiloom.params import KpiParams
 from kpiloom.plans.quality_suite import (DECLARED_TESTS, ROW_TYPES, TEST_TYPES, DataTest, failing_rows, row_checks,
-                                         run_suite, unique_key)
+                                         run_suite, unique_parts)
 from kpiloom.session import store
 from kpiloom.sources.raw import RawTables, footer_scan
 from kpiloom.sources.sink import (Buckets, current_notes, current_path, path_exists, read_table, replace_table,
@@ -206,7 +206,7 @@ class KpiWarehouse:
         uniques = [t for t in tests if t.test == "unique"]
         candidates = None
         if uniques:
-            candidates = store(Q.unique_candidates([(t.name, view[t.model], unique_key(t)) for t in uniques]))
+            candidates = store(Q.unique_candidates([(t.name, view[t.model], unique_parts(t)) for t in uniques]))
             repeated = {r["name"] for r in candidates.select("name").distinct().collect()}     # at most one row a test
             known |= {t.name: 0 for t in uniques if t.name not in repeated}
         return run_suite(view.__getitem__, tests, test_types, known, candidates)

@@ -191,6 +191,11 @@ def unique_key(t: DataTest) -> Column:
     return Q.concat_key(*t.key_columns) if t.key_columns else F.col(t.column)
 
 
+def unique_parts(t: DataTest) -> Column | tuple[str, ...]:
+    """The key as ``quality.unique_candidates`` takes it: its columns, if it is joined from several."""
+    return t.key_columns or unique_key(t)
+
+
 def row_checks(tests: Iterable[DataTest]) -> tuple[list, list]:
     """The row-level tests as checks: (name, failing-row predicate) and (name, column, accepted values)."""
     rows, values = [], []
@@ -233,7 +238,7 @@ def run_suite(model: Callable[[str], DataFrame], tests: Iterable[DataTest] = DEC
             parts.append(_grouped_count(t.name, Q.unique_failures(model(t.model), unique_key(t))))
         else:
             own = candidates.filter(F.col("name") == t.name)
-            parts.append(_grouped_count(t.name, Q.repeated_keys(model(t.model), unique_key(t), own)))
+            parts.append(_grouped_count(t.name, Q.repeated_keys(model(t.model), unique_parts(t), own)))
     parts += [Q.batched_failures(model(m), *row_checks(some)) for m, some in per_model.items()]
     parts += [Q.relationship_counts(model(m), checks) for m, checks in related.items()]
     settled = [(n, int(known[n])) for n in names if n in known]

@@ -1,5 +1,7 @@
 """The failing-rows operators return the rows the reference's generic tests return."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from kpiloom.operators import quality as Q
@@ -36,7 +38,6 @@ def test_batched_and_observed_counts(spark):
 
 def test_relationships_through_bitmaps(spark):
     """Whole numbers of either sign, dates and strings against a plain set; nulls pass; repeated parents do not fan out."""
-    import datetime as dt
     import random
     r = random.Random(3)
     numbers = [-(1 << 40), -40_000, -32_769, -32_768, -32_767, -1, 0, 1, 8, 32_767, 32_768, 32_769, 65_536, 1 << 40, *range(2, 60, 3)]
@@ -84,6 +85,19 @@ def test_unique_candidates_and_repeated_keys(spark):
     assert sorted(tuple(r) for r in Q.repeated_keys(df, F.col("a"), found.where("name = 'a'")).collect()) == [(1, 3), (2, 2)]
 
 
+def test_whole_number_keys_are_hashed_without_their_text(spark):
+    day = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(day, 1, -2), (day, 1, -2), (day, 12, 3), (day, None, 3),
+                                (day, None, 3)], "d date, a long, b long")
+    found = Q.unique_candidates([("k", df, ("d", "a", "b"))])
+    assert "concat" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r["name"] for r in found.collect()] == ["k"]
+    assert [tuple(r) for r in Q.repeated_keys(df, ("d", "a", "b"), found).collect()] == [("2024-01-01-1--2", 2)]
+    text = spark.createDataFrame([("1-2", "3"), ("1", "2-3")], "a string, b string")       # one joined text, two tuples
+    same = Q.unique_candidates([("t", text, ("a", "b"))])
+    assert [tuple(r) for r in Q.repeated_keys(text, ("a", "b"), same).collect()] == [("1-2-3", 2)]
+
+
 def test_concat_key_is_null_safe_like_sql(spark):
     df = spark.createDataFrame([(1, "x"), (2, None)], "a long, b string")
     vals = [r[0] for r in df.select(Q.concat_key("a", "b")).orderBy("a").collect()]
