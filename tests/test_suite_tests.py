@@ -103,3 +103,10 @@ def test_failing_rows_equal_the_counted_failures(tpch_wh):
         assert tpch_wh.failing_rows(name).count() == n
     with pytest.raises(KeyError):
         tpch_wh.failing_rows("no such test")
+
+
+def test_daily_decomposition_is_counted_without_being_written(make_wh):
+    wh = make_wh(available=[(1, 10, DAY, 50), (1, 10, D("2024-01-02"), -4)], attested=[(1, 10, DAY, 2)], claims=[(DAY, 10, 1, 1)])
+    counted = {r.test_name: r.failures for r in wh.data_tests(["accepted_range"]).collect()}
+    assert "stg_actions_available" in wh._stored and "int_daily_action_decomposition" not in wh._stored
+    assert counted["accepted_range_int_daily_action_decomposition_actions_end_of_day"] == 1
